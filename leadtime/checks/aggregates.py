@@ -111,8 +111,8 @@ def _(spark, sf):
 
 @query("agg_10_baseline_months", sql("""
     SELECT entity_id, sensor, round(avg(value), 6) AS mean, round(quantile_cont(value, 0.9), 6) AS p90, count(*) AS n_rows
-    FROM (UNPIVOT INCLUDE NULLS (SELECT entity_id, ts, s_click, s_view FROM fx_telemetry) ON s_click, s_view
-      INTO NAME sensor VALUE value) JOIN (SELECT entity_id, min(ts) + INTERVAL 1 MONTH AS til FROM fx_telemetry GROUP BY 1)
+    FROM ((SELECT entity_id, ts, s_click, s_view FROM fx_telemetry)
+      UNPIVOT INCLUDE NULLS (value FOR sensor IN (s_click, s_view))) u JOIN (SELECT entity_id, min(ts) + INTERVAL 1 MONTH AS til FROM fx_telemetry GROUP BY 1)
     USING (entity_id) WHERE ts < til GROUP BY 1, 2""", "fx_telemetry"))
 def _(spark, sf):
     return baseline(fx.telemetry(spark, sf), ["s_click", "s_view"], days=None, months=1)
@@ -375,7 +375,7 @@ _BIN6 = "time_bucket(INTERVAL '6 hours', ts)"
 
 
 @query("agg_28_timeline_6h", sql(f"""
-    SELECT s.entity_id, s.family, s.bin, first_ts, round(alert_score, 6) AS alert_score, round(pred_h, 6) AS pred_h, is_pre
+    SELECT s.entity_id, s.family, s.bin, first_ts, round(alert_score, 11) AS alert_score, round(pred_h, 11) AS pred_h, is_pre
     FROM (SELECT entity_id, family, unnest(generate_series(min({_BIN6}), max({_BIN6}), INTERVAL 6 HOUR)) AS bin
       FROM fx_scored GROUP BY 1, 2) s
     LEFT JOIN (SELECT entity_id, family, {_BIN6} AS bin, min(ts) AS first_ts, avg(round(1 - pred_h / lead_hours, 6)) AS alert_score,
@@ -385,7 +385,7 @@ def _(spark, sf):
     """Unrounded inside the bin, so that both engines round once."""
     rows = fx.scored(spark, sf).withColumn("_s", F.round(1 - F.col("pred_h") / fx.lead(), 6))
     return report.resample(rows, "6 hours", [
-        F.min("ts").alias("first_ts"), r(F.avg("_s")).alias("alert_score"), r(F.avg("pred_h")).alias("pred_h"),
+        F.min("ts").alias("first_ts"), r(F.avg("_s"), 11).alias("alert_score"), r(F.avg("pred_h"), 11).alias("pred_h"),
         F.max(F.col("is_pre").cast("int")).alias("is_pre")])
 
 

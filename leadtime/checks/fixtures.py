@@ -204,6 +204,9 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "fx_clusters": (("fx_instants",), f"""SELECT entity_id, family, ts FROM (SELECT *,
         lag(ts) OVER (PARTITION BY entity_id, family ORDER BY ts) AS p FROM fx_instants)
         WHERE p IS NULL OR epoch_us(ts) - epoch_us(p) > {GAP_H} * 3600000000"""),
+    "fx_ranked": (("fx_scored",), """SELECT entity_id, family, is_pre, score,
+        row_number() OVER (PARTITION BY entity_id, family ORDER BY ts) AS k,
+        count(*) OVER (PARTITION BY entity_id, family) AS n FROM fx_scored"""),
     "fx_starts": (("fx_scored",), """SELECT entity_id, family, ts AS event_start, lead_hours, alert_h FROM (
         SELECT *, lag(is_pre, 1, false) OVER (PARTITION BY entity_id, family ORDER BY ts) AS p FROM fx_scored)
         WHERE is_pre AND NOT p"""),
@@ -216,8 +219,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         " FROM fx_telemetry WINDOW w AS (PARTITION BY entity_id ORDER BY ts ROWS UNBOUNDED PRECEDING)"),
     "fx_baseline": (("fx_telemetry",), f"""SELECT entity_id, sensor, round(avg(value), 6) AS mean,
         round(quantile_cont(value, 0.9), 6) AS p90, count(*) AS n_rows FROM (
-        SELECT * FROM (UNPIVOT INCLUDE NULLS (SELECT entity_id, ts, {", ".join(SENSORS)} FROM fx_telemetry)
-        ON {", ".join(SENSORS)} INTO NAME sensor VALUE value) u
+        SELECT * FROM ((SELECT entity_id, ts, {", ".join(SENSORS)} FROM fx_telemetry)
+        UNPIVOT INCLUDE NULLS (value FOR sensor IN ({", ".join(SENSORS)}))) u
         JOIN (SELECT entity_id, min(ts) + INTERVAL {BASELINE_DAYS} DAY AS til FROM fx_telemetry GROUP BY 1)
         USING (entity_id) WHERE ts < til) GROUP BY 1, 2"""),
     "fx_curve": (("fx_scored",), """SELECT family, threshold, tp, fp,

@@ -1 +1,147 @@
+"""Streaming jobs run to the end of the given tables; their tables equal the batch result."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from leadtime.checks import fixtures as fx
+from leadtime.checks.fixtures import sql
+from leadtime.checks.joins import fx_baseline
+from leadtime.checks.registry import query, r
+from leadtime.checks.windows import rolling_sql
+from leadtime.operators import faults as flt
+from leadtime.plans.lineage import fresh_path
+from leadtime.streaming import jobs
+
+WIN = {"1h": 6, "24h": 144}
+TWO = ("s_click", "s_view")
+
+
+def _events(spark, sf):
+    """The event table as a stream."""
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return fx.with_entity(raw.withColumn("ts", F.col("ts").cast("timestamp")))
+
+
+def _status(spark, sf):
+    kind, code = F.col("event_type"), F.get_json_object("props", "$.k").cast("int")
+    return _events(spark, sf).select(
+        "entity_id", F.col("ts").alias("event_ts"), "event_id", code.alias("code"),
+        F.when(kind == "error", "Stop").when(kind == "signup", "Warning").otherwise("Other").alias("status"))
+
+
+def _faults(spark, sf):
+    return flt.map_family(flt.critical_events(_status(spark, sf)), fx.families(spark)).where("family IS NOT NULL")
+
+
+def _split_telemetry(spark, sf, order="ts"):
+    """Telemetry as files of consecutive days, read one file at a time."""
+    path = fresh_path(spark, "telemetry")
+    tel = fx.telemetry(spark, sf).select("entity_id", "ts", *fx.SENSORS)
+    for i, (lo, hi) in enumerate((("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01"))):
+        part = tel.where((F.col("ts") >= F.lit(lo).cast("timestamp")) & (F.col("ts") < F.lit(hi).cast("timestamp")))
+        part.write.mode("append").parquet(f"{path}/part={i}")
+    return tel.schema, path
+
+
+def _run_features(spark, sf):
+    schema, path = _split_telemetry(spark, sf)
+    base = fx_baseline(spark, sf, TWO)
+    store, check = fresh_path(spark, "store"), fresh_path(spark, "progress")
+    for i in range(3):  # three nightly runs over a growing folder
+        stream = spark.readStream.schema(schema).parquet(f"{path}/part={i}")
+        done = 0 if i == 0 else i
+        handle = jobs.feature_batches(store, TWO, base, WIN)
+        jobs.run_batches(stream, lambda df, n, h=handle, d=done: h(df, n + d), f"{check}/{i}")
+    return spark.read.parquet(f"{store}/features")
+
+
+@query("str_1_incremental_features", rolling_sql(TWO, WIN, ("mean", "std", "p95", "exceed"), ratio=True))
+def _(spark, sf):
+    """Three increments give the features of one full run."""
+    out = _run_features(spark, sf).drop("batch_id")
+    return out.select("entity_id", "ts", *[r(c, 7 if "mean" in c else 6).alias(c) for c in out.columns
+                                           if c not in ("entity_id", "ts")])
+
+
+@query("str_2_replayed_batch", sql("SELECT entity_id, count(*) AS n, count(*) AS n_distinct FROM fx_telemetry GROUP BY 1",
+                                   "fx_telemetry"))
+def _(spark, sf):
+    """A batch that runs twice leaves every row once."""
+    schema, path = _split_telemetry(spark, sf)
+    base = fx_baseline(spark, sf, TWO)
+    store = fresh_path(spark, "store")
+    handle = jobs.feature_batches(store, TWO, base, WIN)
+    for i in (0, 1, 1, 2):
+        handle(spark.read.schema(schema).parquet(f"{path}/part={i}"), i)
+    return spark.read.parquet(f"{store}/features").groupBy("entity_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("ts").alias("n_distinct"))
+
+
+@query("str_3_event_dedup", sql("""SELECT DISTINCT entity_id, code, time_bucket(INTERVAL '10 minutes', event_ts) AS ts
+    FROM fx_status WHERE status IN ('Stop', 'Warning')""", "fx_status"))
+def _(spark, sf):
+    stream = jobs.dedup_events(flt.critical_events(_status(spark, sf)))
+    path = fresh_path(spark, "dedup")
+    jobs.run_to_table(stream.select("entity_id", "code", "ts"), path, fresh_path(spark, "progress"))
+    return spark.read.parquet(path)
+
+
+_CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
+
+
+@query("str_4_timeline", sql(f"""SELECT * FROM (SELECT CAST(user_id % 2 + 2 * (user_id // 150) + 1 AS INTEGER) AS entity_id,
+    time_bucket(INTERVAL '6 hours', ts) AS bin, count(*) AS n, round(max(value), 6) AS top FROM events GROUP BY 1, 2)
+    WHERE bin + INTERVAL 6 HOUR <= {_CLOSED}"""))
+def _(spark, sf):
+    stream = jobs.timeline(_events(spark, sf), {"n": F.count(F.lit(1)), "top": r(F.max("value"))})
+    path = fresh_path(spark, "timeline")
+    jobs.run_to_table(stream, path, fresh_path(spark, "progress"))
+    return spark.read.parquet(path)
+
+
+@query("str_5_fault_sessions", sql(f"""
+    SELECT entity_id, family, min(ts) AS ts, max(ts) AS last_ts, count(*) AS n_faults FROM (SELECT *, sum(new) OVER (
+      PARTITION BY entity_id, family ORDER BY ts, event_id) AS c FROM (SELECT entity_id, family, event_ts AS ts, event_id,
+      CASE WHEN epoch_us(event_ts) - epoch_us(lag(event_ts) OVER (PARTITION BY entity_id, family ORDER BY event_ts, event_id))
+        <= {fx.GAP_H} * 3600000000 THEN 0 ELSE 1 END AS new FROM fx_critical WHERE family IS NOT NULL))
+    GROUP BY entity_id, family, c
+    HAVING max(ts) + INTERVAL {fx.GAP_H} HOUR <= (SELECT max(event_ts) - INTERVAL 1 HOUR FROM fx_critical WHERE family IS NOT NULL)""",
+    "fx_critical"))
+def _(spark, sf):
+    stream = jobs.fault_sessions(_faults(spark, sf).withColumnRenamed("event_ts", "ts"), f"{fx.GAP_H} hours")
+    path = fresh_path(spark, "sessions")
+    jobs.run_to_table(stream, path, fresh_path(spark, "progress"))
+    return spark.read.parquet(path)
+
+
+@query("str_6_hours_since_last", sql("""SELECT entity_id, ts, round(CASE WHEN prev_ts IS NULL THEN 8760.0::DOUBLE
+    ELSE (epoch_us(ts) - epoch_us(prev_ts)) / 3.6e9 END, 6) AS hours_since FROM fx_prev WHERE family = 'generator'""", "fx_prev"))
+def _(spark, sf):
+    family = fx.FAMILIES[1]
+    store = fresh_path(spark, "hours")
+
+    def to_faults(batch):
+        status = fx.status(spark, sf).join(batch.select("event_id"), "event_id", "left_semi")
+        return flt.extract_faults(status, fx.families(spark), fx.excluded(spark))
+
+    def to_readings(batch):
+        return batch.select("entity_id", fx.floor_ts("ts").alias("ts")).distinct()
+
+    handle = jobs.hours_since_batches(store, to_faults, to_readings, family)
+    jobs.run_batches(_events(spark, sf), handle, fresh_path(spark, "progress"))
+    return spark.read.parquet(f"{store}/hours").select("entity_id", "ts", r("hours_since").alias("hours_since"))
+
+
+@query("str_7_sliding_statistics", sql(f"""
+    SELECT entity_id, w AS window_start, w + INTERVAL 1 HOUR AS window_end, count(*) AS n, round(max(value), 6) AS top FROM (
+      SELECT CAST(user_id % 2 + 2 * (user_id // 150) + 1 AS INTEGER) AS entity_id, value, ts,
+        unnest(generate_series(time_bucket(INTERVAL '10 minutes', ts) - INTERVAL 50 MINUTE,
+          time_bucket(INTERVAL '10 minutes', ts), INTERVAL 10 MINUTE)) AS w FROM events)
+    GROUP BY ALL HAVING w + INTERVAL 1 HOUR <= {_CLOSED}"""))
+def _(spark, sf):
+    stream = jobs.sliding_statistics(_events(spark, sf), {"n": F.count(F.lit(1)), "top": r(F.max("value"))})
+    path = fresh_path(spark, "sliding")
+    jobs.run_to_table(stream, path, fresh_path(spark, "progress"))
+    return spark.read.parquet(path)
