@@ -311,8 +311,8 @@ _CM = """SELECT family, tn, fp, fn, tp, CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (
     FROM fx_scored GROUP BY 1)"""
 
 
-def _confusion(spark, sf):
-    return ev.confusion(fx.scored(spark, sf), F.col("pred_h") <= fx.alert_h(), F.col("is_pre"))
+def _confusion(spark, sf, scored=None):
+    return ev.confusion(scored or fx.scored(spark, sf), F.col("pred_h") <= fx.alert_h(), F.col("is_pre"))
 
 
 @query("agg_23_confusion", sql(f"""SELECT family, tn, fp, fn, tp, round(p, 6) AS precision, round(rc, 6) AS recall,
@@ -337,8 +337,8 @@ _ER = """SELECT family, count(*) FILTER (WHERE best_score <= alert_h) AS events_
     round(count(*) FILTER (WHERE best_score <= alert_h) / count(*), 4) AS event_recall FROM fx_windows GROUP BY 1"""
 
 
-def _events(spark, sf):
-    windows = ev.event_windows(fx.scored(spark, sf), fx.lead(), 12)
+def _events(spark, sf, scored=None):
+    windows = ev.event_windows(scored or fx.scored_table(spark, sf), fx.lead(), 12)
     return ev.event_recall(windows, F.col("best_score") <= fx.alert_h())
 
 
@@ -362,8 +362,9 @@ _F1 = """round(CASE WHEN event_recall + precision = 0 THEN 0
     ELSE 2 * event_recall * precision / (event_recall + precision) END, 4) AS f1_ep"""
 
 
-def _alert_summary(spark, sf):
-    return ev.alert_summary(_confusion(spark, sf).drop("f1", "tn"), _events(spark, sf))
+def _alert_summary(spark, sf, scored=None):
+    scored = scored or fx.scored_table(spark, sf)
+    return ev.alert_summary(_confusion(spark, sf, scored).drop("f1", "tn"), _events(spark, sf, scored))
 
 
 @query("agg_27_f1_event_precision", sql(f"SELECT *, {_F1} FROM ({_SUMMARY})", "fx_scored", "fx_windows"))
@@ -490,7 +491,8 @@ def _(spark, sf):
     SELECT family, round(mae_raw, 6) AS mae_raw, round(mae_cal, 6) AS mae_cal, round(mae_raw - mae_cal, 6) + 0.0 AS gain,
       event_recall, event_recall >= 0.8 AS passed FROM ({_REG}) JOIN ({_ER}) USING (family)""", "fx_scored", "fx_windows"))
 def _(spark, sf):
-    both = ev.regression_metrics(fx.scored(spark, sf)).join(_events(spark, sf), "family")
+    scored = fx.scored_table(spark, sf)
+    both = ev.regression_metrics(scored).join(_events(spark, sf, scored), "family")
     return ev.calibration_gain(both).select("family", *[r(c).alias(c) for c in ("mae_raw", "mae_cal", "gain")],
                                             "event_recall", "passed")
 

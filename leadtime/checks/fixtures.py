@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from leadtime import config
 from leadtime.functions.scalars import clip, floor_ts
 from leadtime.operators import asof, faults as flt
+from leadtime.plans.lineage import materialize
 
 FAMILIES = (
     config.Family("yaw_cable", 4, 2, 2, 1, 8, 5),
@@ -146,6 +147,11 @@ def scored(spark, sf) -> DataFrame:
         F.round(clip(F.coalesce("s_error", F.lit(0.0)) / 200, 0, 1), 6).alias("score"))
 
 
+def scored_table(spark, sf) -> DataFrame:
+    """Scored rows as the stored table they are in production, for reports that read them repeatedly."""
+    return materialize(scored(spark, sf), "scored")
+
+
 _SENSOR_SQL = ", ".join(f"avg(value) FILTER (WHERE event_type = '{s[2:]}') AS {s}" for s in SENSORS)
 _ENTITY_SQL = "CAST(user_id % 2 + 2 * (user_id // 150) + 1 AS INTEGER)"
 _MAP = " ".join(f"WHEN code IN ({a}, {b}) THEN '{n}'" for n, (a, b) in FAMILY_CODES.items())

@@ -89,13 +89,13 @@ def _(spark, sf):
 @query("jn_6_window_minimum", sql("""
     SELECT entity_id, family, event_start, best_score FROM fx_windows""", "fx_windows"))
 def _(spark, sf):
-    return evaluate.event_windows(fx.scored(spark, sf), fx.lead(), 12)
+    return evaluate.event_windows(fx.scored_table(spark, sf), fx.lead(), 12)
 
 
 @query("jn_6_window_maximum", sql("""
     SELECT entity_id, family, event_start, max_score AS best_score FROM fx_windows""", "fx_windows"))
 def _(spark, sf):
-    return evaluate.event_windows(fx.scored(spark, sf), fx.lead(), 12, score="score", best="max")
+    return evaluate.event_windows(fx.scored_table(spark, sf), fx.lead(), 12, score="score", best="max")
 
 
 @query("jn_7_coverage", sql("""

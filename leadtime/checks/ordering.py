@@ -13,10 +13,10 @@ from leadtime.operators import clean, diagnostics as dg, evaluate as ev, report,
 
 
 @query("ord_1_sorted_log", sql("""SELECT event_id, CASE WHEN status = 'Informational' THEN NULL
-    ELSE date_trunc('second', event_ts)::TIMESTAMP END AS at FROM fx_status ORDER BY at NULLS FIRST, event_id""", "fx_status"))
+    ELSE date_trunc('second', event_ts)::TIMESTAMP END AS started FROM fx_status ORDER BY started NULLS FIRST, event_id""", "fx_status"))
 def _(spark, sf):
     text = F.when(F.col("status") == "Informational", "-").otherwise(F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss"))
-    return fx.status(spark, sf).select("event_id", parse_ts(text).alias("at")).orderBy("at", "event_id")
+    return fx.status(spark, sf).select("event_id", parse_ts(text).alias("started")).orderBy("started", "event_id")
 
 
 _M = " UNION ALL ".join(f"""SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_missing,
@@ -69,8 +69,9 @@ def _(spark, sf):
 
 def _candidates(spark, sf):
     """Two candidates per family: the prediction, and one that alerts at the raw value."""
-    one = _alert_summary(spark, sf).withColumn("source", F.lit("target"))
-    scored = fx.scored(spark, sf).withColumn("pred_h", F.col("raw_h"))
+    table = fx.scored_table(spark, sf)
+    one = _alert_summary(spark, sf, table).withColumn("source", F.lit("target"))
+    scored = table.withColumn("pred_h", F.col("raw_h"))
     rows = ev.confusion(scored, F.col("pred_h") <= fx.alert_h(), F.col("is_pre")).drop("f1", "tn")
     events = ev.event_recall(ev.event_windows(scored, fx.lead(), 12), F.col("best_score") <= fx.alert_h())
     return one.unionByName(ev.alert_summary(rows, events).withColumn("source", F.lit("donor+target")))

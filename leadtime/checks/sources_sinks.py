@@ -209,7 +209,7 @@ def _(spark, sf):
     "fx_scored", "fx_windows"))
 def _(spark, sf):
     keys = ["entity_id", "family"]
-    scored = fx.scored(spark, sf)
+    scored = fx.scored_table(spark, sf)
     metrics = ev.regression_metrics(scored, keys)
     lines = report.alert_timeline(scored, fx.lead())
     events = ev.event_windows(scored, fx.lead(), 12)

@@ -8,7 +8,7 @@ from leadtime.checks import fixtures as fx
 from leadtime.checks.fixtures import sql
 from leadtime.checks.joins import fx_baseline
 from leadtime.checks.registry import query, r
-from leadtime.checks.windows import rolling_sql
+from leadtime.checks.windows import off_half, rolling_sql
 from leadtime.operators import faults as flt
 from leadtime.plans.lineage import fresh_path
 from leadtime.streaming import jobs
@@ -61,7 +61,7 @@ def _run_features(spark, sf):
 def _(spark, sf):
     """Three increments give the features of one full run."""
     out = _run_features(spark, sf).drop("batch_id")
-    return out.select("entity_id", "ts", *[r(c, 7 if "mean" in c else 6).alias(c) for c in out.columns
+    return out.select("entity_id", "ts", *[r(F.col(c) + off_half(c)).alias(c) for c in out.columns
                                            if c not in ("entity_id", "ts")])
 
 

@@ -26,9 +26,10 @@ def _(spark, sf):
     return out.select("entity_id", "ts", "row_no", *[r(s).alias(s) for s in fx.SENSORS])
 
 
-def _digits(name):
-    """Means of two-decimal readings over 144 rows end exactly between two sixth decimals; seven keep them apart."""
-    return 7 if "mean" in name else 6
+def off_half(name):
+    """Means of two-decimal readings may end exactly between two sixth decimals, where two engines
+    round apart. Both sides add the same hair to means."""
+    return 1e-8 if "mean" in name else 0.0
 
 
 def rolling_sql(sensors, windows, stats, ratio=False):
@@ -44,7 +45,7 @@ def rolling_sql(sensors, windows, stats, ratio=False):
                     "std": f"CASE WHEN {gate} THEN coalesce(stddev_samp({s}) OVER w_{win}, 0) ELSE 0 END",
                     "p95": f"CASE WHEN {gate} THEN quantile_cont({s}, 0.95) OVER w_{win} END",
                     "exceed": f"CASE WHEN {gate} THEN avg(({s} > b_{s}.p90)::INT) OVER w_{win} END"}
-            cols += [f"round({body[k]}, {_digits(k)}) AS {s}__{k}_{win}" for k in stats]
+            cols += [f"round({body[k]} + {off_half(k)}, 6) AS {s}__{k}_{win}" for k in stats]
         if ratio:
             cols.append(f"round(CASE WHEN row_no >= {windows[longest] // 3} AND abs(b_{s}.mean) > 1e-6 "
                         f"THEN avg({s}) OVER w_{longest} / abs(b_{s}.mean) END, 6) AS {s}__baseline_ratio")
@@ -57,7 +58,7 @@ def rolling_sql(sensors, windows, stats, ratio=False):
 def _rolling(spark, sf, sensors, windows, engine, names):
     feats = rolling_features(fx.telemetry(spark, sf), sensors, fx_baseline(spark, sf, sensors), windows=windows,
                              engine=engine, chunk_rows=fx.CHUNK)
-    return feats.select("entity_id", "ts", *[r(n, _digits(n)).alias(n) for n in names])
+    return feats.select("entity_id", "ts", *[r(F.col(n) + off_half(n)).alias(n) for n in names])
 
 
 for _id, _stat in (("win_2_rolling_mean", "mean"), ("win_3_rolling_std", "std"), ("win_4_rolling_p95", "p95"),
@@ -126,7 +127,7 @@ def _smooth_sql(n):
 
 @query("win_11_smoothed_scores", sql(" UNION ALL ".join(_smooth_sql(n) for n in (1, 3, 6, 12)), "fx_ranked"))
 def _(spark, sf):
-    rows = fx.scored(spark, sf).select("entity_id", "family", "ts", "is_pre", "score")
+    rows = fx.scored_table(spark, sf).select("entity_id", "family", "ts", "is_pre", "score")
     parts = []
     for n in (1, 3, 6, 12):
         smooth = smooth_centered(rows, "score", n, ["entity_id", "family"], chunk_rows=fx.CHUNK)

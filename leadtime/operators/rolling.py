@@ -3,7 +3,7 @@
 Two engines with the same result:
 
 * ``native``: window functions. Fine for short frames; an exact percentile sorts each frame again.
-* ``halo``: pandas rolling inside each chunk of rows (``applyInPandas``), for long frames.
+* ``halo``: pandas rolling inside each chunk of rows (``applyInArrow``), for long frames.
 
 Both work on chunks of bounded size with the rows before the chunk copied in, so a single long
 series spreads over as many tasks as it has chunks.
@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadtime import config
 from leadtime.plans.series import CHUNK_ROWS, fill_forward, number_rows, with_halo
@@ -98,45 +99,49 @@ def _native(pieces, sensors, windows, by, time):
 
 
 def _halo(pieces, sensors, windows, by, time):
-    kinds = dict(pieces.dtypes)
     names = feature_names(sensors, windows)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in [*by, time]] + [f"`{n}` double" for n in names])
     keys, spans = [*by, time], dict(windows)
     longest = max(spans, key=spans.get)
+    schema = T.StructType([pieces.schema[c] for c in keys]
+                          + [T.StructField(n, T.DoubleType()) for n in names])
 
-    def chunk_features(pdf):
+    def chunk_features(table):
         import numpy as np
         import pandas as pd
-
-        pdf = pdf.sort_values("row_no")
-        own = pdf["own"].to_numpy(bool)
-        if not own.any():
-            return pd.DataFrame({c: pdf[c].iloc[:0] for c in keys} | {n: np.empty(0) for n in names})
-        row_no = pdf["row_no"].to_numpy()[own]
-        out = {c: pdf[c].to_numpy()[own] for c in keys}
+        import pyarrow as pa
+
+        table = table.sort_by("row_no")
+        own = table["own"].to_numpy()
+        kept = table.filter(table["own"])
+        row_no = kept["row_no"].to_numpy()
+        out = [kept[c].combine_chunks() for c in keys]
+        if not len(row_no):
+            return pa.table(out + [pa.array([], pa.float64())] * len(names), names=[*keys, *names])
+        position = np.arange(1, len(own) + 1)
         for s in sensors:
-            values = pd.Series(pdf[s].to_numpy(float))
-            p90 = pdf[f"{s}__bl_p90"].iloc[0]
-            bl_mean = pdf[f"{s}__bl_mean"].iloc[0]
-            over = pd.Series(np.where(values > p90, 1.0, 0.0))
+            values = pd.Series(table[s].to_numpy())
+            p90, bl_mean = table[f"{s}__bl_p90"][0].as_py(), table[f"{s}__bl_mean"][0].as_py()
+            if p90 is not None:
+                over = np.concatenate([[0], np.cumsum(values.to_numpy() > p90)])
             for win, w in spans.items():
                 ready = row_no >= max(1, w // 3)
                 frame = values.rolling(w, min_periods=1)
                 mean = np.where(ready, frame.mean().to_numpy()[own], np.nan)
-                std = np.where(ready, frame.std().to_numpy()[own], 0.0)
-                out[f"{s}__mean_{win}"] = mean
-                out[f"{s}__std_{win}"] = np.nan_to_num(std, nan=0.0)
-                out[f"{s}__p95_{win}"] = np.where(ready, frame.quantile(0.95).to_numpy()[own], np.nan)
-                share = over.rolling(w, min_periods=1).mean().to_numpy()[own]
-                known = ready & (not pd.isna(p90))
-                out[f"{s}__exceed_{win}"] = np.where(known, share, np.nan)
+                std = np.where(ready, np.nan_to_num(frame.std().to_numpy()[own]), 0.0)
+                p95 = np.where(ready, frame.quantile(0.95).to_numpy()[own], np.nan)
+                share = np.full(len(row_no), np.nan)
+                if p90 is not None:
+                    start = np.maximum(position - w, 0)
+                    share = ((over[position] - over[start]) / (position - start))[own]
+                    share[~ready] = np.nan
+                out += [pa.array(x, from_pandas=True) for x in (mean, std, p95, share)]
                 if win == longest:
-                    size = 1.0 if pd.isna(bl_mean) else abs(bl_mean)
-                    out[f"{s}__baseline_ratio"] = mean / size if size > 1e-6 else np.full(len(mean), np.nan)
-        return pd.DataFrame(out)[[*keys, *names]]
+                    size = 1.0 if bl_mean is None else abs(bl_mean)
+                    ratio = mean / size if size > 1e-6 else np.full(len(mean), np.nan)
+            out.append(pa.array(ratio, from_pandas=True))
+        return pa.table(out, names=[*keys, *names])
 
-    raw = pieces.groupBy(*by, "chunk").applyInPandas(chunk_features, schema)
-    return raw.select(*keys, *[F.when(~F.isnan(n), F.col(n)).alias(n) for n in names])
+    return pieces.groupBy(*by, "chunk").applyInArrow(chunk_features, schema)
 
 
 def family_view(features: DataFrame, family: str, sensors: Sequence[str],
