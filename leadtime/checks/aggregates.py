@@ -55,8 +55,9 @@ def _(spark, sf):
 
 
 @query("agg_6_repeated_instants", sql("""
-    SELECT entity_id, ts, string_agg(code::VARCHAR, ',' ORDER BY code) AS codes, count(*) AS n_events
-    FROM fx_critical GROUP BY 1, 2 HAVING count(*) > 1""", "fx_critical"))
+    SELECT entity_id, ts, string_agg(code || 'x' || n, ',' ORDER BY code) AS codes, sum(n)::BIGINT AS n_events
+    FROM (SELECT entity_id, ts, code, count(*) AS n FROM fx_critical GROUP BY 1, 2, 3) GROUP BY 1, 2
+    HAVING sum(n) > 1""", "fx_critical"))
 def _(spark, sf):
     rows = flt.drop_codes(flt.critical_events(fx.status(spark, sf)), fx.excluded(spark))
     return flt.repeated_instants(rows.withColumn("ts", fx.floor_ts("event_ts")))

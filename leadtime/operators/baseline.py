@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadtime import config
+from leadtime.plans.lineage import join_sized
 from leadtime.plans.ranking import percentiles
 
 
@@ -21,8 +22,8 @@ def baseline(df: DataFrame, sensors: Sequence[str], *, days: int | None = config
     by = list(by)
     span: Column = F.make_interval(months=F.lit(months)) if months else F.make_interval(days=F.lit(days))
     starts = df.groupBy(*by).agg((F.min(time) + span).alias("_until"))
-    period = df.select(*by, time, *[F.col(s).cast("double").alias(s) for s in sensors]).join(
-        starts, by).where(F.col(time) < F.col("_until"))
+    readings = df.select(*by, time, *[F.col(s).cast("double").alias(s) for s in sensors])
+    period = join_sized(readings, starts, by).where(F.col(time) < F.col("_until"))
     long = period.unpivot([*by, time], list(sensors), "sensor", "value")
     means = long.groupBy(*by, "sensor").agg(
         F.round(F.avg("value"), 6).alias("mean"), F.count(F.lit(1)).alias("n_rows"))

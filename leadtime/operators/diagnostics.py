@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadtime.functions.scalars import guarded_ratio
+from leadtime.plans.lineage import join_sized
 from leadtime.plans.ranking import percentiles, running_counts
 
 
@@ -24,7 +25,7 @@ def class_balance(labels: DataFrame, by: Sequence[str] = ("family",)) -> DataFra
 def split_events(faults: DataFrame, cuts: DataFrame, by: Sequence[str] = ("family",),
                  keys: Sequence[str] = ("entity_id",), time: str = "ts") -> DataFrame:
     """Faults before, and at or after, the cut of their entity."""
-    joined = faults.join(cuts, list(keys))
+    joined = join_sized(faults, cuts, keys)
     return joined.groupBy(*by).agg(
         F.count_if(F.col(time) < F.col("cut")).alias("n_train"),
         F.count_if(F.col(time) >= F.col("cut")).alias("n_test"), F.count(F.lit(1)).alias("n_total"))
@@ -100,8 +101,7 @@ def separation(df: DataFrame, score: str, label: Column, by: Sequence[str] = ("f
     rows = df.select(*by, F.col(score).alias("_s"), label.alias("_y"))
     neg = percentiles(rows.where(~F.col("_y")), by, "_s", {"neg_p95": 0.95})
     pos = percentiles(rows.where("_y"), by, "_s", {"pos_p05": 0.05})
-    # one row per group: the optimizer broadcasts the limits only below its size limit
-    joined = rows.join(neg.join(pos, by, "full"), by)
+    joined = join_sized(rows, neg.join(pos, by, "full"), by)
     return joined.groupBy(*by).agg(
         F.avg(F.when(~F.col("_y"), F.col("_s"))).alias("neg_mean"), F.max("neg_p95").alias("neg_p95"),
         F.avg(F.when(F.col("_y"), F.col("_s"))).alias("pos_mean"), F.max("pos_p05").alias("pos_p05"),
@@ -188,7 +188,7 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ("famil
     rows = df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_v"))
     small = rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))  # equal values first
     limits = small.groupBy(*scope).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    joined = small.join(limits, scope)
+    joined = join_sized(small, limits, scope)
     width = (F.col("_hi") - F.col("_lo")) / bins
     raw = F.floor(F.try_divide(F.col("_v") - F.col("_lo"), width))
     bucket = F.least(F.coalesce(raw, F.lit(0)), F.lit(bins - 1)) + 1

@@ -101,13 +101,15 @@ def reconcile(events: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def repeated_instants(events: DataFrame, by: Sequence[str] = ("entity_id", "ts")) -> DataFrame:
-    """Instants with more than one event and the codes seen there, in order."""
+    """Instants with more than one event and the codes seen there with their counts (``716x2,717x1``).
+
+    Counting per code first keeps the list as long as the catalog, not as the burst of events.
+    """
     per_code = events.groupBy(*by, "code").agg(F.count(F.lit(1)).alias("n"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("code", "n"))),
+                         lambda e: F.concat_ws("x", e.code.cast("string"), e.n.cast("string")))
     return (per_code.groupBy(*by)
-            .agg(F.array_join(F.flatten(F.transform(
-                    F.array_sort(F.collect_list(F.struct("code", "n"))),
-                    lambda e: F.array_repeat(e.code.cast("string"), e.n.cast("int")))), ",").alias("codes"),
-                 F.sum("n").alias("n_events"))
+            .agg(F.array_join(listed, ",").alias("codes"), F.sum("n").alias("n_events"))
             .where("n_events > 1"))
 
 

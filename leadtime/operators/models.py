@@ -77,9 +77,14 @@ def tree_depth(leaves: int) -> int:
 
 
 def fit_calibration(scored: DataFrame, raw: str = "raw_h", actual: str = "hours_to",
-                    out: str = "pred_h") -> IsotonicRegressionModel:
-    """Increasing curve from raw to actual hours; equal raw values are averaged before the fit."""
-    points = scored.groupBy(raw).agg(F.avg(actual).alias("_y"), F.count(F.lit(1)).cast("double").alias("_w"))
+                    out: str = "pred_h", resolution: float = 0.001) -> IsotonicRegressionModel:
+    """Increasing curve from raw to actual hours.
+
+    Raw hours are read at ``resolution`` (a few seconds; reports show tenths of hours) and rows with
+    the same raw hours are averaged, so the fit sees at most lead time / resolution points however
+    many rows there are.
+    """
+    points = scored.withColumn(raw, F.round(F.col(raw) / resolution) * resolution).groupBy(raw).agg(F.avg(actual).alias("_y"), F.count(F.lit(1)).cast("double").alias("_w"))
     return IsotonicRegression(isotonic=True, featuresCol=raw, labelCol="_y", weightCol="_w",
                               predictionCol=out).fit(points)
 

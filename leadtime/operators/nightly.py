@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from leadtime import config
 from leadtime.operators.rolling import rolling_over
+from leadtime.plans.lineage import join_sized
 from leadtime.plans.series import CHUNK_ROWS, fill_forward, number_rows
 
 
 def new_rows(df: DataFrame, mark: DataFrame, by: Sequence[str] = ("entity_id",), time: str = "ts") -> DataFrame:
     """Rows after the stored time of their entity; all rows of an entity that is not stored yet."""
-    joined = df.join(mark, list(by), "left")
+    joined = join_sized(df, mark, by, "left")
     return (joined.where(F.col("stored_until").isNull() | (F.col(time) > F.col("stored_until")))
             .drop("stored_until"))
 
@@ -26,10 +27,10 @@ def with_context(df: DataFrame, mark: DataFrame, rows: int = config.CONTEXT_ROWS
     The position of the first new row of an entity is a one-row aggregate per entity.
     """
     by = list(by)
-    numbered = number_rows(df, by, time).join(mark, by, "left").withColumn(
+    numbered = join_sized(number_rows(df, by, time), mark, by, "left").withColumn(
         "is_new", F.col("stored_until").isNull() | (F.col(time) > F.col("stored_until")))
     firsts = numbered.where("is_new").groupBy(*by).agg(F.min("row_no").alias("_first"))
-    return (numbered.join(firsts, by).where(F.col("row_no") >= F.col("_first") - rows)
+    return (join_sized(numbered, firsts, by).where(F.col("row_no") >= F.col("_first") - rows)
             .drop("_first", "stored_until"))
 
 
@@ -68,13 +69,13 @@ def update_features(new: DataFrame, context: DataFrame, sensors: Sequence[str],
     rows = context.drop("row_no").withColumn("is_new", F.lit(False)).unionByName(
         fresh.withColumn("is_new", F.lit(True)))
     filled = fill_forward(rows, by, time, sensors, number="row_no")
-    placed = (filled.join(stored.select(*by, "_skip"), by, "left")
+    placed = (join_sized(filled, stored.select(*by, "_skip"), by, "left")
               .withColumn("row_no", F.col("row_no") + F.coalesce("_skip", F.lit(0))).drop("_skip"))
     features = rolling_over(placed, sensors, base, windows=windows, engine=engine, by=by, time=time,
                             chunk_rows=chunk_rows)
     added = features.join(fresh.select(*by, time), [*by, time], "left_semi")
     ends = placed.groupBy(*by).agg(F.max("row_no").alias("_end"))
-    kept = (placed.join(ends, by).where(F.col("row_no") > F.col("_end") - reach)
+    kept = (join_sized(placed, ends, by).where(F.col("row_no") > F.col("_end") - reach)
             .select(*by, time, "row_no", *sensors))
     return added, kept
 

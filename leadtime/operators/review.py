@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from leadtime import config
 from leadtime.operators.faults import cluster_events
+from leadtime.plans.lineage import join_sized
 from leadtime.plans.series import HOUR_US, hours_between, interval_join
 
 KEYS = ("entity_id", "family")
@@ -57,6 +58,12 @@ def _slot(value: Column, floor: Column, step: int) -> Column:
     return F.greatest(F.floor((value - floor) / step) + 1, F.lit(0))
 
 
+def _floor_of(floors: DataFrame) -> Column:
+    """Operational floor of the row's family as a literal map: the parameters are a row per family."""
+    pairs = [F.lit(v) for row in floors.select("family", "floor_h").collect() for v in row]
+    return F.try_element_at(F.create_map(*pairs), F.col("family"))
+
+
 def threshold_sweep(preds: DataFrame, events: DataFrame, floors: DataFrame, *,
                     ceiling: int = config.SWEEP_CEILING_H, step: int = config.SWEEP_STEP_H,
                     match_hours: float = config.MATCH_WINDOW_H, time: str = "ts") -> DataFrame:
@@ -65,10 +72,10 @@ def threshold_sweep(preds: DataFrame, events: DataFrame, floors: DataFrame, *,
     An alert is ``pred_h < threshold``. Recall is NULL without events, precision without alerts.
     ``floors`` has (family, floor_h).
     """
-    # a handful of families: the floors join is a broadcast the optimizer picks by size
-    slot = _slot(F.col("pred_h"), F.col("floor_h"), step).alias("slot")
+    floor = _floor_of(floors)
+    slot = _slot(F.col("pred_h"), floor, step).alias("slot")
     alerts = (alert_hits(preds.where(F.col("pred_h").isNotNull()), events, match_hours, time)
-              .join(floors, "family").groupBy("family", slot)
+              .where(floor.isNotNull()).groupBy("family", slot)
               .agg(F.count(F.lit(1)).alias("n"), F.count_if("hit").alias("n_hit")))
 
     # readings at which the lowest prediction of an event so far falls, in time order
@@ -79,7 +86,7 @@ def threshold_sweep(preds: DataFrame, events: DataFrame, floors: DataFrame, *,
     later = F.lead("lead_h").over(before)
     met = (lows.withColumns({"_event": later.isNull().cast("int"),
                              "_gain": F.col("lead_h") - F.coalesce(later, F.lit(0.0))})
-           .join(floors, "family").groupBy("family", slot)
+           .where(floor.isNotNull()).groupBy("family", slot)
            .agg(F.sum("_event").alias("met"), F.sum("_gain").alias("lead")))
 
     totals = events.groupBy("family").agg(F.count(F.lit(1)).alias("n_events"))
@@ -126,7 +133,7 @@ def threshold_review(preds: DataFrame, faults: DataFrame, floors: DataFrame, *,
     Evaluable events are the clusters from the day of the first prediction on.
     """
     first = preds.groupBy("family").agg(F.date_trunc("day", F.min(time)).alias("_since"))
-    events = (cluster_events(faults, gap_hours, by, time).join(first, "family")
+    events = (join_sized(cluster_events(faults, gap_hours, by, time), first, "family")
               .where(F.col(time) >= F.col("_since")).drop("_since"))
     sweep = threshold_sweep(preds, events, floors, ceiling=ceiling, step=step, match_hours=match_hours, time=time)
     counts = events.groupBy("family").agg(F.count(F.lit(1)).alias("n_events"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadtime import config
+from leadtime.plans.lineage import join_sized
 from leadtime.plans.series import CHUNK_ROWS, fill_forward, number_rows, with_halo
 from leadtime.operators.baseline import baseline_wide
 
@@ -64,8 +65,7 @@ def rolling_over(rows: DataFrame, sensors: Sequence[str], base: DataFrame, *,
     limits = baseline_wide(base, sensors, by)
     reach = max(windows.values()) - 1
     pieces = with_halo(rows, before=reach, chunk_rows=max(chunk_rows, reach))
-    # one short row per entity: the optimizer broadcasts it only below its size limit
-    pieces = pieces.join(limits, by, "left")
+    pieces = join_sized(pieces, limits, by, "left")
     compute = {"native": _native, "halo": _halo}[engine]
     return compute(pieces, sensors, windows, by, time)
 

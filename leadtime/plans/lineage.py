@@ -29,6 +29,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def join_sized(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with a reduced side whose size is settled first.
+
+    The reduced side (one row per entity, family or source) is written once. Spark then plans with
+    its real size: below ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast and the large side
+    is not shuffled, however uneven its keys are; above it both sides are shuffled and adaptive
+    execution splits the uneven partitions.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    return big.join(materialize(small, "reduced"), on, how)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write the rows once and read them back: later branches do not recompute them."""
     path = fresh_path(df.sparkSession, name)
