@@ -35,7 +35,7 @@ def fault_context(df: DataFrame, faults: DataFrame, families: Sequence[config.Fa
     probes = df.withColumns({"_block": block_of(time, days), "_probe": F.lit(1)})
 
     merge = {c: (F.min if c.startswith("next_") else F.max) for c in wanted}
-    per_block = (probes.select(*by, "_block").distinct()
+    per_block = (probes.select(*by, "_block")
                  .unionByName(steps.drop(time, "_probe"), allowMissingColumns=True)
                  .groupBy(*by, "_block").agg(*[merge[c](c).alias(c) for c in wanted]))
     series = Window.partitionBy(*by).orderBy("_block")
