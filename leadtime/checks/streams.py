@@ -10,7 +10,7 @@ from leadtime.checks.joins import fx_baseline
 from leadtime.checks.registry import query, r
 from leadtime.checks.windows import off_half, rolling_sql
 from leadtime.operators import faults as flt
-from leadtime.plans.lineage import fresh_path
+from leadtime.plans.lineage import fresh_path, materialize
 from leadtime.streaming import jobs
 
 WIN = {"1h": 6, "24h": 144}
@@ -35,25 +35,24 @@ def _faults(spark, sf):
     return flt.map_family(flt.critical_events(_status(spark, sf)), fx.families(spark)).where("family IS NOT NULL")
 
 
-def _split_telemetry(spark, sf, order="ts"):
-    """Telemetry as files of consecutive days, read one file at a time."""
+def _split_telemetry(spark, sf):
+    """Telemetry as three folders of consecutive days."""
     path = fresh_path(spark, "telemetry")
     tel = fx.telemetry(spark, sf).select("entity_id", "ts", *fx.SENSORS)
-    for i, (lo, hi) in enumerate((("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01"))):
-        part = tel.where((F.col("ts") >= F.lit(lo).cast("timestamp")) & (F.col("ts") < F.lit(hi).cast("timestamp")))
-        part.write.mode("append").parquet(f"{path}/part={i}")
+    third = F.when(F.col("ts") < F.lit("2024-01-11").cast("timestamp"), 0).when(
+        F.col("ts") < F.lit("2024-01-21").cast("timestamp"), 1).otherwise(2)
+    tel.withColumn("part", third).write.partitionBy("part").parquet(path)
     return tel.schema, path
 
 
 def _run_features(spark, sf):
     schema, path = _split_telemetry(spark, sf)
-    base = fx_baseline(spark, sf, TWO)
+    base = materialize(fx_baseline(spark, sf, TWO), "baseline")
     store, check = fresh_path(spark, "store"), fresh_path(spark, "progress")
     for i in range(3):  # three nightly runs over a growing folder
         stream = spark.readStream.schema(schema).parquet(f"{path}/part={i}")
-        done = 0 if i == 0 else i
         handle = jobs.feature_batches(store, TWO, base, WIN)
-        jobs.run_batches(stream, lambda df, n, h=handle, d=done: h(df, n + d), f"{check}/{i}")
+        jobs.run_batches(stream, lambda df, n, h=handle, first=i: h(df, first + n), f"{check}/{i}")
     return spark.read.parquet(f"{store}/features")
 
 
@@ -70,7 +69,7 @@ def _(spark, sf):
 def _(spark, sf):
     """A batch that runs twice leaves every row once."""
     schema, path = _split_telemetry(spark, sf)
-    base = fx_baseline(spark, sf, TWO)
+    base = materialize(fx_baseline(spark, sf, TWO), "baseline")
     store = fresh_path(spark, "store")
     handle = jobs.feature_batches(store, TWO, base, WIN)
     for i in (0, 1, 1, 2):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -141,13 +142,13 @@ FAMILY_SENSORS = {
 
 def family_table(spark: SparkSession, families=FAMILIES) -> DataFrame:
     """Family parameters, one row per family (a dimension of a handful of rows)."""
-    rows = [
-        (f.name, float(f.lead_hours), float(f.alert_h), float(f.retrain_alert_h), int(f.floor_h))
-        for f in families
-    ]
-    return spark.createDataFrame(
-        rows, "family string, lead_hours double, alert_h double, retrain_alert_h double, floor_h int"
-    )
+    return spark.createDataFrame(pa.table({
+        "family": [f.name for f in families],
+        "lead_hours": [float(f.lead_hours) for f in families],
+        "alert_h": [float(f.alert_h) for f in families],
+        "retrain_alert_h": [float(f.retrain_alert_h) for f in families],
+        "floor_h": pa.array([int(f.floor_h) for f in families], pa.int32()),
+    }))
 
 
 def code_table(spark: SparkSession, family_codes=None) -> DataFrame:
@@ -156,8 +157,9 @@ def code_table(spark: SparkSession, family_codes=None) -> DataFrame:
     for family, codes in (family_codes or FAMILY_CODES).items():
         for code in codes:
             seen.setdefault(int(code), family)
-    return spark.createDataFrame(list(seen.items()), "code int, family string")
+    return spark.createDataFrame(pa.table({
+        "code": pa.array(seen.keys(), pa.int32()), "family": list(seen.values())}))
 
 
 def excluded_table(spark: SparkSession, codes=EXCLUDED_CODES) -> DataFrame:
-    return spark.createDataFrame([(int(c),) for c in codes], "code int")
+    return spark.createDataFrame(pa.table({"code": pa.array([int(c) for c in codes], pa.int32())}))

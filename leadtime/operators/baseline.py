@@ -24,9 +24,10 @@ def baseline(df: DataFrame, sensors: Sequence[str], *, days: int | None = config
     starts = df.groupBy(*by).agg((F.min(time) + span).alias("_until"))
     readings = df.select(*by, time, *[F.col(s).cast("double").alias(s) for s in sensors])
     period = join_sized(readings, starts, by).where(F.col(time) < F.col("_until"))
+    means = (period.groupBy(*by)
+             .agg(F.count(F.lit(1)).alias("n_rows"), *[F.round(F.avg(s), 6).alias(s) for s in sensors])
+             .unpivot([*by, "n_rows"], list(sensors), "sensor", "mean"))
     long = period.unpivot([*by, time], list(sensors), "sensor", "value")
-    means = long.groupBy(*by, "sensor").agg(
-        F.round(F.avg("value"), 6).alias("mean"), F.count(F.lit(1)).alias("n_rows"))
     p90 = percentiles(long, [*by, "sensor"], "value", {"p90": 0.90})
     return means.join(p90, [*by, "sensor"], "left").select(
         *by, "sensor", "mean", F.round("p90", 6).alias("p90"), "n_rows")

@@ -186,14 +186,13 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ("famil
     by = list(by)
     scope = by if shared_range is None else list(shared_range)
     rows = df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_v"))
-    small = rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))  # equal values first
-    limits = small.groupBy(*scope).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    joined = join_sized(small, limits, scope)
+    limits = rows.groupBy(*scope).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    joined = join_sized(rows, limits, scope)
     width = (F.col("_hi") - F.col("_lo")) / bins
     raw = F.floor(F.try_divide(F.col("_v") - F.col("_lo"), width))
     bucket = F.least(F.coalesce(raw, F.lit(0)), F.lit(bins - 1)) + 1
     counts = joined.groupBy(*by, bucket.alias("bin")).agg(
-        F.sum("_c").alias("n"), F.max(width).alias("_w"))
+        F.count(F.lit(1)).alias("n"), F.max(width).alias("_w"))
     if not density:
         return counts.drop("_w")
     total = F.sum("n").over(Window.partitionBy(*by))

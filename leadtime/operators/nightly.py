@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from leadtime import config
 from leadtime.operators.rolling import rolling_over
-from leadtime.plans.lineage import join_sized
+from leadtime.plans.lineage import join_sized, materialize
 from leadtime.plans.series import CHUNK_ROWS, fill_forward, number_rows
 
 
@@ -62,21 +62,21 @@ def update_features(new: DataFrame, context: DataFrame, sensors: Sequence[str],
     """
     by, sensors = list(by), list(dict.fromkeys(sensors))
     reach = max(windows.values()) - 1
-    stored = context.groupBy(*by).agg(
-        F.max(time).alias("stored_until"), (F.min("row_no") - 1).alias("_skip"))
+    stored = materialize(context.groupBy(*by).agg(
+        F.max(time).alias("stored_until"), (F.min("row_no") - 1).alias("_skip")), "stored")
+    is_new = F.col("stored_until").isNull() | (F.col(time) > F.col("stored_until"))
     narrow = new.select(*by, time, *[F.col(s).cast("double").alias(s) for s in sensors])
-    fresh = new_rows(narrow, stored.select(*by, "stored_until"), by, time)
-    rows = context.drop("row_no").withColumn("is_new", F.lit(False)).unionByName(
-        fresh.withColumn("is_new", F.lit(True)))
-    filled = fill_forward(rows, by, time, sensors, number="row_no")
-    placed = (join_sized(filled, stored.select(*by, "_skip"), by, "left")
-              .withColumn("row_no", F.col("row_no") + F.coalesce("_skip", F.lit(0))).drop("_skip"))
+    fresh = narrow.join(stored, by, "left").where(is_new).select(*narrow.columns)
+    filled = fill_forward(context.drop("row_no").unionByName(fresh), by, time, sensors, number="row_no")
+    placed = materialize(
+        filled.join(stored, by, "left")
+        .withColumn("row_no", F.col("row_no") + F.coalesce("_skip", F.lit(0)))
+        .select(*by, time, "row_no", *sensors), "placed")
     features = rolling_over(placed, sensors, base, windows=windows, engine=engine, by=by, time=time,
                             chunk_rows=chunk_rows)
-    added = features.join(fresh.select(*by, time), [*by, time], "left_semi")
+    added = features.join(stored, by, "left").where(is_new).select(*features.columns)
     ends = placed.groupBy(*by).agg(F.max("row_no").alias("_end"))
-    kept = (join_sized(placed, ends, by).where(F.col("row_no") > F.col("_end") - reach)
-            .select(*by, time, "row_no", *sensors))
+    kept = join_sized(placed, ends, by).where(F.col("row_no") > F.col("_end") - reach).drop("_end")
     return added, kept
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from leadtime import config
 from leadtime.operators.faults import cluster_events
-from leadtime.plans.lineage import join_sized
-from leadtime.plans.series import HOUR_US, hours_between, interval_join
+from leadtime.plans.lineage import join_sized, materialize
+from leadtime.plans.series import HOUR_US, hours_between, interval_join, previous_row
 
 KEYS = ("entity_id", "family")
 
@@ -43,14 +43,18 @@ def event_hits(preds: DataFrame, events: DataFrame, match_hours: float = config.
 
 def alert_hits(preds: DataFrame, events: DataFrame, match_hours: float = config.MATCH_WINDOW_H,
                time: str = "ts") -> DataFrame:
-    """Predictions with ``hit``: an event follows within the match window (or at the same instant)."""
-    ahead = F.lit(int(match_hours * HOUR_US))
-    spans = events.select(*KEYS, F.col(time).alias("_event"),
-                          F.timestamp_micros(F.unix_micros(time) - ahead).alias("_from"))
-    marked = (interval_join(preds.select(*KEYS, time), spans, KEYS, time, "_from", "_event",
-                            hours=match_hours, include_end=True)
-              .select(*KEYS, time).distinct().withColumn("hit", F.lit(True)))
-    return preds.join(marked, [*KEYS, time], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+    """Predictions with ``hit``: an event follows within the match window (or at the same instant).
+
+    The window of an event starts after the event before it, so windows do not overlap and every
+    prediction meets at most one.
+    """
+    linked = previous_row(events.select(*KEYS, time), KEYS, time, [time])
+    opens = F.greatest(F.unix_micros(time) - F.lit(int(match_hours * HOUR_US)),
+                       F.unix_micros(f"prev_{time}") + 1)
+    spans = linked.select(*KEYS, F.col(time).alias("_event"), F.timestamp_micros(opens).alias("_from"))
+    pairs = interval_join(preds, spans, KEYS, time, "_from", "_event", hours=match_hours,
+                          include_end=True, how="left")
+    return pairs.withColumn("hit", F.col("_event").isNotNull()).drop("_event", "_from")
 
 
 def _slot(value: Column, floor: Column, step: int) -> Column:
@@ -73,6 +77,7 @@ def threshold_sweep(preds: DataFrame, events: DataFrame, floors: DataFrame, *,
     ``floors`` has (family, floor_h).
     """
     floor = _floor_of(floors)
+    events = materialize(events.select(*KEYS, time), "events")  # sparse, and read three times
     slot = _slot(F.col("pred_h"), floor, step).alias("slot")
     alerts = (alert_hits(preds.where(F.col("pred_h").isNotNull()), events, match_hours, time)
               .where(floor.isNotNull()).groupBy("family", slot)

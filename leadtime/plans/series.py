@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 DAY_US = 86_400_000_000
 HOUR_US = 3_600_000_000
-BLOCK_DAYS = 30
+BLOCK_DAYS = 1  # 144 rows at one reading per 10 minutes; pass less for faster readings
 CHUNK_ROWS = 16_384
 
 
@@ -139,9 +139,12 @@ def with_halo(df: DataFrame, row_no: str = "row_no", *, before: int = 0, after:
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, by: Sequence[str], time: str,
-                  start: str, end: str, *, hours: float, include_end: bool = False) -> DataFrame:
+                  start: str, end: str, *, hours: float, include_end: bool = False,
+                  how: str = "inner") -> DataFrame:
     """Pairs with ``start <= time < end`` (or ``<= end``), as an equi-join on slices of time.
 
+    ``how="left"`` also keeps the points that lie in no interval.
+
     ``hours`` is the usual interval length: an interval is listed in each slice it touches
     (two or three), a point lies in exactly one, so both sides shuffle on (keys, slice).
     """
@@ -149,7 +152,10 @@ def interval_join(points: DataFrame, intervals: DataFrame, by: Sequence[str], ti
     step = F.lit(max(1, int(hours * HOUR_US)))
     lo, hi = F.floor(micros(start) / step), F.floor(micros(end) / step)
     left = points.withColumn("_slice", F.floor(micros(time) / step))
-    right = intervals.withColumn("_slice", F.explode(F.sequence(lo, hi)))
-    inside = F.col(time) >= F.col(start)
-    inside &= (F.col(time) <= F.col(end)) if include_end else (F.col(time) < F.col(end))
-    return left.join(right, [*by, "_slice"]).where(inside).drop("_slice")
+    right = (intervals.withColumn("_slice", F.explode(F.sequence(lo, hi)))
+             .withColumnsRenamed({c: f"_r_{c}" for c in [*by, "_slice"]}))
+    inside = (F.col(time) <= F.col(end)) if include_end else (F.col(time) < F.col(end))
+    inside &= F.col(time) >= F.col(start)
+    for c in [*by, "_slice"]:
+        inside &= F.col(c) == F.col(f"_r_{c}")
+    return left.join(right, inside, how).drop("_slice", *[f"_r_{c}" for c in [*by, "_slice"]])
