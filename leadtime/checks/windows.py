@@ -177,5 +177,4 @@ def _(spark, sf):
     from leadtime.operators.baseline import baseline
     df = materialize(domain.add_domain_features(fx.scada(spark, sf), chunk_rows=fx.CHUNK), "domain")
     wanted = list(dict.fromkeys(s for group in config.FAMILY_SENSORS.values() for s in group if s in df.columns))
-    feats = rolling_features(df, wanted, baseline(df, wanted, days=fx.BASELINE_DAYS), chunk_rows=fx.CHUNK)
-    return feats.select("entity_id", "ts", *[r(n).alias(n) for n in feature_names(wanted)])
+    return rolling_features(df, wanted, baseline(df, wanted, days=fx.BASELINE_DAYS), chunk_rows=fx.CHUNK)
