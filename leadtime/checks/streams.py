@@ -24,11 +24,16 @@ def _events(spark, sf):
     return fx.with_entity(raw.withColumn("ts", F.col("ts").cast("timestamp")))
 
 
-def _status(spark, sf):
+def _status_of(events):
     kind, code = F.col("event_type"), F.get_json_object("props", "$.k").cast("int")
-    return _events(spark, sf).select(
+    return events.select(
         "entity_id", F.col("ts").alias("event_ts"), "event_id", code.alias("code"),
-        F.when(kind == "error", "Stop").when(kind == "signup", "Warning").otherwise("Other").alias("status"))
+        F.when(kind == "error", "Stop").when(kind == "signup", "Warning").otherwise("Other").alias("status"),
+        F.concat(F.lit("code "), code.cast("string")).alias("message"))
+
+
+def _status(spark, sf):
+    return _status_of(_events(spark, sf))
 
 
 def _faults(spark, sf):
@@ -122,8 +127,7 @@ def _(spark, sf):
     store = fresh_path(spark, "hours")
 
     def to_faults(batch):
-        status = fx.status(spark, sf).join(batch.select("event_id"), "event_id", "left_semi")
-        return flt.extract_faults(status, fx.families(spark), fx.excluded(spark))
+        return flt.extract_faults(_status_of(batch), fx.families(spark), fx.excluded(spark))
 
     def to_readings(batch):
         return batch.select("entity_id", fx.floor_ts("ts").alias("ts")).distinct()

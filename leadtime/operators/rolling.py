@@ -52,22 +52,33 @@ def rolling_features(df: DataFrame, sensors: Sequence[str], base: DataFrame, *,
     by, sensors = list(by), list(dict.fromkeys(sensors))
     narrow = df.select(*by, time, *[F.col(s).cast("double").alias(s) for s in sensors])
     rows = fill_forward(narrow, by, time, sensors, number="row_no")
+    spans = df.groupBy(*by).agg(F.lit(1).cast("long").alias("first"), F.count(F.lit(1)).alias("last"))
     return rolling_over(rows, sensors, base, windows=windows, engine=engine, by=by, time=time,
-                        chunk_rows=chunk_rows)
+                        chunk_rows=chunk_rows, spans=spans)
 
 
 def rolling_over(rows: DataFrame, sensors: Sequence[str], base: DataFrame, *,
                  windows: dict[str, int] = config.WINDOWS, engine: str = "halo",
                  by: Sequence[str] = ("entity_id",), time: str = "ts",
-                 chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """The same for rows that are filled and numbered (``row_no``) already."""
+                 chunk_rows: int = CHUNK_ROWS, spans: DataFrame | None = None) -> DataFrame:
+    """The same for rows that are filled and numbered (``row_no``) already.
+
+    ``spans`` has the first and last position of every entity; it is counted if not given.
+    """
     by, sensors = list(by), list(dict.fromkeys(sensors))
     limits = baseline_wide(base, sensors, by)
     reach = max(windows.values()) - 1
-    pieces = with_halo(rows, before=reach, chunk_rows=max(chunk_rows, reach))
-    pieces = join_sized(pieces, limits, by, "left")
-    compute = {"native": _native, "halo": _halo}[engine]
-    return compute(pieces, sensors, windows, by, time)
+    chunk_rows = max(chunk_rows, reach)
+    pieces = with_halo(rows, before=reach, chunk_rows=chunk_rows)
+    if engine == "native":
+        return _native(join_sized(pieces, limits, by, "left"), sensors, windows, by, time)
+    if spans is None:
+        spans = rows.groupBy(*by).agg(F.min("row_no").alias("first"), F.max("row_no").alias("last"))
+    # the limits travel once per chunk and not with every row
+    chunks = F.sequence(F.floor((F.col("first") - 1) / chunk_rows), F.floor((F.col("last") - 1) / chunk_rows))
+    per_chunk = spans.select(*by, F.explode(chunks).alias("chunk")).join(limits, by, "left")
+    return _halo(pieces.select(*by, time, "row_no", "chunk", "own", *sensors), per_chunk, sensors, windows,
+                 by, time)
 
 
 def _divisor(mean: Column) -> Column:
@@ -98,14 +109,14 @@ def _native(pieces, sensors, windows, by, time):
     return (pieces.select(*by, time, "row_no", "own", *out).where("own").drop("own", "row_no"))
 
 
-def _halo(pieces, sensors, windows, by, time):
+def _halo(pieces, limits, sensors, windows, by, time):
     names = feature_names(sensors, windows)
     keys, spans = [*by, time], dict(windows)
     longest = max(spans, key=spans.get)
     schema = T.StructType([pieces.schema[c] for c in keys]
                           + [T.StructField(n, T.DoubleType()) for n in names])
 
-    def chunk_features(table):
+    def chunk_features(table, limit):
         import numpy as np
         import pandas as pd
         import pyarrow as pa
@@ -120,7 +131,7 @@ def _halo(pieces, sensors, windows, by, time):
         position = np.arange(1, len(own) + 1)
         for s in sensors:
             values = pd.Series(table[s].to_numpy())
-            p90, bl_mean = table[f"{s}__bl_p90"][0].as_py(), table[f"{s}__bl_mean"][0].as_py()
+            p90, bl_mean = limit[f"{s}__bl_p90"][0].as_py(), limit[f"{s}__bl_mean"][0].as_py()
             if p90 is not None:
                 over = np.concatenate([[0], np.cumsum(values.to_numpy() > p90)])
             for win, w in spans.items():
@@ -141,7 +152,12 @@ def _halo(pieces, sensors, windows, by, time):
             out.append(pa.array(ratio, from_pandas=True))
         return pa.table(out, names=[*keys, *names])
 
-    return pieces.groupBy(*by, "chunk").applyInArrow(chunk_features, schema)
+    group = [*by, "chunk"]
+    values = [c for c in limits.columns if c not in group]
+    # both sides come from the same readings: renamed keys keep their columns apart
+    limits = limits.select(*[F.col(c).alias(f"_of_{c}") for c in group], *values)
+    return (pieces.groupBy(*group).cogroup(limits.groupBy(*[f"_of_{c}" for c in group]))
+            .applyInArrow(chunk_features, schema))
 
 
 def family_view(features: DataFrame, family: str, sensors: Sequence[str],
