@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadtime.llm import exact_dedup, mixing
+from leadtime.llm import exact_dedup, mixing, warc
 from leadtime.llm.common import table
 from leadtime.llm.registry import register
 from leadtime.plans.lineage import materialize
@@ -54,3 +54,20 @@ FROM r
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed to the weights 5, 2, 1."""
     return mixing.mix(materialize(mixing.word_sizes(table(spark, sf_dir, "documents")), "sizes"))
+
+
+OP3_SQL = r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT *, translate(lpad(to_base(('0x' || h[1:10])::BIGINT, 32), 8, '0') || lpad(to_base(('0x' || h[11:20])::BIGINT, 32), 8, '0')
+                       || lpad(to_base(('0x' || h[21:30])::BIGINT, 32), 8, '0') || lpad(to_base(('0x' || h[31:40])::BIGINT, 32), 8, '0'),
+                       '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+             min(page_id) OVER (PARTITION BY h) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM d
+"""
+
+
+@register("op3_warc", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages through monolithic archives, the normaliser and the offset index."""
+    return warc.archive_pages(table(spark, sf_dir, "pages")).drop("target_uri")
