@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadtime.llm import exact_dedup, mixing, warc
+from leadtime.llm import exact_dedup, mixing, token_ids, warc
 from leadtime.llm.common import table
 from leadtime.llm.registry import register
 from leadtime.plans.lineage import materialize
 
+#: The tokenizer file that ids are made with; another one is a parameter of the operator.
+TOKENIZER = "word_bpe_49k.json"
+
 OP1_SQL = r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -71,3 +74,9 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages through monolithic archives, the normaliser and the offset index."""
     return warc.archive_pages(table(spark, sf_dir, "pages")).drop("target_uri")
+
+
+@register("op8_token_ids")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text in grammar-compressed shards, reported from the files."""
+    return token_ids.token_ids(table(spark, sf_dir, "documents"), TOKENIZER)
