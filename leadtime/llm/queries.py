@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadtime.llm import exact_dedup, mixing, token_ids, warc
+from leadtime.llm import decontaminate, exact_dedup, language_id, mixing, token_ids, warc
 from leadtime.llm.common import table
 from leadtime.llm.registry import register
 from leadtime.plans.lineage import materialize
@@ -80,3 +80,33 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text in grammar-compressed shards, reported from the files."""
     return token_ids.token_ids(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@register("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text by naive Bayes."""
+    return language_id.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, w, least(13, len(w)) AS m FROM (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS g FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM b)),
+dw AS (SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS g
+       FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM b) WHERE len(w) >= m)),
+h AS (SELECT doc_id, i, m, item_id FROM dw JOIN bw USING (m, g)),
+n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
+@register("op9_decontamination", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows searched in suffix arrays of all documents."""
+    return decontaminate.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
