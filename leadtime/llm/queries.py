@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadtime.llm import decontaminate, exact_dedup, language_id, mixing, token_ids, warc
+from leadtime.llm import decontaminate, exact_dedup, language_id, mixing, quality, token_ids, warc
 from leadtime.llm.common import table
 from leadtime.llm.registry import register
 from leadtime.plans.lineage import materialize
@@ -110,3 +110,9 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows searched in suffix arrays of all documents."""
     return decontaminate.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op4_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text by the rule ensemble."""
+    return quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
