@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadtime.llm import decontaminate, exact_dedup, language_id, mixing, quality, token_ids, warc
+from leadtime.llm import decontaminate, exact_dedup, language_id, mixing, near_dedup, quality, token_ids, warc
 from leadtime.llm.common import table
 from leadtime.llm.registry import register
 from leadtime.plans.lineage import materialize
@@ -116,3 +116,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every text by the rule ensemble."""
     return quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.c + y.c - shared)),
+r AS (SELECT doc_id AS id, doc_id AS reach FROM d UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.reach),
+m AS (SELECT id, min(reach) AS component_id FROM r GROUP BY id)
+SELECT d.doc_id, coalesce(n.c, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN m ON m.id = d.doc_id
+"""
+
+
+@register("op10_near_dedup", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies over four-word shingles."""
+    return near_dedup.near_components(table(spark, sf_dir, "documents"), shingle=4, percent=80)
