@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from leadtime.llm import decontaminate, exact_dedup, language_id, mixing, near_dedup, quality, token_ids, warc
+from leadtime.llm import (decontaminate, exact_dedup, language_id, mixing, near_dedup, quality, substring_dedup, suffix_dedup,
+                          token_ids, warc)
 from leadtime.llm.common import table
 from leadtime.llm.registry import register
 from leadtime.plans.lineage import materialize
@@ -136,3 +138,29 @@ FROM d LEFT JOIN n USING (doc_id) JOIN m ON m.id = d.doc_id
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies over four-word shingles."""
     return near_dedup.near_components(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+@register("op5_suffix_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 400-byte strings, found by the suffix-array family."""
+    found = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), width=400, texts=False)
+    return found.select(F.col("id").alias("doc_id"), F.col("n_items").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+t AS (SELECT g FROM x GROUP BY g HAVING count(*) > 1),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM x JOIN t USING (g)),
+a AS (SELECT doc_id, list(p) AS gone FROM r GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda v, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN a USING (doc_id)
+"""
+
+
+@register("op7_substring_dedup", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of repeated 35-word passages, found by recompression."""
+    found = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), width=35, texts=False)
+    return found.select(F.col("id").alias("doc_id"), F.col("n_items").alias("n_words"), "n_removed", "kept_sha256")
