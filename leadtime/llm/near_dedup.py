@@ -281,3 +281,9 @@ def near_components(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     component = F.coalesce("component", "node", "doc_id")
     return named.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
                         F.when(F.col("doc_id").isNotNull(), F.col("doc_id") == component).otherwise(F.lit(True)).alias("kept"))
+
+
+def drop_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each component (that of the smallest id), all columns kept."""
+    gone = near_components(docs, shingle, percent).where("NOT kept").select("doc_id").distinct()
+    return docs.join(materialize(gone, "near-copies"), "doc_id", "left_anti").select(*docs.columns)

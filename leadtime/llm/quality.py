@@ -24,6 +24,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadtime.llm.common import IS_SPACE, Fingerprints, byte_table, crc_mod3, slices, word_spans
 from leadtime.plans.lineage import materialize
@@ -104,10 +105,10 @@ class Rule:
 
     conditions: tuple[tuple[str, bool, float], ...]
 
-    def column(self) -> Column:
+    def column(self, prefix: str = "") -> Column:
         out = None
         for name, above, threshold in self.conditions:
-            one = F.col(name) > threshold if above else F.col(name) <= threshold
+            one = F.col(prefix + name) > threshold if above else F.col(prefix + name) <= threshold
             out = one if out is None else out & one
         return out.cast("double")
 
@@ -143,10 +144,10 @@ class RuleEnsemble:
     intercept: float
     rules: tuple[tuple[Rule, float], ...]
 
-    def score(self) -> Column:
+    def score(self, prefix: str = "") -> Column:
         total = F.lit(self.intercept)
         for rule, weight in self.rules:
-            total = total + rule.column() * F.lit(weight)
+            total = total + rule.column(prefix) * F.lit(weight)
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
@@ -185,3 +186,23 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     stats = materialize(statistics(docs), "statistics")
     scored = stats.select("doc_id", (crc_mod3("doc_id") == 1).alias("held_out"), learn(stats, labels).score().alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """``docs`` without the texts that the classifier rejects, all columns kept. The texts aren't shuffled: their
+    statistics are measured again beside them, and the compiled rules filter."""
+    model = learn(materialize(statistics(docs), "statistics"), labels)
+    name = "statistics"
+    while name in docs.columns:
+        name += "_"
+    kinds = pa.struct([(s, pa.float64()) for s in STATISTICS])
+
+    def work(batches):
+        for batch in batches:
+            for part, data, offsets in slices(batch, "text"):
+                table = measure(data, offsets)
+                struct = pa.StructArray.from_arrays([pa.array(table[:, i]) for i in range(len(STATISTICS))], fields=list(kinds))
+                yield pa.RecordBatch.from_arrays([*part.columns, struct], names=[*part.schema.names, name])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StructType([T.StructField(s, T.DoubleType()) for s in STATISTICS]))])
+    return docs.mapInArrow(work, schema).where(model.score(f"{name}.") >= threshold).drop(name)
