@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from leadtime.llm import (decontaminate, exact_dedup, language_id, mixing, near_dedup, quality, substring_dedup, suffix_dedup,
                           token_ids, warc)
 from leadtime.llm.common import table
-from leadtime.llm.registry import register
+from leadtime.llm.registry import QUERIES, SQL, register  # noqa: F401
 from leadtime.plans.lineage import materialize
 
 #: The tokenizer file that ids are made with; another one is a parameter of the operator.
