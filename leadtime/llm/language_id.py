@@ -73,7 +73,7 @@ def _count(batches):
                     totals[name] = totals.get(name, 0) + row
     for name, row in totals.items():
         at = np.flatnonzero(row)
-        yield pa.RecordBatch.from_arrays([pa.array([str(name)] * len(at)), pa.array(at.astype(np.int32)), pa.array(row[at])], names=["lang", "bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([str(name)] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(row[at])], names=["lang", "bucket", "n"])
 
 
 class Model:
