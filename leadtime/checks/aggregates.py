@@ -9,7 +9,7 @@ from leadtime.checks.fixtures import sql
 from leadtime.checks.joins import _critical, fx_baseline
 from leadtime.checks.registry import query, r
 from leadtime.operators import clean, diagnostics as dg, evaluate as ev, faults as flt, report, review, splits
-from leadtime.operators.baseline import baseline
+from leadtime.operators.baseline import baseline, series_p90
 from leadtime.operators.rolling import rolling_features
 from leadtime.plans.series import number_rows
 
@@ -112,11 +112,25 @@ def _(spark, sf):
 
 @query("agg_10_baseline_months", sql("""
     SELECT entity_id, sensor, round(avg(value), 6) AS mean, round(quantile_cont(value, 0.9), 6) AS p90, count(*) AS n_rows
-    FROM ((SELECT entity_id, ts, s_click, s_view FROM fx_telemetry)
-      UNPIVOT INCLUDE NULLS (value FOR sensor IN (s_click, s_view))) u JOIN (SELECT entity_id, min(ts) + INTERVAL 1 MONTH AS til FROM fx_telemetry GROUP BY 1)
+    FROM ((SELECT entity_id, ts, """ + ", ".join(S) + """ FROM fx_telemetry)
+      UNPIVOT INCLUDE NULLS (value FOR sensor IN (""" + ", ".join(S) + """))) u JOIN (SELECT entity_id, min(ts) + INTERVAL 1 MONTH AS til FROM fx_telemetry GROUP BY 1)
     USING (entity_id) WHERE ts < til GROUP BY 1, 2""", "fx_telemetry"))
 def _(spark, sf):
-    return baseline(fx.telemetry(spark, sf), ["s_click", "s_view"], days=None, months=1)
+    return baseline(fx.telemetry(spark, sf), S, days=None, months=1)
+
+
+@query("agg_10_series_p90", sql("SELECT entity_id, sensor, round(quantile_cont(value, 0.9), 6) AS p90 FROM ((SELECT entity_id, ts, "
+       + ", ".join(S) + " FROM fx_filled) UNPIVOT (value FOR sensor IN (" + ", ".join(S) + "))) GROUP BY 1, 2", "fx_filled"))
+def _(spark, sf):
+    """The fallback threshold of sensors without a baseline, over the filled series."""
+    return series_p90(fx.telemetry(spark, sf), S).select("entity_id", "sensor", r("p90").alias("p90"))
+
+
+@query("agg_14_overall_quality", sql("SELECT (5 * count(*))::BIGINT AS n_cells, round(100.0 * ("
+       + " + ".join(f"count(*) FILTER (WHERE {s} IS NULL)" for s in S) + ") / (5 * count(*)), 6) AS pct_missing, round(100.0 * ("
+       + " + ".join(f"count(*) FILTER (WHERE {s} = 0)" for s in S) + ") / (5 * count(*)), 6) AS pct_zero FROM fx_telemetry", "fx_telemetry"))
+def _(spark, sf):
+    return dg.overall_quality(fx.telemetry(spark, sf), S).select("n_cells", r("pct_missing").alias("pct_missing"), r("pct_zero").alias("pct_zero"))
 
 
 @query("agg_11_time_range", sql("""SELECT entity_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_rows
@@ -182,18 +196,24 @@ def _auc_sql(table, group, score, label):
           WINDOW w AS (PARTITION BY {group} ORDER BY {score})) GROUP BY {group})"""
 
 
-_LONG = "(SELECT is_pre, sensor AS feature, value FROM (UNPIVOT (SELECT is_pre, " + ", ".join(
-    f"coalesce({s}, 0) AS {s}" for s in S) + " FROM fx_scored WHERE family = 'generator') ON " + ", ".join(S) + \
+_INPUTS = {**{s: s for s in S}, **{f"{s}_of_{t}": f"{s} - {t}" for s in S for t in S if s < t}}
+_LONG = "(SELECT family, is_pre, sensor AS feature, value FROM (UNPIVOT (SELECT family, is_pre, " + ", ".join(
+    f"coalesce({e}, 0) AS {n}" for n, e in _INPUTS.items()) + " FROM fx_scored) ON " + ", ".join(_INPUTS) + \
     " INTO NAME sensor VALUE value))"
 
 
 @query("agg_15_symmetric_auc", sql(f"""
-    SELECT feature, round(greatest(auc, 1 - auc), 6) AS auc, round(median(greatest(auc, 1 - auc)) OVER (), 6) AS median_auc
-    FROM ({_auc_sql(_LONG, "feature", "value", "is_pre")})""", "fx_scored"))
+    SELECT family, feature, round(a, 6) AS auc, round(median_auc, 6) AS median_auc FROM (
+      SELECT *, median(a) OVER (PARTITION BY family) AS median_auc, row_number() OVER (PARTITION BY family ORDER BY round(a, 9) DESC, feature) AS best,
+        row_number() OVER (PARTITION BY family ORDER BY round(a, 9), feature) AS worst
+      FROM (SELECT family, feature, greatest(auc, 1 - auc) AS a FROM ({_auc_sql(_LONG, "family, feature", "value", "is_pre")})))
+    WHERE best <= 5 OR worst <= 5""", "fx_scored"))
 def _(spark, sf):
-    rows = fx.scored(spark, sf).where("family = 'generator'")
-    out = dg.auc_report(dg.symmetric_auc(rows, S, F.col("is_pre")))
-    return out.select("feature", r("auc").alias("auc"), r("median_auc").alias("median_auc"))
+    """All families, fifteen features each, of which the five best and five worst are reported."""
+    rows = fx.scored_table(spark, sf).select("family", "is_pre", *[F.expr(e).alias(n) for n, e in _INPUTS.items()])
+    aucs = dg.symmetric_auc(rows, list(_INPUTS), F.col("is_pre"), ["family"]).withColumn("auc", r("auc", 9))
+    out = dg.auc_report(aucs, 5, ["family"])
+    return out.select("family", "feature", r("auc").alias("auc"), r("median_auc").alias("median_auc"))
 
 
 @query("agg_16_class_means", sql("""
@@ -377,18 +397,15 @@ _BIN6 = "time_bucket(INTERVAL '6 hours', ts)"
 
 
 @query("agg_28_timeline_6h", sql(f"""
-    SELECT s.entity_id, s.family, s.bin, first_ts, round(alert_score, 11) AS alert_score, round(pred_h, 11) AS pred_h, is_pre
+    SELECT s.entity_id, s.family, s.bin, first_ts, alert_score, pred_h, is_pre
     FROM (SELECT entity_id, family, unnest(generate_series(min({_BIN6}), max({_BIN6}), INTERVAL 6 HOUR)) AS bin
       FROM fx_scored GROUP BY 1, 2) s
-    LEFT JOIN (SELECT entity_id, family, {_BIN6} AS bin, min(ts) AS first_ts, avg(round(1 - pred_h / lead_hours, 6)) AS alert_score,
-      avg(pred_h) AS pred_h, max(is_pre::INT) AS is_pre FROM fx_scored GROUP BY 1, 2, 3) USING (entity_id, family, bin)""",
+    LEFT JOIN (SELECT entity_id, family, {_BIN6} AS bin, min(ts) AS first_ts, ((2 * sum(round(round(1 - pred_h / lead_hours, 6) * 1000000)::BIGINT) + count(*)) // (2 * count(*))) / 1000000 AS alert_score,
+      ((2 * sum(round(pred_h * 1000000)::BIGINT) + count(*)) // (2 * count(*))) / 1000000 AS pred_h, max(is_pre::INT) AS is_pre FROM fx_scored GROUP BY 1, 2, 3) USING (entity_id, family, bin)""",
     "fx_scored"))
 def _(spark, sf):
-    """Unrounded inside the bin, so that both engines round once."""
-    rows = fx.scored(spark, sf).withColumn("_s", F.round(1 - F.col("pred_h") / fx.lead(), 6))
-    return report.resample(rows, "6 hours", [
-        F.min("ts").alias("first_ts"), r(F.avg("_s"), 11).alias("alert_score"), r(F.avg("pred_h"), 11).alias("pred_h"),
-        F.max(F.col("is_pre").cast("int")).alias("is_pre")])
+    """The shipped timeline, with more digits: the two engines round ties of few digits differently."""
+    return report.alert_timeline(fx.scored(spark, sf), fx.lead(), score_digits=6, hour_digits=6)
 
 
 @query("agg_29_weekly_share", sql("""
@@ -443,11 +460,14 @@ def _(spark, sf):
 
 
 @query("agg_32_first_valid_row", sql("""
-    SELECT entity_id, 's_click__mean_' || w AS feature, min(row_no) AS first_row FROM fx_filled,
-    (VALUES ('1h', 2), ('6h', 12), ('24h', 48), ('7d', 336)) v(w, mp) WHERE row_no >= mp GROUP BY 1, 2""", "fx_filled"))
-def _(spark, sf):
-    feats = rolling_features(fx.telemetry(spark, sf), ["s_click"], fx_baseline(spark, sf, ["s_click"]), chunk_rows=fx.CHUNK)
-    names = [f"s_click__mean_{w}" for w in ("1h", "6h", "24h", "7d")]
+    SELECT entity_id, s || '__' || stat || '_' || w AS feature, min(row_no) AS first_row FROM fx_filled,
+    (VALUES ('1h', 2), ('6h', 12), ('24h', 48), ('7d', 336)) v(w, mp), (VALUES ('mean'), ('p95'), ('exceed')) t(stat),
+    (VALUES """ + ", ".join(f"('{s}')" for s in S) + """) u(s) WHERE row_no >= mp GROUP BY 1, 2""", "fx_filled"))
+def _(spark, sf):
+    """All sensors and frames; a standard deviation has a value from the first row on."""
+    kinds = ("mean", "p95", "exceed")
+    feats = rolling_features(fx.telemetry(spark, sf), S, fx_baseline(spark, sf, S), chunk_rows=fx.CHUNK, stats=kinds)
+    names = [f"{s}__{k}_{w}" for s in S for k in kinds for w in ("1h", "6h", "24h", "7d")]
     return dg.first_valid_rows(number_rows(feats, ["entity_id"], "ts"), names).withColumn(
         "first_row", F.col("first_row"))
 

@@ -210,6 +210,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "fx_clusters": (("fx_instants",), f"""SELECT entity_id, family, ts FROM (SELECT *,
         lag(ts) OVER (PARTITION BY entity_id, family ORDER BY ts) AS p FROM fx_instants)
         WHERE p IS NULL OR epoch_us(ts) - epoch_us(p) > {GAP_H} * 3600000000"""),
+    "fx_late_predictions": (("fx_predictions",), "SELECT * FROM fx_predictions WHERE entity_id % 2 = 0 OR ts >= TIMESTAMP '2024-01-15'"),
+    "fx_late_config": (("fx_config",), """SELECT * REPLACE (CASE WHEN family = 'yaw_cable' THEN 0 ELSE floor_h END AS floor_h),
+        family = 'yaw_cable' AS floor_missing FROM fx_config"""),
+    "fx_late_clusters": (("fx_clusters", "fx_late_predictions"), """SELECT c.* FROM fx_clusters c JOIN (SELECT entity_id, family,
+        date_trunc('day', min(ts)) AS since FROM fx_late_predictions GROUP BY 1, 2) USING (entity_id, family) WHERE c.ts >= since"""),
     "fx_ranked": (("fx_scored",), """SELECT entity_id, family, is_pre, score,
         row_number() OVER (PARTITION BY entity_id, family ORDER BY ts) AS k,
         count(*) OVER (PARTITION BY entity_id, family) AS n FROM fx_scored"""),

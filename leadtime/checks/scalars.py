@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadtime.checks import fixtures as fx
@@ -66,10 +69,11 @@ def _(spark, sf):
     return flagged.where("is_failure_target").select("event_id", "ts", "code")
 
 
-@query("flt_5_after_fault", sql("""SELECT entity_id, ts, round(hours_to, 6) AS hours_to, is_pre FROM fx_last
-    WHERE family = 'pitch_bat' AND NOT excluded""", "fx_last"))
+@query("flt_5_after_fault", sql("""SELECT entity_id, family, ts, round(hours_to, 6) AS hours_to, is_pre FROM fx_last
+    WHERE NOT excluded""", "fx_last"))
 def _(spark, sf):
-    return family_rows(fx.labelled(spark, sf), "pitch_bat").select("entity_id", "ts", r("hours_to").alias("hours_to"), "is_pre")
+    rows = [family_rows(fx.labelled(spark, sf), f.name) for f in fx.FAMILIES]
+    return reduce(DataFrame.unionByName, [x.select("entity_id", "family", "ts", r("hours_to").alias("hours_to"), "is_pre") for x in rows])
 
 
 @query("flt_6_with_target", sql("SELECT entity_id, family, ts, round(hours_to, 6) AS hours_to FROM fx_nearest WHERE hours_to IS NOT NULL",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from leadtime import config
 from leadtime.checks import fixtures as fx
 from leadtime.checks.fixtures import sql
 from leadtime.checks.joins import fx_baseline
@@ -13,15 +14,36 @@ from leadtime.operators import faults as flt
 from leadtime.plans.lineage import fresh_path, materialize
 from leadtime.streaming import jobs
 
-WIN = {"1h": 6, "24h": 144}
-TWO = ("s_click", "s_view")
-
-
-def _events(spark, sf):
-    """The event table as a stream."""
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    return fx.with_entity(raw.withColumn("ts", F.col("ts").cast("timestamp")))
+CUTS = ("2024-01-08", "2024-01-15", "2024-01-23")
+LATE_MINUTES = 40  # less than the watermark's hour
+
+
+def _feed(spark, sf, late=False, repeated=False):
+    """The event table as a feed of four files and a heartbeat, read one file per micro-batch.
+
+    ``late``: every seventh event of the last minutes before a cut comes with the next file.
+    ``repeated``: all events of those minutes come again with the next file. The heartbeat moves the
+    watermark past everything, so the last bins and sessions are closed as well.
+    """
+    events = spark.read.parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    file, near = F.lit(0), F.lit(False)
+    for day in CUTS:
+        cut = F.lit(day).cast("timestamp")
+        file = file + (F.col("ts") >= cut).cast("int")
+        near = near | ((F.col("ts") < cut) & (F.col("ts") >= cut - F.expr(f"INTERVAL {LATE_MINUTES} MINUTES")))
+    if late:
+        file = file + (near & (F.col("event_id") % 7 == 0)).cast("int")
+    rows = events.withColumn("file", file)
+    if repeated:
+        rows = rows.unionByName(rows.where(near).withColumn("file", F.col("file") + 1))
+    rows, path = materialize(rows, "events"), fresh_path(spark, "feed")
+    for i in range(len(CUTS) + 1):
+        rows.where(F.col("file") == i).drop("file").repartition(1).write.mode("append").parquet(path)
+    last = {"ts": F.expr("timestamp '2100-01-01'"), "event_type": F.lit("error"), "props": F.lit('{"k": 1}')}
+    beat = spark.range(1).select(*[last.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema])
+    beat.repartition(1).write.mode("append").parquet(path)
+    raw = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return fx.with_entity(raw)
 
 
 def _status_of(events):
@@ -32,12 +54,9 @@ def _status_of(events):
         F.concat(F.lit("code "), code.cast("string")).alias("message"))
 
 
-def _status(spark, sf):
-    return _status_of(_events(spark, sf))
-
-
 def _faults(spark, sf):
-    return flt.map_family(flt.critical_events(_status(spark, sf)), fx.families(spark)).where("family IS NOT NULL")
+    critical = flt.critical_events(_status_of(_feed(spark, sf, late=True)))
+    return flt.map_family(critical, fx.families(spark)).where("family IS NOT NULL")
 
 
 def _split_telemetry(spark, sf):
@@ -52,16 +71,16 @@ def _split_telemetry(spark, sf):
 
 def _run_features(spark, sf):
     schema, path = _split_telemetry(spark, sf)
-    base = materialize(fx_baseline(spark, sf, TWO), "baseline")
+    base = materialize(fx_baseline(spark, sf, fx.SENSORS), "baseline")
     store, check = fresh_path(spark, "store"), fresh_path(spark, "progress")
     for i in range(3):  # three nightly runs over a growing folder
         stream = spark.readStream.schema(schema).parquet(f"{path}/part={i}")
-        handle = jobs.feature_batches(store, TWO, base, WIN)
+        handle = jobs.feature_batches(store, fx.SENSORS, base, config.WINDOWS)
         jobs.run_batches(stream, lambda df, n, h=handle, first=i: h(df, first + n), f"{check}/{i}")
     return spark.read.parquet(f"{store}/features")
 
 
-@query("str_1_incremental_features", rolling_sql(TWO, WIN, ("mean", "std", "p95", "exceed"), ratio=True))
+@query("str_1_incremental_features", rolling_sql(fx.SENSORS, config.WINDOWS, ("mean", "std", "p95", "exceed"), ratio=True))
 def _(spark, sf):
     """Three increments give the features of one full run."""
     out = _run_features(spark, sf).drop("batch_id")
@@ -74,9 +93,9 @@ def _(spark, sf):
 def _(spark, sf):
     """A batch that runs twice leaves every row once."""
     schema, path = _split_telemetry(spark, sf)
-    base = materialize(fx_baseline(spark, sf, TWO), "baseline")
+    base = materialize(fx_baseline(spark, sf, fx.SENSORS), "baseline")
     store = fresh_path(spark, "store")
-    handle = jobs.feature_batches(store, TWO, base, WIN)
+    handle = jobs.feature_batches(store, fx.SENSORS, base, config.WINDOWS)
     for i in (0, 1, 1, 2):
         handle(spark.read.schema(schema).parquet(f"{path}/part={i}"), i)
     return spark.read.parquet(f"{store}/features").groupBy("entity_id").agg(
@@ -86,20 +105,18 @@ def _(spark, sf):
 @query("str_3_event_dedup", sql("""SELECT DISTINCT entity_id, code, time_bucket(INTERVAL '10 minutes', event_ts) AS ts
     FROM fx_status WHERE status IN ('Stop', 'Warning')""", "fx_status"))
 def _(spark, sf):
-    stream = jobs.dedup_events(flt.critical_events(_status(spark, sf)))
+    """Events that come again with the next file are met by the state of the earlier batch."""
+    stream = jobs.dedup_events(flt.critical_events(_status_of(_feed(spark, sf, repeated=True))))
     path = fresh_path(spark, "dedup")
     jobs.run_to_table(stream.select("entity_id", "code", "ts"), path, fresh_path(spark, "progress"))
-    return spark.read.parquet(path)
-
-
-_CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
+    return spark.read.parquet(path).where("entity_id IS NOT NULL")
 
 
 @query("str_4_timeline", sql(f"""SELECT * FROM (SELECT CAST(user_id % 2 + 2 * (user_id // 150) + 1 AS INTEGER) AS entity_id,
-    time_bucket(INTERVAL '6 hours', ts) AS bin, count(*) AS n, round(max(value), 6) AS top FROM events GROUP BY 1, 2)
-    WHERE bin + INTERVAL 6 HOUR <= {_CLOSED}"""))
+    time_bucket(INTERVAL '6 hours', ts) AS bin, count(*) AS n, round(max(value), 6) AS top FROM events GROUP BY 1, 2)"""))
 def _(spark, sf):
-    stream = jobs.timeline(_events(spark, sf), {"n": F.count(F.lit(1)), "top": r(F.max("value"))})
+    """All bins, the last ones included, with late rows in their bins."""
+    stream = jobs.timeline(_feed(spark, sf, late=True), {"n": F.count(F.lit(1)), "top": r(F.max("value"))})
     path = fresh_path(spark, "timeline")
     jobs.run_to_table(stream, path, fresh_path(spark, "progress"))
     return spark.read.parquet(path)
@@ -110,10 +127,9 @@ def _(spark, sf):
       PARTITION BY entity_id, family ORDER BY ts, event_id) AS c FROM (SELECT entity_id, family, event_ts AS ts, event_id,
       CASE WHEN epoch_us(event_ts) - epoch_us(lag(event_ts) OVER (PARTITION BY entity_id, family ORDER BY event_ts, event_id))
         <= {fx.GAP_H} * 3600000000 THEN 0 ELSE 1 END AS new FROM fx_critical WHERE family IS NOT NULL))
-    GROUP BY entity_id, family, c
-    HAVING max(ts) + INTERVAL {fx.GAP_H} HOUR <= (SELECT max(event_ts) - INTERVAL 1 HOUR FROM fx_critical WHERE family IS NOT NULL)""",
-    "fx_critical"))
+    GROUP BY entity_id, family, c""", "fx_critical"))
 def _(spark, sf):
+    """All sessions; late faults join the session that they belong to."""
     stream = jobs.fault_sessions(_faults(spark, sf).withColumnRenamed("event_ts", "ts"), f"{fx.GAP_H} hours")
     path = fresh_path(spark, "sessions")
     jobs.run_to_table(stream, path, fresh_path(spark, "progress"))
@@ -121,9 +137,9 @@ def _(spark, sf):
 
 
 @query("str_6_hours_since_last", sql("""SELECT entity_id, ts, round(CASE WHEN prev_ts IS NULL THEN 8760.0::DOUBLE
-    ELSE (epoch_us(ts) - epoch_us(prev_ts)) / 3.6e9 END, 6) AS hours_since FROM fx_prev WHERE family = 'generator'""", "fx_prev"))
+    ELSE (epoch_us(ts) - epoch_us(prev_ts)) / 3.6e9 END, 6) AS hours_since, family FROM fx_prev""", "fx_prev"))
 def _(spark, sf):
-    family = fx.FAMILIES[1]
+    """All families, over five micro-batches with one state row per entity and family between them."""
     store = fresh_path(spark, "hours")
 
     def to_faults(batch):
@@ -132,9 +148,9 @@ def _(spark, sf):
     def to_readings(batch):
         return batch.select("entity_id", fx.floor_ts("ts").alias("ts")).distinct()
 
-    handle = jobs.hours_since_batches(store, to_faults, to_readings, family)
-    jobs.run_batches(_events(spark, sf), handle, fresh_path(spark, "progress"))
-    return spark.read.parquet(f"{store}/hours").select("entity_id", "ts", r("hours_since").alias("hours_since"))
+    handle = jobs.hours_since_batches(store, to_faults, to_readings, fx.FAMILIES)
+    jobs.run_batches(_feed(spark, sf).where("entity_id IS NOT NULL"), handle, fresh_path(spark, "progress"))
+    return spark.read.parquet(f"{store}/hours").select("entity_id", "ts", "family", r("hours_since").alias("hours_since"))
 
 
 @query("str_7_sliding_statistics", sql(f"""
@@ -142,9 +158,10 @@ def _(spark, sf):
       SELECT CAST(user_id % 2 + 2 * (user_id // 150) + 1 AS INTEGER) AS entity_id, value, ts,
         unnest(generate_series(time_bucket(INTERVAL '10 minutes', ts) - INTERVAL 50 MINUTE,
           time_bucket(INTERVAL '10 minutes', ts), INTERVAL 10 MINUTE)) AS w FROM events)
-    GROUP BY ALL HAVING w + INTERVAL 1 HOUR <= {_CLOSED}"""))
+    GROUP BY ALL"""))
 def _(spark, sf):
-    stream = jobs.sliding_statistics(_events(spark, sf), {"n": F.count(F.lit(1)), "top": r(F.max("value"))})
+    """All windows, with late rows in theirs."""
+    stream = jobs.sliding_statistics(_feed(spark, sf, late=True), {"n": F.count(F.lit(1)), "top": r(F.max("value"))})
     path = fresh_path(spark, "sliding")
     jobs.run_to_table(stream, path, fresh_path(spark, "progress"))
     return spark.read.parquet(path)

@@ -9,7 +9,7 @@ from leadtime.checks.fixtures import sql
 from leadtime.checks.joins import fx_baseline
 from leadtime.checks.registry import query, r
 from leadtime.operators import domain, evaluate as ev, faults as flt, nightly
-from leadtime.operators.rolling import feature_names, rolling_features, smooth_centered
+from leadtime.operators.rolling import STATS, feature_names, rolling_features, smooth_centered
 from leadtime.plans.lineage import materialize
 from leadtime.plans.series import fill_forward
 
@@ -55,30 +55,30 @@ def rolling_sql(sensors, windows, stats, ratio=False):
                "fx_filled", "fx_baseline")
 
 
-def _rolling(spark, sf, sensors, windows, engine, names):
+def _rolling(spark, sf, sensors, windows, engine, names, stats=STATS):
     feats = rolling_features(fx.telemetry(spark, sf), sensors, fx_baseline(spark, sf, sensors), windows=windows,
-                             engine=engine, chunk_rows=fx.CHUNK)
+                             engine=engine, chunk_rows=fx.CHUNK, stats=stats)
     return feats.select("entity_id", "ts", *[r(F.col(n) + off_half(n)).alias(n) for n in names])
 
 
 for _id, _stat in (("win_2_rolling_mean", "mean"), ("win_3_rolling_std", "std"), ("win_4_rolling_p95", "p95"),
                    ("win_5_rolling_exceedance", "exceed")):
     def _make(name, stat):
-        two = ("s_click", "s_view")
-
-        @query(name, rolling_sql(two, ALL, (stat,)))
+        @query(name, rolling_sql(fx.SENSORS, ALL, (stat,)))
         def _(spark, sf):
-            return _rolling(spark, sf, two, ALL, "halo", [f"{s}__{stat}_{w}" for s in two for w in ALL])
+            return _rolling(spark, sf, fx.SENSORS, ALL, "halo", [f"{s}__{stat}_{w}" for s in fx.SENSORS for w in ALL], (stat,))
+
+        frames = SHORT if stat == "p95" else ALL  # the built-in percentile is refused for long frames
 
-        @query(f"{name}_native", rolling_sql(two, SHORT, (stat,)))
+        @query(f"{name}_native", rolling_sql(fx.SENSORS, frames, (stat,)))
         def _(spark, sf):
-            return _rolling(spark, sf, two, SHORT, "native", [f"{s}__{stat}_{w}" for s in two for w in SHORT])
+            return _rolling(spark, sf, fx.SENSORS, frames, "native", [f"{s}__{stat}_{w}" for s in fx.SENSORS for w in frames], (stat,))
     _make(_id, _stat)
 
 
 @query("win_6_baseline_ratio", rolling_sql(fx.SENSORS, {"7d": 1008}, (), ratio=True))
 def _(spark, sf):
-    return _rolling(spark, sf, fx.SENSORS, {"7d": 1008}, "halo", [f"{s}__baseline_ratio" for s in fx.SENSORS])
+    return _rolling(spark, sf, fx.SENSORS, {"7d": 1008}, "halo", [f"{s}__baseline_ratio" for s in fx.SENSORS], ())
 
 
 _W = "OVER (PARTITION BY entity_id ORDER BY ts)"

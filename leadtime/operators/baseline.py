@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadtime import config
-from leadtime.plans.lineage import join_sized
+from leadtime.plans.lineage import join_null_safe, materialize
 from leadtime.plans.ranking import percentiles
+from leadtime.plans.series import fill_forward
 
 
 def baseline(df: DataFrame, sensors: Sequence[str], *, days: int | None = config.BASELINE_DAYS,
@@ -21,9 +22,13 @@ def baseline(df: DataFrame, sensors: Sequence[str], *, days: int | None = config
     """
     by = list(by)
     span: Column = F.make_interval(months=F.lit(months)) if months else F.make_interval(days=F.lit(days))
-    starts = df.groupBy(*by).agg((F.min(time) + span).alias("_until"))
+    starts = materialize(df.groupBy(*by).agg((F.min(time) + span).alias("_until")), "starts")
+    last = starts.agg(F.max("_until")).first()[0]
+    if last is None:
+        raise ValueError("no reading has a time: there is no baseline period")
     readings = df.select(*by, time, *[F.col(s).cast("double").alias(s) for s in sensors])
-    period = join_sized(readings, starts, by).where(F.col(time) < F.col("_until"))
+    # the latest end goes into the scan as a literal
+    period = join_null_safe(readings.where(F.col(time) < F.lit(last)), starts, by).where(F.col(time) < F.col("_until"))
     means = (period.groupBy(*by)
              .agg(F.count(F.lit(1)).alias("n_rows"), *[F.round(F.avg(s), 6).alias(s) for s in sensors])
              .unpivot([*by, "n_rows"], list(sensors), "sensor", "mean"))
@@ -45,7 +50,8 @@ def baseline_wide(base: DataFrame, sensors: Sequence[str], by: Sequence[str] = (
 
 def series_p90(df: DataFrame, sensors: Sequence[str], by: Sequence[str] = ("entity_id",),
                time: str = "ts") -> DataFrame:
-    """Fallback threshold: p90 of the whole filled series. It looks ahead; use a baseline if there is one."""
-    long = df.select(*by, time, *[F.col(s).cast("double").alias(s) for s in sensors]).unpivot(
+    """Fallback threshold: p90 of the whole series, filled first. It looks ahead; use a baseline if there is one."""
+    narrow = df.select(*by, time, *[F.col(s).cast("double").alias(s) for s in sensors])
+    long = fill_forward(narrow, by, time, sensors).unpivot(
         [*by, time], list(sensors), "sensor", "value")
     return percentiles(long, [*by, "sensor"], "value", {"p90": 0.90})

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from leadtime.functions.scalars import missing, nan_to_null
 
-TARGET_PREFIXES = ("is_pre_", "hours_to_")
+TARGET_PREFIXES = ("is_pre_", "hours_to_", "excluded_")
+TARGETS = ("is_pre", "hours_to", "excluded", "family", "source", "split", "row_no")
+NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint", "decimal")
 
 
 def union_drift(frames: Sequence[DataFrame]) -> DataFrame:
@@ -31,9 +33,9 @@ def nulls_for_nan(df: DataFrame) -> DataFrame:
 
 
 def feature_columns(df: DataFrame, keys: Sequence[str] = ("entity_id", "ts")) -> list[str]:
-    """Every column that is neither a key nor a target."""
-    return [c for c in df.columns
-            if c not in keys and not c.startswith(TARGET_PREFIXES) and not c.startswith("excluded_")]
+    """Every numeric column that is neither a key, a target nor a mark of where the row belongs."""
+    return [c for c, kind in df.dtypes
+            if c not in keys and c not in TARGETS and not c.startswith(TARGET_PREFIXES) and kind.startswith(NUMERIC)]
 
 
 def align(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:

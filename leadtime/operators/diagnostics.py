@@ -51,6 +51,15 @@ def feature_quality(df: DataFrame, features: Sequence[str]) -> DataFrame:
                        (F.col("_s.zero") * 100.0 / F.col("_n")).alias("pct_zero"))
 
 
+def overall_quality(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """One row: cells, share of missing and of zero cells over all features."""
+    cells = F.count(F.lit(1)) * F.lit(len(features))
+    missing, zero = (sum((F.count_if(test(F.col(c))) for c in features), F.lit(0))
+                     for test in (lambda c: c.isNull(), lambda c: c == 0))
+    return df.agg(cells.alias("n_cells"), F.try_divide(missing * 100.0, cells).alias("pct_missing"),
+                  F.try_divide(zero * 100.0, cells).alias("pct_zero"))
+
+
 def first_valid_rows(df: DataFrame, features: Sequence[str], by: Sequence[str] = ("entity_id",),
                      row_no: str = "row_no") -> DataFrame:
     """First position with a value per series and feature (a leakage check for rolling features)."""
@@ -80,12 +89,12 @@ def symmetric_auc(df: DataFrame, features: Sequence[str], label: Column,
     return one.select(*by, "feature", F.greatest("auc", 1 - F.col("auc")).alias("auc"))
 
 
-def auc_report(aucs: DataFrame, k: int = 5) -> DataFrame:
-    """Median over the features and the k best and k worst."""
-    best = Window.orderBy(F.desc("auc"), "feature")  # one row per feature
-    worst = Window.orderBy("auc", "feature")
-    ranked = aucs.withColumns({"best": F.row_number().over(best), "worst": F.row_number().over(worst),
-                               "median_auc": F.expr("median(auc) OVER ()")})
+def auc_report(aucs: DataFrame, k: int = 5, by: Sequence[str] = ()) -> DataFrame:
+    """Per group: median over the features and the k best and k worst."""
+    group = Window.partitionBy(*by)  # one row per feature
+    ranked = aucs.withColumns({"best": F.row_number().over(group.orderBy(F.desc("auc"), "feature")),
+                               "worst": F.row_number().over(group.orderBy("auc", "feature")),
+                               "median_auc": F.median("auc").over(group)})
     return ranked.where((F.col("best") <= k) | (F.col("worst") <= k))
 
 

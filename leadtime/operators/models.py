@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel, Transformer
@@ -28,6 +28,7 @@ from leadtime.plans.lineage import materialize
 
 # --- Fixed values: boosting parameters ----------------------------------------
 TREES = 1000
+PATIENCE = 100
 LEARNING_RATE = 0.05
 ROW_SHARE = 0.8
 COLUMN_SHARE = "0.8"
@@ -59,52 +60,81 @@ class FamilyModel:
         self.trees.write().overwrite().save(f"{path}/trees")
         self.calibration.write().overwrite().save(f"{path}/calibration")
         spark.createDataFrame(
-            [(self.family.name, float(self.family.lead_hours), float(self.family.alert_h), self.source,
-              self.features)],
-            "family string, lead_hours double, alert_h double, source string, features array<string>"
+            [(*(getattr(self.family, f.name) for f in fields(self.family)), self.source, self.features)],
+            ", ".join(f"{f.name} {_KINDS[type(getattr(self.family, f.name))]}" for f in fields(self.family))
+            + ", source string, features array<string>"
         ).write.mode("overwrite").parquet(f"{path}/meta")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "FamilyModel":
         meta = spark.read.parquet(f"{path}/meta").first()
-        fam = config.Family(meta.family, meta.lead_hours, meta.alert_h, meta.alert_h, 0)
+        fam = config.Family(**{f.name: meta[f.name] for f in fields(config.Family)})
         return FamilyModel(fam, list(meta.features), PipelineModel.load(f"{path}/trees"),
                            IsotonicRegressionModel.load(f"{path}/calibration"), meta.source)
 
 
+_KINDS = {str: "string", int: "int", float: "double", bool: "boolean"}
+
+
 def tree_depth(leaves: int) -> int:
     return max(1, math.ceil(math.log2(leaves)))
 
 
 def fit_calibration(scored: DataFrame, raw: str = "raw_h", actual: str = "hours_to",
-                    out: str = "pred_h", resolution: float = 0.001) -> IsotonicRegressionModel:
-    """Increasing curve from raw to actual hours.
+                    out: str = "pred_h") -> IsotonicRegressionModel:
+    """Increasing curve from raw to actual hours, fitted on the exact raw values.
 
-    Raw hours are read at ``resolution`` (a few seconds; reports show tenths of hours) and rows with
-    the same raw hours are averaged, so the fit sees at most lead time / resolution points however
-    many rows there are.
+    Rows with equal raw hours are pooled first; the fit itself pools violators inside each partition
+    before it looks at the whole.
     """
-    points = scored.withColumn(raw, F.round(F.col(raw) / resolution) * resolution).groupBy(raw).agg(F.avg(actual).alias("_y"), F.count(F.lit(1)).cast("double").alias("_w"))
+    points = scored.groupBy(raw).agg(F.avg(actual).alias("_y"), F.count(F.lit(1)).cast("double").alias("_w"))
     return IsotonicRegression(isotonic=True, featuresCol=raw, labelCol="_y", weightCol="_w",
                               predictionCol=out).fit(points)
 
 
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Round with the lowest loss before ``patience`` rounds went by without a lower one; did they?"""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best, True
+    return best, False
+
+
 def fit_hours(train: DataFrame, val: DataFrame, family: config.Family, features: Sequence[str],
-              trees: int = TREES, source: str = "target") -> FamilyModel:
-    """Boosted trees on positive rows, stopped on the validation rows, calibrated on them."""
-    both = with_model_inputs(
-        train.withColumn("_held", F.lit(False)).unionByName(val.withColumn("_held", F.lit(True)))
-        .where("is_pre"), features)
-    gbt = GBTRegressor(featuresCol="_features", labelCol="hours_to", predictionCol="raw_h",
-                       maxIter=trees, stepSize=LEARNING_RATE, maxDepth=tree_depth(family.leaves),
-                       minInstancesPerNode=family.min_child, subsamplingRate=ROW_SHARE,
-                       featureSubsetStrategy=COLUMN_SHARE, validationIndicatorCol="_held", seed=SEED)
+              trees: int = TREES, source: str = "target", patience: int = PATIENCE) -> FamilyModel:
+    """Boosted trees on positive rows, cut after the best round on the validation rows, calibrated on them.
+
+    A round is the best one if ``patience`` later rounds don't beat it. Rounds are added by doubling
+    until that is known; as a seed gives the same trees again, the final fit is the prefix up to the
+    best round.
+    """
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
-    fitted = gbt.fit(assembler.transform(both.select("hours_to", "_held", *features)))
+    fit_on, held = (materialize(with_model_inputs(df.where("is_pre"), features).select("hours_to", *features), "rows")
+                    for df in (train, val))
+    fit_on, held = assembler.transform(fit_on), assembler.transform(held)
+
+    def boosted(rounds: int):
+        return GBTRegressor(featuresCol="_features", labelCol="hours_to", predictionCol="raw_h",
+                            maxIter=rounds, stepSize=LEARNING_RATE, maxDepth=tree_depth(family.leaves),
+                            minInstancesPerNode=family.min_child, subsamplingRate=ROW_SHARE,
+                            featureSubsetStrategy=COLUMN_SHARE, seed=SEED).fit(fit_on)
+
+    rounds = min(trees, 2 * patience)
+    while True:
+        fitted = boosted(rounds)
+        best, known = best_round(fitted.evaluateEachIteration(held, "squared"), patience)
+        if known or rounds == trees:
+            break
+        rounds = min(trees, 2 * rounds)
+    if best + 1 < rounds:
+        fitted = boosted(best + 1)
     stages: list[Transformer] = [assembler, fitted]
     model = PipelineModel(stages)
-    scored = model.transform(both.where("_held")).withColumn("raw_h", clip("raw_h", 0, family.lead_hours))
-    return FamilyModel(family, list(features), model, fit_calibration(scored), source)
+    scored = fitted.transform(held).withColumn("raw_h", clip("raw_h", 0, family.lead_hours))
+    return FamilyModel(family, list(features), model, fit_calibration(scored), source, {"n_trees": best + 1})
 
 
 def fit_classifier(train: DataFrame, features: Sequence[str], trees: int = TREES, depth: int = 5,
@@ -136,9 +166,18 @@ def feature_importance(model: PipelineModel, features: Sequence[str], k: int = 2
 def event_guard(train: DataFrame, val: DataFrame, min_train: int = config.MIN_TRAIN_EVENTS,
                 min_val: int = config.MIN_VAL_EVENTS, by: Sequence[str] = ("entity_id", "family")) -> bool:
     """Are there enough distinct faults to train and to calibrate?"""
-    def events(df):
-        return count_label_events(df, by).agg(F.sum("n_events")).first()[0] or 0
-    return events(train) >= min_train and events(val) >= min_val
+    row = guard_counts(train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")), allowMissingColumns=True),
+                       min_train, min_val, by).groupBy().pivot("split", ["train", "val"]).agg(F.max("enough")).first()
+    return bool(row["train"] and row["val"])
+
+
+def guard_counts(rows: DataFrame, min_train: int = config.MIN_TRAIN_EVENTS, min_val: int = config.MIN_VAL_EVENTS,
+                 by: Sequence[str] = ("entity_id", "family"), pool: Sequence[str] = ()) -> DataFrame:
+    """Distinct faults behind the train and val rows, in one pass: (pool, split, n_events, enough)."""
+    keys = [*pool, "split"]
+    per = count_label_events(rows.where(F.col("split").isin("train", "val")), [*keys, *(c for c in by if c not in keys)])
+    out = per.groupBy(*keys).agg(F.sum("n_events").alias("n_events"))
+    return out.withColumn("enough", F.col("n_events") >= F.when(F.col("split") == "train", min_train).otherwise(min_val))
 
 
 def evaluate_scored(scored: DataFrame, family: config.Family, alert_h: float) -> DataFrame:
@@ -153,7 +192,7 @@ def evaluate_scored(scored: DataFrame, family: config.Family, alert_h: float) ->
 
 def train_candidates(stores: DataFrame, family: config.Family, features: Sequence[str], *,
                      target: str = "target", donor: str = "donor", trees: int = TREES,
-                     alert_h: float | None = None) -> tuple[dict[str, FamilyModel], DataFrame | None]:
+                     patience: int = PATIENCE, alert_h: float | None = None) -> tuple[dict[str, FamilyModel], DataFrame | None]:
     """Fit (target only) and (donor + target); evaluate both on the target's last fifth.
 
     ``stores`` has ``source``, the keys, ``is_pre``, ``hours_to`` and the features. Returns the
@@ -162,18 +201,22 @@ def train_candidates(stores: DataFrame, family: config.Family, features: Sequenc
     alert_h = family.retrain_alert_h if alert_h is None else alert_h
     split = materialize(temporal_split(stores, by=("source",)), f"split-{family.name}")
     test = split.where((F.col("source") == target) & (F.col("split") == "test"))
-    pools = {target: (F.col("source") == target)}
-    if not split.where(F.col("source") == donor).isEmpty():
-        pools[f"{donor}+{target}"] = F.col("source").isin(donor, target)
+    span = test.agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.count(F.lit(1)).alias("n")).first()
+    counts = {(r["source"], r["split"]): r["n_events"] for r in guard_counts(split, pool=("source",)).collect()}  # two sources, two splits
+    pools = {target: (target,)}
+    if any(s == donor for s, _ in counts):
+        pools[f"{donor}+{target}"] = (donor, target)
     models, rows = {}, []
-    for name, pool in pools.items():
-        train = split.where(pool & (F.col("split") == "train"))
-        val = split.where(pool & (F.col("split") == "val"))
-        if not event_guard(train, val):
+    for name, sources in pools.items():
+        enough = {s: sum(counts.get((x, s), 0) for x in sources) for s in ("train", "val")}
+        if enough["train"] < config.MIN_TRAIN_EVENTS or enough["val"] < config.MIN_VAL_EVENTS:
             continue
-        model = fit_hours(train, val, family, features, trees, name)
+        pool = split.where(F.col("source").isin(*sources))
+        model = fit_hours(pool.where("split = 'train'"), pool.where("split = 'val'"), family, features, trees, name, patience)
         models[name] = model
-        rows.append(evaluate_scored(model.score(test), family, alert_h).withColumn("source", F.lit(name)))
+        rows.append(evaluate_scored(model.score(test), family, alert_h).withColumns({
+            "source": F.lit(name), "n_trees": F.lit(model.metrics["n_trees"]), "test_start": F.lit(span["first"]),
+            "test_end": F.lit(span["last"]), "test_rows": F.lit(span["n"])}))
     if not rows:
         return {}, None
     out = rows[0]

@@ -9,13 +9,22 @@ from pyspark.sql import functions as F
 
 from leadtime import config
 from leadtime.operators.rolling import rolling_over
-from leadtime.plans.lineage import join_sized, materialize
+from leadtime.plans.lineage import join_null_safe, join_sized, materialize
 from leadtime.plans.series import CHUNK_ROWS, fill_forward, number_rows
 
 
 def new_rows(df: DataFrame, mark: DataFrame, by: Sequence[str] = ("entity_id",), time: str = "ts") -> DataFrame:
-    """Rows after the stored time of their entity; all rows of an entity that is not stored yet."""
-    joined = join_sized(df, mark, by, "left")
+    """Rows after the stored time of their entity; all rows of an entity that is not stored yet.
+
+    The smallest mark is read first and goes into the scan as a literal, so the night reads only what
+    may be new. Rows up to it can be new for entities without a mark alone; a scan of the keys says
+    whether there are any.
+    """
+    mark = materialize(mark, "mark")
+    low = mark.agg(F.min("stored_until")).first()[0]
+    if low is not None and df.select(*by).distinct().join(mark, list(by), "left_anti").isEmpty():
+        df = df.where(F.col(time) > F.lit(low))
+    joined = join_null_safe(df, mark, by, "left")
     return (joined.where(F.col("stored_until").isNull() | (F.col(time) > F.col("stored_until")))
             .drop("stored_until"))
 

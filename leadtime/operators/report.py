@@ -24,13 +24,16 @@ def resample(df: DataFrame, every: str, aggs: Sequence[Column], by: Sequence[str
 
 
 def alert_timeline(scored: DataFrame, lead_hours: Column, every: str = "6 hours",
-                   by: Sequence[str] = ("entity_id", "family"), time: str = "ts") -> DataFrame:
+                   by: Sequence[str] = ("entity_id", "family"), time: str = "ts",
+                   score_digits: int = 3, hour_digits: int = 1) -> DataFrame:
     """First reading, mean alert score, mean prediction and any-positive flag per bin."""
-    rows = scored.withColumns({"_score": F.round(1 - F.col("pred_h") / lead_hours, 3),
-                               "_pred": F.round("pred_h", 1)})
+    rows = scored.withColumns({"_score": F.round(1 - F.col("pred_h") / lead_hours, score_digits),
+                               "_pred": F.round("pred_h", hour_digits)})
+    # the means are those of exact decimals, so rounding them doesn't depend on the order of the rows
+    score, pred = (F.sum(F.col(c).cast(f"decimal(28,{d})")) / F.count(c) for c, d in (("_score", score_digits), ("_pred", hour_digits)))
     return resample(rows, every, [
-        F.min(time).alias("first_ts"), F.round(F.avg("_score"), 3).alias("alert_score"),
-        F.round(F.avg("_pred"), 1).alias("pred_h"), F.max(F.col("is_pre").cast("int")).alias("is_pre")], by, time)
+        F.min(time).alias("first_ts"), F.round(score, score_digits).cast("double").alias("alert_score"),
+        F.round(pred, hour_digits).cast("double").alias("pred_h"), F.max(F.col("is_pre").cast("int")).alias("is_pre")], by, time)
 
 
 def weekly_share(labels: DataFrame, by: Sequence[str] = ("family",), time: str = "ts") -> DataFrame:
@@ -52,7 +55,8 @@ def sample_rows(df: DataFrame, n: int, key: Sequence[str], by: Sequence[str] = (
     256 slices of a group and then over the survivors, so a large group is never ranked in one task.
     """
     by = list(by)
-    hashed = df.withColumn("_h", F.xxhash64(*key, F.lit(seed))).withColumn(
+    text = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]
+    hashed = df.withColumn("_h", F.md5(F.concat_ws("|", *text, F.lit(str(seed))).cast("binary"))).withColumn(
         "_slice", F.pmod(F.hash(*key), F.lit(256)))
     in_slice = Window.partitionBy(*by, "_slice").orderBy("_h", *key)
     overall = Window.partitionBy(*by).orderBy("_h", *key)

@@ -7,6 +7,8 @@ cumulative sums over the grid (about a hundred rows per family) give every thres
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,7 +67,16 @@ def _slot(value: Column, floor: Column, step: int) -> Column:
 def _floor_of(floors: DataFrame) -> Column:
     """Operational floor of the row's family as a literal map: the parameters are a row per family."""
     pairs = [F.lit(v) for row in floors.select("family", "floor_h").collect() for v in row]
-    return F.try_element_at(F.create_map(*pairs), F.col("family"))
+    return F.try_element_at(F.create_map(*pairs), F.col("family")) if pairs else F.lit(None).cast("int")
+
+
+def with_missing_floors(floors: DataFrame, *frames: DataFrame) -> DataFrame:
+    """(family, floor_h, floor_missing): a family that has rows but no floor is reviewed with floor 0."""
+    seen = reduce(DataFrame.union, (f.select("family") for f in frames)).distinct()
+    known = floors.select("family", "floor_h", F.lit(False).alias("floor_missing"))
+    absent = seen.join(known, "family", "left_anti").select("family", F.lit(0).cast(floors.schema["floor_h"].dataType).alias("floor_h"),
+                                                           F.lit(True).alias("floor_missing"))
+    return materialize(known.union(absent), "floors")
 
 
 def threshold_sweep(preds: DataFrame, events: DataFrame, floors: DataFrame, *,
@@ -74,8 +85,9 @@ def threshold_sweep(preds: DataFrame, events: DataFrame, floors: DataFrame, *,
     """Per family and threshold: alerts, events met, recall, precision and mean lead of the earliest alert.
 
     An alert is ``pred_h < threshold``. Recall is NULL without events, precision without alerts.
-    ``floors`` has (family, floor_h).
+    ``floors`` has (family, floor_h); a family without one starts at 0.
     """
+    floors = with_missing_floors(floors, preds, events)
     floor = _floor_of(floors)
     events = materialize(events.select(*KEYS, time), "events")  # sparse, and read three times
     slot = _slot(F.col("pred_h"), floor, step).alias("slot")
@@ -125,24 +137,34 @@ def review_trigger(faults: DataFrame, since: Column, min_new: int = 2,
                    gap_hours: float = config.CLUSTER_GAP_H, by=KEYS, time: str = "ts") -> DataFrame:
     """Are there enough new clusters since the last review? Clusters are formed over all faults first."""
     clusters = cluster_events(faults, gap_hours, by, time)
-    counts = clusters.groupBy("family").agg(F.count_if(F.col(time) >= since).alias("new_events"))
+    new = F.col(time) >= since
+    counts = clusters.groupBy("family").agg(F.count_if(new).alias("new_events"), F.min(F.when(new, F.col(time))).alias("first_new"),
+                                            F.max(F.when(new, F.col(time))).alias("last_new"))
     return counts.withColumns({"min_required": F.lit(min_new), "should_review": F.col("new_events") >= min_new})
 
 
+def new_events(faults: DataFrame, since: Column, gap_hours: float = config.CLUSTER_GAP_H, by=KEYS, time: str = "ts") -> DataFrame:
+    """The clusters since the last review, with their dates."""
+    return cluster_events(faults, gap_hours, by, time).where(F.col(time) >= since).select(*by, F.col(time).alias("event_ts"), F.to_date(time).alias("event_date"))
+
+
 def threshold_review(preds: DataFrame, faults: DataFrame, floors: DataFrame, *,
                      gap_hours: float = config.CLUSTER_GAP_H, match_hours: float = config.MATCH_WINDOW_H,
                      ceiling: int = config.SWEEP_CEILING_H, step: int = config.SWEEP_STEP_H,
                      by=KEYS, time: str = "ts") -> DataFrame:
     """One row per family: evaluable events, small-sample warning, recommendation.
 
-    Evaluable events are the clusters from the day of the first prediction on.
+    Evaluable events are the clusters from the day of the first prediction on, judged for each entity and
+    family by itself: an entity that is logged later owes nothing for earlier clusters, one without
+    predictions owes nothing at all. A family without a floor is reviewed with floor 0 and a warning.
     """
-    first = preds.groupBy("family").agg(F.date_trunc("day", F.min(time)).alias("_since"))
-    events = (join_sized(cluster_events(faults, gap_hours, by, time), first, "family")
+    floors = with_missing_floors(floors, preds)
+    first = preds.groupBy(*by).agg(F.date_trunc("day", F.min(time)).alias("_since"))
+    events = (join_sized(cluster_events(faults, gap_hours, by, time), first, list(by))
               .where(F.col(time) >= F.col("_since")).drop("_since"))
     sweep = threshold_sweep(preds, events, floors, ceiling=ceiling, step=step, match_hours=match_hours, time=time)
     counts = events.groupBy("family").agg(F.count(F.lit(1)).alias("n_events"))
     n = F.coalesce("n_events", F.lit(0))
     return (recommend_threshold(sweep, floors).join(first, "family", "left_semi")
-            .join(counts, "family", "left")
+            .join(counts, "family", "left").join(floors.select("family", "floor_missing"), "family")
             .withColumns({"n_events": n, "small_sample": n < 2}))

@@ -23,17 +23,19 @@ from leadtime.plans.series import CHUNK_ROWS, fill_forward, number_rows, with_ha
 from leadtime.operators.baseline import baseline_wide
 
 STATS = ("mean", "std", "p95", "exceed")
+NATIVE_P95_ROWS = 144
 
 
 def min_rows(w: int) -> int:
     return max(1, w // 3)
 
 
-def feature_names(sensors: Sequence[str], windows: dict[str, int] = config.WINDOWS) -> list[str]:
+def feature_names(sensors: Sequence[str], windows: dict[str, int] = config.WINDOWS,
+                  stats: Sequence[str] = STATS) -> list[str]:
     """``{sensor}__{stat}_{window}`` and ``{sensor}__baseline_ratio``, 17 per sensor."""
     names = []
     for s in sensors:
-        names += [f"{s}__{stat}_{win}" for win in windows for stat in STATS]
+        names += [f"{s}__{stat}_{win}" for win in windows for stat in STATS if stat in stats]
         names.append(f"{s}__baseline_ratio")
     return names
 
@@ -41,8 +43,8 @@ def feature_names(sensors: Sequence[str], windows: dict[str, int] = config.WINDO
 def rolling_features(df: DataFrame, sensors: Sequence[str], base: DataFrame, *,
                      windows: dict[str, int] = config.WINDOWS, engine: str = "halo",
                      by: Sequence[str] = ("entity_id",), time: str = "ts",
-                     chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Keys plus the rolling features of every sensor.
+                     chunk_rows: int = CHUNK_ROWS, stats: Sequence[str] = STATS) -> DataFrame:
+    """Keys plus the rolling features of every sensor; only those of ``stats`` are computed.
 
     Gaps are filled forward first (0 before the first reading). A sensor without a baseline mean
     is divided by 1; a baseline mean of about 0 leaves the ratio NULL. Without a baseline p90 the
@@ -54,13 +56,14 @@ def rolling_features(df: DataFrame, sensors: Sequence[str], base: DataFrame, *,
     rows = fill_forward(narrow, by, time, sensors, number="row_no")
     spans = df.groupBy(*by).agg(F.lit(1).cast("long").alias("first"), F.count(F.lit(1)).alias("last"))
     return rolling_over(rows, sensors, base, windows=windows, engine=engine, by=by, time=time,
-                        chunk_rows=chunk_rows, spans=spans)
+                        chunk_rows=chunk_rows, spans=spans, stats=stats)
 
 
 def rolling_over(rows: DataFrame, sensors: Sequence[str], base: DataFrame, *,
                  windows: dict[str, int] = config.WINDOWS, engine: str = "halo",
                  by: Sequence[str] = ("entity_id",), time: str = "ts",
-                 chunk_rows: int = CHUNK_ROWS, spans: DataFrame | None = None) -> DataFrame:
+                 chunk_rows: int = CHUNK_ROWS, spans: DataFrame | None = None,
+                 stats: Sequence[str] = STATS) -> DataFrame:
     """The same for rows that are filled and numbered (``row_no``) already.
 
     ``spans`` has the first and last position of every entity; it is counted if not given.
@@ -71,14 +74,16 @@ def rolling_over(rows: DataFrame, sensors: Sequence[str], base: DataFrame, *,
     chunk_rows = max(chunk_rows, reach)
     pieces = with_halo(rows, before=reach, chunk_rows=chunk_rows)
     if engine == "native":
-        return _native(join_sized(pieces, limits, by, "left"), sensors, windows, by, time)
+        if "p95" in stats and max(windows.values()) > NATIVE_P95_ROWS:
+            raise ValueError(f"a built-in percentile sorts every frame again: use the halo engine beyond {NATIVE_P95_ROWS} rows")
+        return _native(join_sized(pieces, limits, by, "left"), sensors, windows, by, time, stats)
     if spans is None:
         spans = rows.groupBy(*by).agg(F.min("row_no").alias("first"), F.max("row_no").alias("last"))
     # the limits travel once per chunk and not with every row
     chunks = F.sequence(F.floor((F.col("first") - 1) / chunk_rows), F.floor((F.col("last") - 1) / chunk_rows))
     per_chunk = spans.select(*by, F.explode(chunks).alias("chunk")).join(limits, by, "left")
     return _halo(pieces.select(*by, time, "row_no", "chunk", "own", *sensors), per_chunk, sensors, windows,
-                 by, time)
+                 by, time, stats)
 
 
 def _divisor(mean: Column) -> Column:
@@ -87,7 +92,7 @@ def _divisor(mean: Column) -> Column:
     return F.when(size > 1e-6, size)
 
 
-def _native(pieces, sensors, windows, by, time):
+def _native(pieces, sensors, windows, by, time, stats):
     order = Window.partitionBy(*by, "chunk").orderBy("row_no")
     longest = max(windows, key=windows.get)
     out = []
@@ -97,20 +102,19 @@ def _native(pieces, sensors, windows, by, time):
         for win, w in windows.items():
             frame = order.rowsBetween(-(w - 1), 0)
             ready = F.col("row_no") >= min_rows(w)
-            out += [
-                F.when(ready, F.avg(s).over(frame)).alias(f"{s}__mean_{win}"),
-                F.coalesce(F.when(ready, F.stddev_samp(s).over(frame)), F.lit(0.0)).alias(f"{s}__std_{win}"),
-                F.when(ready, F.percentile(s, 0.95).over(frame)).alias(f"{s}__p95_{win}"),
-                F.when(ready, F.avg(over).over(frame)).alias(f"{s}__exceed_{win}"),
-            ]
+            made = {"mean": F.when(ready, F.avg(s).over(frame)),
+                    "std": F.coalesce(F.when(ready, F.stddev_samp(s).over(frame)), F.lit(0.0)),
+                    "p95": F.when(ready, F.percentile(s, 0.95).over(frame)),
+                    "exceed": F.when(ready, F.avg(over).over(frame))}
+            out += [value.alias(f"{s}__{stat}_{win}") for stat, value in made.items() if stat in stats]
         mean = F.when(F.col("row_no") >= min_rows(windows[longest]),
                       F.avg(s).over(order.rowsBetween(-(windows[longest] - 1), 0)))
         out.append((mean / _divisor(F.col(f"{s}__bl_mean"))).alias(f"{s}__baseline_ratio"))
     return (pieces.select(*by, time, "row_no", "own", *out).where("own").drop("own", "row_no"))
 
 
-def _halo(pieces, limits, sensors, windows, by, time):
-    names = feature_names(sensors, windows)
+def _halo(pieces, limits, sensors, windows, by, time, stats):
+    names = feature_names(sensors, windows, stats)
     keys, spans = [*by, time], dict(windows)
     longest = max(spans, key=spans.get)
     schema = T.StructType([pieces.schema[c] for c in keys]
@@ -137,15 +141,21 @@ def _halo(pieces, limits, sensors, windows, by, time):
             for win, w in spans.items():
                 ready = row_no >= max(1, w // 3)
                 frame = values.rolling(w, min_periods=1)
-                mean = np.where(ready, frame.mean().to_numpy()[own], np.nan)
-                std = np.where(ready, np.nan_to_num(frame.std().to_numpy()[own]), 0.0)
-                p95 = np.where(ready, frame.quantile(0.95).to_numpy()[own], np.nan)
-                share = np.full(len(row_no), np.nan)
-                if p90 is not None:
-                    start = np.maximum(position - w, 0)
-                    share = ((over[position] - over[start]) / (position - start))[own]
-                    share[~ready] = np.nan
-                out += [pa.array(x, from_pandas=True) for x in (mean, std, p95, share)]
+                made = {}
+                if "mean" in stats or win == longest:
+                    mean = made["mean"] = np.where(ready, frame.mean().to_numpy()[own], np.nan)
+                if "std" in stats:
+                    made["std"] = np.where(ready, np.nan_to_num(frame.std().to_numpy()[own]), 0.0)
+                if "p95" in stats:
+                    made["p95"] = np.where(ready, frame.quantile(0.95).to_numpy()[own], np.nan)
+                if "exceed" in stats:
+                    share = np.full(len(row_no), np.nan)
+                    if p90 is not None:
+                        start = np.maximum(position - w, 0)
+                        share = ((over[position] - over[start]) / (position - start))[own]
+                        share[~ready] = np.nan
+                    made["exceed"] = share
+                out += [pa.array(made[x], from_pandas=True) for x in STATS if x in stats]
                 if win == longest:
                     size = 1.0 if bl_mean is None else abs(bl_mean)
                     ratio = mean / size if size > 1e-6 else np.full(len(mean), np.nan)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _private_dirs: dict[str, str] = {}
 
@@ -13,10 +16,13 @@ _private_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder of the cluster, taken from ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test session) gets a private folder.
+    Only a local session that names none gets a private folder; on a cluster executors would write
+    to disks of their own, so a missing setting is an error there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _private_dirs:
             _private_dirs[app] = tempfile.mkdtemp(prefix="leadtime-")
@@ -38,7 +44,14 @@ def join_sized(big: DataFrame, small: DataFrame, on, how: str = "inner") -> Data
     execution splits the uneven partitions.
     """
     on = [on] if isinstance(on, str) else list(on)
-    return big.join(materialize(small, "reduced"), on, how)
+    return join_null_safe(big, materialize(small, "reduced"), on, how)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same name in which NULL equals NULL, so no row is lost for its key."""
+    names = {c: f"_on_{c}" for c in on}
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(k)) for c, k in names.items()))
+    return left.join(right.withColumnsRenamed(names), same, how).drop(*names.values())
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

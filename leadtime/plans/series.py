@@ -10,7 +10,7 @@ bounded size, and hand each piece the little it must know about its neighbours:
 * *row chunks* (``with_halo``): a fixed number of rows, with the neighbouring rows a
   sliding frame reaches into copied along.
 
-Key columns must not be NULL.
+A NULL time is a block of its own in front of its series; a NULL key is a series of its own.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leadtime.plans.lineage import join_null_safe
+
 DAY_US = 86_400_000_000
 HOUR_US = 3_600_000_000
 BLOCK_DAYS = 1  # 144 rows at one reading per 10 minutes; pass less for faster readings
@@ -54,7 +56,7 @@ def number_rows(df: DataFrame, by: Sequence[str], time: str, *, tie: Sequence[st
     if total:
         sizes = sizes.withColumn(total, F.sum("_n").over(Window.partitionBy(*by)))
     in_block = Window.partitionBy(*by, "_block").orderBy(time, *tie)
-    return (blocked.join(sizes.drop("_n"), [*by, "_block"])
+    return (join_null_safe(blocked, sizes.drop("_n"), [*by, "_block"])
             .withColumn(out, F.col("_skip") + F.row_number().over(in_block))
             .drop("_block", "_skip"))
 

@@ -101,8 +101,10 @@ def read_status_events(spark: SparkSession, paths: Sequence[str] | str) -> DataF
 
 
 def read_telemetry(spark: SparkSession, path: str, time: str = "ts") -> DataFrame:
-    """Parquet scan with the time column as TIMESTAMP; order is left to the operators that need it."""
-    return spark.read.parquet(path).withColumn(time, F.col(time).cast("timestamp"))
+    """Parquet scan with the time column as TIMESTAMP and NaN as NULL; order is left to the operators that need it."""
+    df = spark.read.parquet(path)
+    return df.select(*[F.col(c).cast("timestamp").alias(c) if c == time else nan_to_null(c).alias(c) if kind in ("double", "float") else F.col(c)
+                       for c, kind in df.dtypes])
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str,

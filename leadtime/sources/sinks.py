@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadtime.plans.lineage import fresh_path
 
@@ -22,7 +23,7 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
     """CSV directory with a header; ``one_file`` is for reports of known, small size."""
-    (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).csv(path)
+    (df.repartition(1) if one_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], keep: str = "last",
@@ -30,15 +31,17 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], keep: str =
     """Union of both with one row per key: the newest (``last``) or the stored one (``first``).
 
     Returns the merged rows and writes nothing, which is also the dry run. ``order`` breaks ties
-    between rows of one batch. Copies are reduced before the shuffle, so a key with many copies
+    between rows of one batch; without it the largest (or, for ``first``, smallest) row stays, so
+    the choice never depends on the order of arrival. Copies are reduced before the shuffle, so a key with many copies
     sends one row per task and not its whole group.
     """
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
     both = (existing.withColumn("_batch", F.lit(0))
             .unionByName(new.withColumn("_batch", F.lit(1)), allowMissingColumns=True))
-    rank = F.struct("_batch", *order)
     columns = [c for c in both.columns if c not in (*keys, "_batch")]
+    sortable = [c for c in columns if c not in order and not isinstance(both.schema[c].dataType, T.MapType)]
+    rank = F.struct("_batch", *order, *sortable)
     pick = F.max_by if keep == "last" else F.min_by
     picked = both.groupBy(*keys).agg(pick(F.struct(F.lit(0).alias("_"), *columns), rank).alias("_row"))
     return picked.select(*[k if k in keys else F.col(f"_row.{k}").alias(k)
