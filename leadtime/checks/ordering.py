@@ -52,10 +52,12 @@ def _(spark, sf):
         (F.bool_and("is_pre") & (F.count_distinct("entity_id", "ts") == F.count(F.lit(1)))).alias("all_positive"))
 
 
-@query("ord_5_sample")
+@query("ord_5_sample", sql("""SELECT entity_id, family, ts, round(hours_to, 6) AS hours_to, pred_h FROM fx_scored WHERE is_pre
+    QUALIFY row_number() OVER (PARTITION BY family ORDER BY md5(entity_id || '|' || ts || '|42'), entity_id, ts) <= 40""", "fx_scored"))
 def _(spark, sf):
-    rows = fx.scored(spark, sf).where("is_pre").select("entity_id", "family", "ts", "hours_to", "pred_h")
-    return report.sample_rows(rows, 800, ["entity_id", "ts"])
+    """The chosen rows themselves, of a sample that is smaller than each family."""
+    rows = fx.scored(spark, sf).where("is_pre").select("entity_id", "family", "ts", r("hours_to").alias("hours_to"), "pred_h")
+    return report.sample_rows(rows, 40, ["entity_id", "ts"])
 
 
 @query("ord_6_recommendation", sql(f"""

@@ -7,10 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from leadtime.checks.registry import QUERIES, SQL  # the corpus operators have tests of their own
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -60,5 +60,5 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"win_14_domain_sensors"}))
 def test_queries_without_sql_run(spark, name):
-    """These fit models and need the events of the middle size."""
+    """These have no counterpart in SQL."""
     assert QUERIES[name](spark, "/root/testdata/sf0.01").count() > 0

@@ -13,7 +13,8 @@ from leadtime import config
 from leadtime.operators import asof, diagnostics as dg, domain, evaluate as ev, faults as flt, nightly, report, review, splits
 from leadtime.operators.baseline import series_p90
 from leadtime.operators.rolling import rolling_features, smooth_centered
-from leadtime.plans.ranking import percentiles, slot_of
+from leadtime.plans.lineage import materialize
+from leadtime.plans.ranking import percentiles, with_slots
 from leadtime.plans.series import fill_forward, interval_join, number_rows, previous_row, with_halo
 from leadtime.sources import sinks
 
@@ -149,11 +150,26 @@ def test_percentiles(spark, values):
 @FEW
 @given(st.lists(st.floats(allow_nan=False, allow_infinity=False), min_size=2, max_size=80))
 def test_slots_keep_order(spark, values):
-    df = spark.createDataFrame([(v,) for v in sorted(values)], "v double").select("v", slot_of(F.col("v")).alias("s"))
-    slots = [r.s for r in df.orderBy("v").collect()]
+    df = materialize(spark.createDataFrame([(1, v) for v in sorted(set(values))], "g int, v double"))
+    slots = [r["_slot"] for r in with_slots(df, ["g"], "v", slots=8).orderBy("v").collect()]
     assert slots == sorted(slots)
 
 
+def test_slots_share_a_narrow_band_and_a_skewed_group(spark):
+    """No slot holds more than a few times its share, wherever the values lie."""
+    rnd = random.Random(3)
+    rows = ([("mains", 50 + rnd.gauss(0, 0.05)) for _ in range(4000)] + [("factor", 1 - 10 ** rnd.uniform(-9, -2)) for _ in range(4000)]
+            + [("skewed", rnd.expovariate(1) ** 6) for _ in range(4000)] + [("both", rnd.choice((-1, 1)) * rnd.random()) for _ in range(4000)])
+    counts = materialize(spark.createDataFrame(rows, "g string, v double").distinct())
+    sizes = with_slots(counts, ["g"], "v", slots=32).groupBy("g", "_slot").count().collect()
+    assert max(r["count"] for r in sizes) <= 3 * 4000 / 32 and len(sizes) >= 4 * 30
+
+
+def test_percentiles_skip_nan(spark):
+    df = spark.createDataFrame([(v,) for v in (0.1, 0.2, 0.3, 10.0, 20.0, float("nan"))], "v double")
+    assert same(percentiles(df, [], "v", {"mid": 0.5}).first().mid, 0.3)
+
+
 @FEW
 @given(st.integers(0, 10_000))
 def test_auc_and_curve(spark, seed):
