@@ -5,8 +5,9 @@ on the window's items alone and names it by items inside the window, so equal wi
 Consecutive windows with one anchor form a run; the items that a run spans are its hull. Then
 
 * runs with equal names and hulls are one class: a class with two runs repeats in every window;
-* only windows of classes that share a name with another class can repeat beyond that; these are compared one by one,
-  by fingerprints of the whole window, once per class.
+* only windows of classes that share a name with another class can repeat beyond that. Once per class, these are first
+  compared in blocks, by the items that all windows of a block have in common (a block is a range of distances from the
+  anchor, so equal windows lie in blocks of the same number), and then one by one where that core is shared.
 
 Each step is a grouping or join on keys that are reduced before the shuffle; copies of a text meet as one class and are
 never paired. A window counts as repeated when its sequence starts anywhere else, in the same text or another one.
@@ -28,7 +29,8 @@ from leadtime.plans.lineage import materialize
 #: Bytes of text that a cutter looks at together, and bits of the filter that says which documents are worth a shuffle.
 CUT_BYTES, FILTER_BITS = 1 << 20, 1 << 25
 
-RUNS = "id long, start long, n int, name long, hull long"
+RUNS = "id long, start long, n int, shift int, name long, hull long"
+CORES = "id long, start long, n int, first int, name long, hull long, block int, print long"
 
 
 def _runs(cutter, names_only: bool):
@@ -36,11 +38,12 @@ def _runs(cutter, names_only: bool):
         for batch in batches:
             for part, data, offsets in slices(batch, "text", CUT_BYTES):
                 ids = part.column("id").to_numpy()
-                for row, start, n, name, hull in cutter.runs(data, offsets):
+                for row, start, n, shift, name, hull in cutter.runs(data, offsets):
                     columns = [pa.array(name.view(np.int64))]
                     if not names_only:
-                        columns = [pa.array(ids[row]), pa.array(start.astype(np.int64)), pa.array(n.astype(np.int32)), *columns, pa.array(hull.view(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["name"] if names_only else ["id", "start", "n", "name", "hull"])
+                        columns = [pa.array(ids[row]), pa.array(start.astype(np.int64)), pa.array(n.astype(np.int32)), pa.array(shift.astype(np.int32)),
+                                   *columns, pa.array(hull.view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["name"] if names_only else ["id", "start", "n", "shift", "name", "hull"])
     return work
 
 
@@ -53,17 +56,42 @@ def runs_of(texts: DataFrame, cutter) -> DataFrame:
     return texts.mapInArrow(_runs(cutter, False), RUNS)
 
 
+def _listed(part: pa.RecordBatch, column: str, fields: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Row and fields of the structs in a list column."""
+    wanted = part.column(column)
+    rows = np.repeat(np.arange(part.num_rows), np.diff(np.asarray(wanted.offsets)))
+    flat = wanted.flatten()
+    return rows, [flat.field(i).to_numpy(zero_copy_only=False) for i in range(fields)]
+
+
+def _cores(cutter):
+    def work(batches):
+        for batch in batches:
+            for part, data, offsets in slices(batch, "text", CUT_BYTES):
+                rows, (start, n, shift, name, hull) = _listed(part, "runs", 5)
+                size, ids = cutter.block, part.column("id").to_numpy()
+                low, high = (shift - n + 1) // size, shift // size  # blocks of the distances from anchor to window start
+                owner, turn = segment_rows(high - low + 1)
+                block = low[owner] + turn
+                first = shift[owner] - np.minimum(shift[owner], block * size + size - 1)
+                last = shift[owner] - np.maximum((shift - n + 1)[owner], block * size)
+                anchor = start[owner] + shift[owner]
+                print_ = cutter.prints(data, offsets, rows[owner], anchor - block * size, cutter.width - size + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[rows[owner]]), pa.array(start[owner] + first), pa.array((last - first + 1).astype(np.int32)), pa.array(first.astype(np.int32)),
+                     pa.array(name[owner]), pa.array(hull[owner]), pa.array(block.astype(np.int32)), pa.array(print_.view(np.int64))],
+                    names=["id", "start", "n", "first", "name", "hull", "block", "print"])
+    return work
+
+
 def _windows(cutter):
     def work(batches):
         for batch in batches:
             for part, data, offsets in slices(batch, "text", CUT_BYTES):
-                wanted = part.column("runs")
-                rows = np.repeat(np.arange(part.num_rows), np.diff(np.asarray(wanted.offsets)))
-                flat = wanted.flatten()
-                start, n, name, hull = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+                rows, (start, n, first, name, hull) = _listed(part, "runs", 5)
                 owner, place = segment_rows(n)
-                print_ = cutter.windows(data, offsets, rows[owner], start[owner] + place)
-                yield pa.RecordBatch.from_arrays([pa.array(name[owner]), pa.array(hull[owner]), pa.array(place.astype(np.int32)), pa.array(print_.view(np.int64))],
+                print_ = cutter.prints(data, offsets, rows[owner], start[owner] + place, cutter.width)
+                yield pa.RecordBatch.from_arrays([pa.array(name[owner]), pa.array(hull[owner]), pa.array((first[owner] + place).astype(np.int32)), pa.array(print_.view(np.int64))],
                                                  names=["name", "hull", "place", "print"])
     return work
 
@@ -72,10 +100,7 @@ def _remove(cutter):
     def work(batches):
         for batch in batches:
             for part, data, offsets in slices(batch, "text", CUT_BYTES):
-                spans = part.column("spans")
-                rows = np.repeat(np.arange(part.num_rows), np.diff(np.asarray(spans.offsets)))
-                flat = spans.flatten()
-                start, n = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+                rows, (start, n) = _listed(part, "spans", 2)
                 size, removed, pieces, kept = cutter.cut(data, offsets, rows, start, n)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(pieces, pa.int64()),
                                                   pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
@@ -116,12 +141,13 @@ def repeated_windows(texts: DataFrame, cutter, names: DataFrame) -> DataFrame:
     ``names``: the distinct anchor names that occur twice or more.
     """
     met = materialize(runs_of(texts, cutter).join(names, "name", "left_semi"), "runs")
-    classes = materialize(met.groupBy("name", "hull").agg(F.count("*").alias("copies"), F.min(F.struct("id", "start", "n")).alias("first")), "classes")
+    classes = materialize(met.groupBy("name", "hull").agg(F.count("*").alias("copies"), F.min(F.struct("id", "start", "n", "shift")).alias("first")), "classes")
     mixed = classes.groupBy("name").agg(F.count("*").alias("classes"), F.min("copies").alias("least")).where("classes > 1 AND least = 1").select("name")
-    asked = classes.join(mixed, "name", "left_semi").select("first.id", F.struct("first.start", "first.n", "name", "hull").alias("run"))
-    asked = materialize(asked.groupBy("id").agg(F.collect_list("run").alias("runs")), "asked")
-    near = texts.where(Marked(asked, "id").holds("id")).join(asked, "id").select("runs", "text")
-    windows = materialize(near.mapInArrow(_windows(cutter), "name long, hull long, place int, print long"), "windows")
+    asked = classes.join(mixed, "name", "left_semi").select("first.id", F.struct("first.start", "first.n", "first.shift", "name", "hull").alias("run"))
+    cores = materialize(_beside(texts, asked).mapInArrow(_cores(cutter), CORES), "cores")
+    shared = cores.groupBy("name", "block", "print").agg(F.min("hull").alias("a"), F.max("hull").alias("b")).where("a <> b").select("name", "block", "print")
+    asked = cores.join(shared, ["name", "block", "print"], "left_semi").select("id", F.struct("start", "n", "first", "name", "hull").alias("run"))
+    windows = materialize(_beside(texts, asked).mapInArrow(_windows(cutter), "name long, hull long, place int, print long"), "windows")
     twice = windows.groupBy("name", "print").agg(F.min("hull").alias("a"), F.max("hull").alias("b")).where("a <> b").select("name", "print")
     single = windows.join(twice, ["name", "print"], "left_semi").groupBy("name", "hull").agg(F.collect_set("place").alias("places"))
     whole = classes.where("copies > 1").select("name", "hull", F.lit(None).cast("array<int>").alias("places"))
@@ -133,6 +159,12 @@ def repeated_windows(texts: DataFrame, cutter, names: DataFrame) -> DataFrame:
     return materialize(found.select("id", spans.alias("spans")).groupBy("id").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
 
 
+def _beside(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """id, runs, text of the texts that are asked for something."""
+    asked = materialize(asked.groupBy("id").agg(F.collect_list("run").alias("runs")), "asked")
+    return texts.where(Marked(asked, "id").holds("id")).join(asked, "id").select("id", "runs", "text")
+
+
 def remove(texts: DataFrame, cutter, spans: DataFrame) -> DataFrame:
     """id, n_items, n_removed, n_spans, kept_sha256, kept for every text. Only texts with spans are shuffled."""
     mark = Marked(spans, "id")

@@ -101,6 +101,7 @@ class WordCutter:
 
     def __init__(self, width: int = WIDTH, rounds: int = ROUNDS, texts: bool = False) -> None:
         self.width, self.rounds, self.texts = width, rounds, texts
+        self.block = max(1, width // 6)
 
     def _words(self, data, offsets):
         starts, ends, row = word_spans(~IS_SPACE[data], offsets)
@@ -130,12 +131,12 @@ class WordCutter:
         head = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])])
         count = np.diff(np.r_[head, len(window)])
         begin = window[head]
-        yield owner[head], begin - bounds[:-1][owner[head]], count, prints.of(low[head], high[head]), prints.of(begin, begin + count + width - 1)
+        yield owner[head], begin - bounds[:-1][owner[head]], count, low[head] - begin, prints.of(low[head], high[head]), prints.of(begin, begin + count + width - 1)
 
-    def windows(self, data, offsets, rows, places) -> np.ndarray:
+    def prints(self, data, offsets, rows, places, length: int) -> np.ndarray:
         starts, ends, _, bounds = self._words(data, offsets)
         first = bounds[:-1][rows] + places
-        return Fingerprints(Fingerprints(data).of(starts, ends), seed=2).of(first, first + self.width)
+        return Fingerprints(Fingerprints(data).of(starts, ends), seed=2).of(first, first + length)
 
     def cut(self, data, offsets, rows, start, n):
         starts, ends, _, bounds = self._words(data, offsets)

@@ -51,9 +51,10 @@ class ByteCutter:
 
     def __init__(self, width: int = WIDTH, prefix: int = PREFIX, texts: bool = False) -> None:
         self.width, self.prefix, self.texts = width, prefix, texts
+        self.block = max(1, width // 12)
 
     def runs(self, data: np.ndarray, offsets: np.ndarray):
-        """Row, start in the row, number of windows, name and hull of each run, in pieces of bounded size."""
+        """Row, start in the row, number of windows, distance to the anchor, name and hull of each run, in pieces."""
         step = max(CUT_BYTES * 2, 4 * self.width)
         if len(data) <= step:
             yield self._runs(data, offsets, 0)
@@ -68,7 +69,7 @@ class ByteCutter:
         spare = np.maximum(np.diff(offsets) - width + 1, 0)
         if not spare.any():
             none = np.zeros(0, np.int64)
-            return none, none, none, none.view(np.uint64), none.view(np.uint64)
+            return none, none, none, none, none.view(np.uint64), none.view(np.uint64)
         prints = Fingerprints(data)
         at = np.arange(n - self.prefix + 1)
         grams = prints.of(at, at + self.prefix)
@@ -80,17 +81,17 @@ class ByteCutter:
         head = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])])
         count = np.diff(np.r_[head, len(row)])
         first = window[head]
-        return row[head], first - offsets[:-1][row[head]] + shift, count, grams[anchor[head]], prints.of(first, first + count + width - 1)
+        return row[head], first - offsets[:-1][row[head]] + shift, count, anchor[head] - first, grams[anchor[head]], prints.of(first, first + count + width - 1)
 
-    def windows(self, data, offsets, rows, starts) -> np.ndarray:
-        """Fingerprints of the windows that start there, in pieces of bounded size."""
+    def prints(self, data, offsets, rows, starts, length: int) -> np.ndarray:
+        """Fingerprints of the strings of this length (a window's at most) that start there, in pieces of bounded size."""
         first, step = offsets[:-1][rows] + starts, max(CUT_BYTES * 2, 4 * self.width)
         out = np.zeros(len(first), np.uint64)
         for at in range(0, len(data), step):
             here = np.flatnonzero((first >= at) & (first < at + step))
             if len(here):
                 place = first[here] - at
-                out[here] = Fingerprints(data[at:at + step + self.width - 1]).of(place, place + self.width)
+                out[here] = Fingerprints(data[at:at + step + self.width - 1]).of(place, place + length)
         return out
 
     def cut(self, data, offsets, rows, start, n):

@@ -69,17 +69,17 @@ def test_long_texts_are_cut_in_pieces(monkeypatch):
     whole = suffix_dedup.ByteCutter(40, 16)
     offsets = np.array([0, len(data)])
     windows = {}
-    for row, start, n, name, _ in whole.runs(data, offsets):
+    for row, start, n, _, name, _ in whole.runs(data, offsets):
         for s, k, x in zip(start, n, name):
             windows.update({int(s) + j: x for j in range(k)})
     monkeypatch.setattr(suffix_dedup, "CUT_BYTES", 300)
     pieces = {}
-    for row, start, n, name, _ in whole.runs(data, offsets):
+    for row, start, n, _, name, _ in whole.runs(data, offsets):
         for s, k, x in zip(start, n, name):
             pieces.update({int(s) + j: x for j in range(k)})
     assert pieces == windows and len(windows) == len(data) - 39
     starts = np.arange(0, 4900, 7)
-    assert (whole.windows(data, offsets, np.zeros(len(starts), np.int64), starts) == suffix_dedup.Fingerprints(data).of(starts, starts + 40)).all()
+    assert (whole.prints(data, offsets, np.zeros(len(starts), np.int64), starts, 40) == suffix_dedup.Fingerprints(data).of(starts, starts + 40)).all()
 
 
 def test_equal_windows_have_equal_anchors():
@@ -90,7 +90,7 @@ def test_equal_windows_have_equal_anchors():
     raw = [t.encode() for t in texts]
     data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
     cutter, named = substring_dedup.WordCutter(20), {}
-    for row, start, n, name, _ in cutter.runs(data, offsets):
+    for row, start, n, _, name, _ in cutter.runs(data, offsets):
         for r, s, k, x in zip(row, start, n, name):
             for j in range(s, s + k):
                 named.setdefault(tuple(texts[r].split()[j:j + 20]), set()).add(int(x))
