@@ -10,7 +10,7 @@ from leadtime.checks.registry import query, r
 from leadtime.functions.headers import clean_header
 from leadtime.operators import evaluate as ev, report
 from leadtime.operators.baseline import baseline
-from leadtime.plans.lineage import fresh_path
+from leadtime.plans.lineage import fresh_path, materialize
 from leadtime.sources import files, sinks
 
 TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -175,9 +175,11 @@ def _(spark, sf):
 def _(spark, sf):
     """The store that was read is still whole after the merged version has been written."""
     existing, new = _upsert_sides(spark, sf)
-    first = sinks.commit_version(existing, "store")
-    merged = sinks.upsert(files.read_or_empty(spark, first, existing.schema), new, ["o_orderkey"])
-    second = sinks.commit_version(merged, "store")
+    root = fresh_path(spark, "store")
+    first = sinks.commit_version(existing, root)
+    merged = sinks.upsert(files.read_or_empty(spark, sinks.current_version(spark, root), existing.schema), new, ["o_orderkey"])
+    sinks.commit_version(merged, root)
+    second = sinks.current_version(spark, root)
     n = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias(c)) for p, c in ((first, "n_before"), (second, "n_after"))]
     return n[0].unionByName(n[1], allowMissingColumns=True).agg(
         F.max("n_before").alias("n_before"), F.max("n_after").alias("n_after"))
@@ -201,26 +203,52 @@ def _(spark, sf):
 
 
 @query("snk_7_dashboard_json", sql("""
-    SELECT entity_id, family, n_bins, n_events, n_points, n_pos FROM (
+    SELECT entity_id, family, n_bins, n_events, n_points, n_pos, first_bin, round(mae_raw, 6) AS mae_raw, round(mae_cal, 6) AS mae_cal,
+      precision, recall, round(n_detected / n_events, 4) AS event_recall, lead_hours, alert_h, test_start, test_end, round(best_total, 6) AS best_total, n_detected FROM (
       SELECT entity_id, family, 1 + date_diff('hour', min(time_bucket(INTERVAL '6 hours', ts)),
         max(time_bucket(INTERVAL '6 hours', ts))) // 6 AS n_bins, least(800, count(*) FILTER (WHERE is_pre)) AS n_points,
-        count(*) FILTER (WHERE is_pre) AS n_pos FROM fx_scored GROUP BY 1, 2)
-    JOIN (SELECT entity_id, family, count(*) AS n_events FROM fx_windows GROUP BY 1, 2) USING (entity_id, family)""",
+        count(*) FILTER (WHERE is_pre) AS n_pos, strftime(min(time_bucket(INTERVAL '6 hours', ts)), '%Y-%m-%d %H:%M') AS first_bin,
+        avg(abs(hours_to - raw_h)) FILTER (WHERE is_pre) AS mae_raw, avg(abs(hours_to - pred_h)) FILTER (WHERE is_pre) AS mae_cal,
+        round(coalesce(count(*) FILTER (WHERE is_pre AND pred_h <= alert_h) / nullif(count(*) FILTER (WHERE pred_h <= alert_h), 0), 0), 4) AS precision,
+        round(coalesce(count(*) FILTER (WHERE is_pre AND pred_h <= alert_h) / nullif(count(*) FILTER (WHERE is_pre), 0), 0), 4) AS recall,
+        any_value(lead_hours) AS lead_hours, any_value(alert_h) AS alert_h, strftime(min(ts), '%Y-%m-%d %H:%M') AS test_start, strftime(max(ts), '%Y-%m-%d %H:%M') AS test_end
+      FROM fx_scored GROUP BY 1, 2)
+    JOIN (SELECT entity_id, family, count(*) AS n_events, sum(best_score) AS best_total, count(*) FILTER (WHERE best_score <= alert_h) AS n_detected
+      FROM fx_windows GROUP BY 1, 2) USING (entity_id, family)""",
     "fx_scored", "fx_windows"))
 def _(spark, sf):
     keys = ["entity_id", "family"]
     scored = fx.scored_table(spark, sf)
-    metrics = ev.regression_metrics(scored, keys)
     lines = report.alert_timeline(scored, fx.lead())
-    events = ev.event_windows(scored, fx.lead(), 12)
+    events = ev.event_windows(scored, fx.lead(), 12).withColumn("detected", F.col("best_score") <= fx.alert_h())
+    metrics = ev.dashboard_metrics(scored, events, fx.lead(), fx.alert_h(), keys)
     points = report.sample_rows(scored.where("is_pre").select(*keys, "ts", "hours_to", "pred_h"), 800, ["ts"], keys)
     path = fresh_path(spark, "dashboard")
     sinks.write_json_lines(report.dashboard_documents(metrics, lines, events, points), path)
-    schema = ("entity_id int, family string, metrics struct<n: bigint>, timeline array<struct<bin: string>>, "
-              "events array<struct<best_score: double>>, scatter array<struct<hours_to: double>>")
-    doc = spark.read.text(path).select(F.from_json("value", schema).alias("d"))
-    return doc.select("d.entity_id", "d.family", F.size("d.timeline").alias("n_bins"), F.size("d.events").alias("n_events"),
-                      F.size("d.scatter").alias("n_points"), F.col("d.metrics.n").alias("n_pos"))
+    schema = ("entity_id int, family string, metrics struct<n: bigint, mae_raw: double, mae_cal: double, precision: double, recall: double, "
+              "event_recall: double, lead_hours: double, alert_h: double, test_start: timestamp, test_end: timestamp, generated: timestamp>, "
+              "timeline array<struct<bin: timestamp>>, events array<struct<best_score: double, detected: boolean>>, scatter array<struct<hours_to: double>>")
+    doc = spark.read.text(path).select(F.from_json("value", schema).alias("d")).where("d.metrics.generated IS NOT NULL")
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm")
+    return doc.select(
+        "d.entity_id", "d.family", F.size("d.timeline").alias("n_bins"), F.size("d.events").alias("n_events"), F.size("d.scatter").alias("n_points"),
+        F.col("d.metrics.n").alias("n_pos"), stamp(F.array_min("d.timeline.bin")).alias("first_bin"),
+        *[r(F.col(f"d.metrics.{c}")).alias(c) for c in ("mae_raw", "mae_cal", "precision", "recall", "event_recall", "lead_hours", "alert_h")],
+        *[stamp(F.col(f"d.metrics.{c}")).alias(c) for c in ("test_start", "test_end")],
+        r(F.aggregate("d.events.best_score", F.lit(0.0), lambda a, x: a + x)).alias("best_total"),
+        F.size(F.filter("d.events.detected", lambda x: x)).cast("long").alias("n_detected"))
+
+
+@query("snk_8_snapshot", sql("SELECT entity_id, " + ", ".join(
+    f"max(ts) FILTER (WHERE family = '{f.name}') AS {f.name}__ts, arg_max(is_pre, ts) FILTER (WHERE family = '{f.name}') AS {f.name}__is_pre, "
+    f"round(arg_max(hours_to, ts) FILTER (WHERE family = '{f.name}'), 6) AS {f.name}__hours_to" for f in fx.FAMILIES)
+    + ", '2024-02-01' AS date FROM fx_last GROUP BY 1", "fx_last"))
+def _(spark, sf):
+    rows = materialize(fx.labels(spark, sf), "labels")
+    stores = {f.name: rows.where(F.col("family") == f.name).select("entity_id", "ts", "is_pre", r("hours_to").alias("hours_to")) for f in fx.FAMILIES}
+    path = fresh_path(spark, "snapshot")
+    sinks.append_rows(sinks.family_snapshot(stores, F.lit("2024-02-01")), path)
+    return spark.read.parquet(path)
 
 
 @query("snk_8_append", "SELECT o_orderstatus, 2 * count(*) AS n FROM orders GROUP BY 1")

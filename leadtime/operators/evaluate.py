@@ -92,6 +92,18 @@ def alert_summary(rows: DataFrame, events: DataFrame, by: Sequence[str] = ("fami
     return out.withColumn("f1_ep", F.round(harmonic(F.col("event_recall"), F.col("precision")), 4))
 
 
+def dashboard_metrics(scored: DataFrame, events: DataFrame, lead_hours: Column, alert_h: Column,
+                      by: Sequence[str] = SERIES, time: str = "ts") -> DataFrame:
+    """Everything a dashboard says about a model: errors, precision and recall of rows and events, its parameters,
+    the time that was tested and when the document was made. ``events`` has a flag ``detected``."""
+    rows = confusion(scored, F.col("pred_h") <= alert_h, F.col("is_pre"), by).select(
+        *by, F.round("precision", 4).alias("precision"), F.round("recall", 4).alias("recall"))
+    found = event_recall(events, F.col("detected"), by)
+    span = scored.groupBy(*by).agg(F.min(time).alias("test_start"), F.max(time).alias("test_end"))
+    return (regression_metrics(scored, by).join(rows, list(by), "full").join(found, list(by), "left").join(span, list(by))
+            .withColumns({"lead_hours": lead_hours, "alert_h": alert_h, "generated": F.current_timestamp()}))
+
+
 def pick_winner(candidates: DataFrame, by: Sequence[str] = ("family",), metric: str = "f1_ep",
                 preferred: str = "donor+target") -> DataFrame:
     """Best candidate per family; on a tie the one trained on more sources."""
