@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from leadtime.llm import decontaminate, mixing, near_dedup, quality, token_ids
-from leadtime.llm.common import table
+from leadtime.llm.common import small_batches, table
 from leadtime.plans.lineage import materialize
 
 #: The near-duplicate rule is the operator's contract: four words, a similarity of 0.8.
@@ -19,6 +19,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id."""
+    small_batches(spark)
     return near_dedup.drop_near_copies(docs, SHINGLE, PERCENT)
 
 
@@ -29,11 +30,13 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows are repeated, cut or left out so that the sources meet their weights."""
+    small_batches(spark)
     return mixing.mixed_documents(docs)
 
 
 def token_id_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Grammar-compressed shards of token ids, reported from the files."""
+    small_batches(spark)
     return token_ids.token_ids(docs, TOKENIZER)
 
 

@@ -12,10 +12,19 @@ from pyspark.sql import functions as F
 #: The six characters of [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\x0c\r"
 #: Bytes of text that a task looks at together; a longer text is looked at alone.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
+
+
+#: Rows of an Arrow batch: texts are long, and a batch lies in the memory of both the JVM and the Python worker.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -112,14 +121,14 @@ class Fingerprints:
     def _power(cls, seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         have = cls._powers.get(seed)
         if have is None or len(have[0]) < n:
-            size = 1 << max(12, (n - 1).bit_length())
+            size = -(-n // (1 << 16)) << 16
             base = int(mix64(np.array([seed], np.uint64))[0]) | 5
             inverse = pow(base, -1, 2**64)
             up, down = np.ones(size, np.uint64), np.ones(size, np.uint64)
             with np.errstate(over="ignore"):
                 np.cumprod(np.full(size - 1, base, np.uint64), out=up[1:])
                 np.cumprod(np.full(size - 1, inverse, np.uint64), out=down[1:])
-            if size <= 1 << 23:
+            if size <= 1 << 21:  # a worker keeps a few dozen megabytes at most
                 cls._powers[seed] = (up, down)
             return up, down
         return have
