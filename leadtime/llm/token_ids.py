@@ -14,14 +14,15 @@ expansion lengths any range of ids inside it is found without expanding what pre
 Documents lie in ascending id order over the files, in range partitions. A task writes a file under a name of its own
 and only names in the committed manifest are read.
 
-Nulls: a null text counts as empty and has the end id alone; a null id sorts first. Repeated ids stay in any order
-within the ties (their rows are told apart by text). Empty tables give no file and an empty result. Very long texts are
+Nulls: a null text counts as empty and has the end id alone; a null id sorts first. Rows with equal ids are ordered by
+text, so their order is the same in every run. Empty tables give no file and an empty result. Very long texts are
 encoded alone, in pieces. Columns beside id and text are ignored.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from functools import lru_cache
@@ -38,9 +39,11 @@ from leadtime.plans.lineage import fresh_path, materialize
 MAGIC = b"RPID1\0\0\0"
 END_ID = 1
 #: Ids in a shard, pairs replaced in a round at most, rounds, least count of a pair that becomes a rule.
-SHARD_IDS, ROUND_PAIRS, ROUNDS, LEAST = 1 << 21, 512, 6, 32
-#: Distinct pieces that a worker remembers.
-REMEMBERED = 400_000
+SHARD_IDS, ROUND_PAIRS, ROUNDS, LEAST = 1 << 20, 512, 6, 32
+#: Distinct pieces that a worker remembers, and plain words that it encodes in one call.
+REMEMBERED, JOINED = 400_000, 500
+#: Bytes of text that are encoded together.
+ENCODE_BYTES = 1 << 21
 MANIFEST = "shard string, doc_id long, place long, n_tokens long"
 
 
@@ -50,6 +53,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LETTER = byte_table(bytes(range(97, 123)))
 _MARK = byte_table(bytes(x for x in range(33, 127) if not chr(x).isalnum() and chr(x) != "'"))
+#: Lower-case words of a-z and U+00E0..U+00FF, which are one token run for tokenizers with word ends.
+_PLAIN = re.compile(rb"(?:[a-z]|\xC3[\xA0-\xB6\xB8-\xBF])+").fullmatch
 
 
 @lru_cache(maxsize=2)
@@ -66,6 +71,8 @@ class PieceEncoder:
 
     def __init__(self, file: str) -> None:
         self.tokenizer = _tokenizer(file)
+        self.word_ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        self.word_ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self._forget()
 
@@ -74,15 +81,34 @@ class PieceEncoder:
         self.ids: list[np.ndarray] = []
         self.flat, self.starts, self.size = np.zeros(1 << 16, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32), np.zeros(1 << 14, np.int64), 0
 
-    def _learn(self, pieces: list[bytes]) -> None:
+    def _encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these pieces end to end, and the number of each."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        total, n = int(lengths.sum()), len(self.known)
+        return np.fromiter((x for ids in found for x in ids), np.int64, int(lengths.sum())), lengths
+
+    def _encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for plain words, many in a call; the ids that end a word tell them apart."""
+        texts = [b" ".join(words[i:i + JOINED]).decode() for i in range(0, len(words), JOINED)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.fromiter((x for part in found for x in part), np.int64, sum(map(len, found)))
+        ends = np.flatnonzero(self.word_ends[ids]) + 1
+        if len(ends) != len(words):
+            return self._encode_pieces(words)
+        return ids, np.diff(np.r_[0, ends])
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        plain = [p for p in pieces if _PLAIN(p)]
+        other = [p for p in pieces if not _PLAIN(p)]
+        pieces = plain + other
+        parts = [self._encode_words(plain), self._encode_pieces(other)]
+        ids, lengths = (np.concatenate([x[i] for x in parts]) for i in range(2))
+        total, n = len(ids), len(self.known)
         while self.size + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while n + len(pieces) + 1 > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        self.flat[self.size:self.size + total] = np.fromiter((x for ids in found for x in ids), self.flat.dtype, total)
+        self.flat[self.size:self.size + total] = ids
         self.starts[n + 1:n + 1 + len(pieces)] = self.size + np.cumsum(lengths)
         self.size += total
         self.known.update(zip(pieces, range(n, n + len(pieces))))
@@ -121,12 +147,11 @@ class PieceEncoder:
             keep[offsets[i]:offsets[i + 1]] = False
         letter, mark = _LETTER[low], _MARK[low]
         # two-byte letters U+00C0..U+00FF, without the signs U+00D7 and U+00F7
+        ended = letter.copy()
         if len(low) > 1:
             accent = (low[:-1] == 0xC3) & (low[1:] != 0x97) & (low[1:] != 0xB7)
-            ended = letter.copy()
+            low[1:][accent & (low[1:] < 0x9F)] += 0x20
             ended[1:] |= accent
-        else:
-            ended = letter
         first = np.zeros(len(low) + 1, bool)
         first[offsets[:-1]] = True
         head = keep.copy()
@@ -135,7 +160,7 @@ class PieceEncoder:
         if not len(starts):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         packed = low[keep]
-        place = np.cumsum(keep) - keep
+        place = np.cumsum(keep, dtype=np.int32) - keep
         cuts = np.append(place[starts], len(packed)).astype(np.int32)
         words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(packed)])
         coded = words.dictionary_encode()
@@ -156,11 +181,11 @@ def repair(ids: np.ndarray, bounds: np.ndarray, first: int) -> tuple[np.ndarray,
     """Symbols, their bounds per document, rules (pairs) and expansion lengths.
 
     Rounds replace up to ROUND_PAIRS of the most frequent pairs at once, the leftmost first where they overlap. Pairs
-    are counted in a table of hashed pairs and the frequent cells are then counted exactly.
+    are counted in a table of hashed pairs; the pairs of the fullest cells are then counted exactly.
     """
     symbols, bounds = ids.astype(np.uint32), bounds.astype(np.int64)
     rules, lengths = np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
-    bits = int(np.clip(np.ceil(np.log2(max(2, len(ids)))), 12, 18))
+    bits = int(np.clip(np.ceil(np.log2(max(2, len(ids)))), 12, 19))
     for _ in range(ROUNDS):
         n = len(symbols)
         if n < 2 * LEAST:
@@ -170,16 +195,27 @@ def repair(ids: np.ndarray, bounds: np.ndarray, first: int) -> tuple[np.ndarray,
         free[cuts[(cuts > 0) & (cuts < n)] - 1] = False  # no pair across documents
         cell = ((symbols[:-1] * np.uint32(0x9E3779B1)) ^ (symbols[1:] * np.uint32(0x85EBCA77))) >> np.uint32(32 - bits)
         counts = np.bincount(cell[free], minlength=1 << bits)
-        enough = max(LEAST, int(np.partition(counts, -2 * ROUND_PAIRS)[-2 * ROUND_PAIRS]) if len(counts) > 2 * ROUND_PAIRS else LEAST)
-        at = np.flatnonzero((counts >= enough)[cell] & free)
-        pairs, inverse, exact = np.unique((symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1], return_inverse=True, return_counts=True)
-        best = np.argsort(-exact, kind="stable")[:ROUND_PAIRS]
-        best = best[exact[best] >= LEAST]
+        top = np.argpartition(counts, -ROUND_PAIRS)[-ROUND_PAIRS:] if len(counts) > ROUND_PAIRS else np.arange(len(counts))
+        top = top[counts[top] >= LEAST]
+        if not len(top):
+            break
+        number = np.full(1 << bits, -1, np.int32)
+        number[top] = np.arange(len(top))
+        chosen = number[cell]
+        at = np.flatnonzero((chosen >= 0) & free)
+        chosen = chosen[at]
+        key = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1]
+        pairs = np.zeros(len(top), np.uint64)
+        pairs[chosen[::-1]] = key[::-1]  # the first pair of a cell stands for it; others that share the cell stay
+        same = pairs[chosen] == key
+        at, chosen = at[same], chosen[same]
+        exact = np.bincount(chosen, minlength=len(top))
+        best = np.flatnonzero(exact >= LEAST)
         if not len(best):
             break
-        number = np.full(len(pairs), -1, np.int64)
+        number = np.full(len(top), -1, np.int64)
         number[best] = np.arange(len(best))
-        chosen = number[inverse]
+        chosen = number[chosen]
         at, chosen = at[chosen >= 0], chosen[chosen >= 0]
         run = np.flatnonzero(np.r_[True, np.diff(at) != 1])  # overlapping places: every second one from the left
         turn = np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))
@@ -198,21 +234,24 @@ def repair(ids: np.ndarray, bounds: np.ndarray, first: int) -> tuple[np.ndarray,
     return symbols, bounds, rules, lengths
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
-    """The ids of these symbols, rule by rule from the last round back."""
-    out = symbols.astype(np.uint32)
-    while len(out):
-        deep = out >= first
-        if not deep.any():
-            break
-        sizes = 1 + deep
+class Expansions:
+    """The ids of every symbol end to end, so that any symbols expand by one gather."""
+
+    def __init__(self, rules: np.ndarray, lengths: np.ndarray, first: int) -> None:
+        self.sizes = np.concatenate([np.ones(first, np.int64), lengths.astype(np.int64)])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.empty(int(self.sizes.sum()), np.uint32)
+        self.flat[:first] = np.arange(first)
+        for i, (a, b) in enumerate(rules.astype(np.int64)):  # a rule's parts come before it
+            at, mid, end = self.starts[first + i], self.starts[first + i] + self.sizes[a], self.starts[first + i] + self.sizes[first + i]
+            self.flat[at:mid] = self.flat[self.starts[a]:self.starts[a] + self.sizes[a]]
+            self.flat[mid:end] = self.flat[self.starts[b]:self.starts[b] + self.sizes[b]]
+
+    def of(self, symbols: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[symbols]
         ends = np.cumsum(sizes)
-        longer = np.empty(int(ends[-1]), np.uint32)
-        longer[ends - sizes] = np.where(deep, 0, out)
-        pair = rules[out[deep].astype(np.int64) - first]
-        longer[(ends - sizes)[deep]], longer[(ends - 1)[deep]] = pair[:, 0], pair[:, 1]
-        out = longer
-    return out
+        shift = self.starts[symbols] - (ends - sizes)
+        return self.flat[np.repeat(shift, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
 class Shard:
@@ -232,21 +271,22 @@ class Shard:
 
         self.doc_ids, self.bounds, self.id_bounds = take("<i8", n), take("<u8", n + 1).astype(np.int64), take("<u8", n + 1).astype(np.int64)
         self.rules, self.lengths, self.symbols = take("<u4", 2 * r).reshape(-1, 2), take("<u4", r), take("<u4", m)
+        self.expansions = Expansions(self.rules, self.lengths, self.first)
 
     def ids(self, document: int) -> np.ndarray:
-        return expand(self.symbols[self.bounds[document]:self.bounds[document + 1]], self.rules, self.first)
+        return self.expansions.of(self.symbols[self.bounds[document]:self.bounds[document + 1]])
 
     def some(self, document: int, start: int, stop: int) -> np.ndarray:
         """Ids start..stop of a document: the expansion lengths lead to the symbols that hold them."""
         symbols = self.symbols[self.bounds[document]:self.bounds[document + 1]]
-        sizes = np.concatenate([np.ones(self.first, np.int64), self.lengths.astype(np.int64)])[symbols]
+        sizes = self.expansions.sizes[symbols]
         ends = np.cumsum(sizes)
         stop = min(stop, int(ends[-1]))
         if start >= stop:
             return np.zeros(0, np.uint32)
         a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left")
         before = int(ends[a] - sizes[a])
-        return expand(symbols[a:b + 1], self.rules, self.first)[start - before:stop - before]
+        return self.expansions.of(symbols[a:b + 1])[start - before:stop - before]
 
 
 def pack(doc_ids: np.ndarray, ids: np.ndarray, id_bounds: np.ndarray, first: int) -> bytes:
@@ -260,7 +300,7 @@ def pack(doc_ids: np.ndarray, ids: np.ndarray, id_bounds: np.ndarray, first: int
 
 def _write(file: str, folder: str):
     def work(batches):
-        encoder = PieceEncoder(file)
+        encoder = PieceEncoder(file)  # for this task alone: workers that wait keep no memory
         first = encoder.tokenizer.get_vocab_size(with_added_tokens=True)
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base)
@@ -278,7 +318,7 @@ def _write(file: str, folder: str):
                                               names=["shard", "doc_id", "place", "n_tokens"])
 
         for batch in batches:
-            for rows, data, offsets in slices(batch, "text"):
+            for rows, data, offsets in slices(batch, "text", ENCODE_BYTES):
                 ids, counts = encoder.encode(data, offsets)
                 held.append((rows.column("doc_id").fill_null(-2**63).to_numpy(zero_copy_only=False).astype(np.int64), ids, counts))
                 if sum(len(x[1]) for x in held) >= SHARD_IDS:
@@ -295,7 +335,7 @@ def _read(folder: str):
             for name in batch.column("shard").to_pylist():
                 with store.open_input_file(name) as file:
                     shard = Shard(file.read())
-                ids = expand(shard.symbols, shard.rules, shard.first).astype("<u4")
+                ids = shard.expansions.of(shard.symbols).astype("<u4", copy=False)
                 b = shard.id_bounds
                 sums = [zlib.crc32(ids[b[i]:b[i + 1]]) for i in range(len(shard.doc_ids))]
                 n = len(shard.doc_ids)
@@ -311,7 +351,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     made = materialize(ordered.mapInArrow(_write(tokenizer, f"{path}/shards"), MANIFEST), "manifest")
     return made.groupBy("shard").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.count("*").alias("documents"),
                                      F.sum("n_tokens").alias("n_ids"))

@@ -52,9 +52,9 @@ def test_grammar_round_trip_and_random_access(seed):
         assert (shard.ids(d) == own).all()
         a, b = sorted(rng.integers(0, len(own) + 2, 2))
         assert (shard.some(d, a, b) == own[a:b]).all()
-    ones = np.ones(len(shard.rules), np.int64)
-    for i, pair in enumerate(shard.rules):  # the stored lengths are those of the expansions
-        assert shard.lengths[i] == len(op.expand(pair * ones[i].astype(np.uint32), shard.rules, shard.first))
+    for i, pair in enumerate(shard.rules):  # a rule expands to its parts, and to as many ids as the file says
+        whole = shard.expansions.of(np.array([1000 + i]))
+        assert len(whole) == shard.lengths[i] and (whole == shard.expansions.of(pair)).all()
 
 
 def test_files_follow_the_id_order(spark):
