@@ -1,7 +1,7 @@
 """The given tables seen as telemetry, status log, faults and predictions.
 
 Every view exists twice: as a DataFrame and as a SQL common table expression with the same name.
-The event density of the tables calls for shorter hours than production uses.
+The event density of the tables calls for shorter hours than production uses; the trees are those of production.
 """
 
 from __future__ import annotations
@@ -14,11 +14,12 @@ from leadtime.functions.scalars import clip, floor_ts
 from leadtime.operators import asof, faults as flt
 from leadtime.plans.lineage import materialize
 
+_TREES = {f.name: (f.leaves, f.min_child) for f in config.FAMILIES}
 FAMILIES = (
-    config.Family("yaw_cable", 4, 2, 2, 1, 8, 5),
-    config.Family("generator", 6, 3, 3, 3, 8, 5),
-    config.Family("brake_hydro", 6, 3, 3, 1, 8, 5),
-    config.Family("pitch_bat", 12, 6, 6, 5, 8, 5),
+    config.Family("yaw_cable", 4, 2, 2, 1, *_TREES["yaw_cable"]),
+    config.Family("generator", 6, 3, 3, 3, *_TREES["generator"]),
+    config.Family("brake_hydro", 6, 3, 3, 1, *_TREES["brake_hydro"]),
+    config.Family("pitch_bat", 12, 6, 6, 5, *_TREES["pitch_bat"]),
 )
 FAMILY_CODES = {"yaw_cable": (1, 2), "generator": (11, 12), "brake_hydro": (21, 22), "pitch_bat": (31, 32)}
 EXCLUDED = tuple(range(90, 100))
