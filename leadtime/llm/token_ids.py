@@ -7,8 +7,8 @@ tokenizers library); a text that holds a special token's text is encoded whole.
 
 Shard file (little-endian): magic ``RPID1\\0\\0\\0``; u32 documents, u32 rules, u32 first nonterminal, u64 symbols; then
 i64 doc ids, u64 first symbol of each document and the end, u64 first id of each document and the end, u32 pairs of the
-rules, u32 expansion length of each rule, u32 symbols. The symbols are a Re-Pair grammar of the ids: rounds replace the
-most frequent id pairs by nonterminals, never across a document's end. A document is read by its symbol range; with the
+rules, u32 expansion length of each rule, u32 symbols. The symbols are a Re-Pair grammar of the ids: rounds replace
+frequent pairs by nonterminals, never across a document's end, until none is left that saves its rule. A document is read by its symbol range; with the
 expansion lengths any range of ids inside it is found without expanding what precedes it.
 
 Documents lie in ascending id order over the files, in range partitions. A task writes a file under a name of its own
@@ -38,8 +38,8 @@ from leadtime.plans.lineage import fresh_path, materialize
 
 MAGIC = b"RPID1\0\0\0"
 END_ID = 1
-#: Ids in a shard, pairs replaced in a round at most, rounds, least count of a pair that becomes a rule.
-SHARD_IDS, ROUND_PAIRS, ROUNDS, LEAST = 1 << 20, 512, 6, 32
+#: Ids in a shard, least count of a pair that becomes a rule: a rule costs 12 bytes and saves 4 at each place.
+SHARD_IDS, LEAST = 1 << 20, 4
 #: Distinct pieces that a worker remembers, and plain words that it encodes in one call.
 REMEMBERED, JOINED = 400_000, 500
 #: Bytes of text that are encoded together.
@@ -180,58 +180,58 @@ class PieceEncoder:
 def repair(ids: np.ndarray, bounds: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, their bounds per document, rules (pairs) and expansion lengths.
 
-    Rounds replace up to ROUND_PAIRS of the most frequent pairs at once, the leftmost first where they overlap. Pairs
-    are counted in a table of hashed pairs; the pairs of the fullest cells are then counted exactly.
+    A round counts all pairs exactly. Where pairs overlap the more frequent one is replaced, and of a symbol's run every
+    second pair from the left. The most frequent pair always becomes a rule, so rounds end when no pair has LEAST places.
+    A pair below LEAST stays below it while its symbols stand, so later rounds look at the other places only.
     """
     symbols, bounds = ids.astype(np.uint32), bounds.astype(np.int64)
     rules, lengths = np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
-    bits = int(np.clip(np.ceil(np.log2(max(2, len(ids)))), 12, 19))
-    for _ in range(ROUNDS):
-        n = len(symbols)
-        if n < 2 * LEAST:
-            break
-        free = np.ones(n - 1, bool)
-        cuts = bounds[1:-1]
-        free[cuts[(cuts > 0) & (cuts < n)] - 1] = False  # no pair across documents
-        cell = ((symbols[:-1] * np.uint32(0x9E3779B1)) ^ (symbols[1:] * np.uint32(0x85EBCA77))) >> np.uint32(32 - bits)
-        counts = np.bincount(cell[free], minlength=1 << bits)
-        top = np.argpartition(counts, -ROUND_PAIRS)[-ROUND_PAIRS:] if len(counts) > ROUND_PAIRS else np.arange(len(counts))
-        top = top[counts[top] >= LEAST]
-        if not len(top):
-            break
-        number = np.full(1 << bits, -1, np.int32)
-        number[top] = np.arange(len(top))
-        chosen = number[cell]
-        at = np.flatnonzero((chosen >= 0) & free)
-        chosen = chosen[at]
-        key = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1]
-        pairs = np.zeros(len(top), np.uint64)
-        pairs[chosen[::-1]] = key[::-1]  # the first pair of a cell stands for it; others that share the cell stay
-        same = pairs[chosen] == key
-        at, chosen = at[same], chosen[same]
-        exact = np.bincount(chosen, minlength=len(top))
-        best = np.flatnonzero(exact >= LEAST)
-        if not len(best):
-            break
-        number = np.full(len(top), -1, np.int64)
+    last = np.zeros(len(symbols), bool)  # of its document
+    last[bounds[1:][np.diff(bounds) > 0] - 1] = True
+    open_ = ~last
+    while True:
+        n, at = len(symbols), np.flatnonzero(open_)
+        twins = np.flatnonzero(symbols[at] == symbols[at + 1])
+        run = np.flatnonzero(np.r_[True, np.diff(at[twins]) != 1])[:len(twins)]
+        turn = np.arange(len(twins)) - np.repeat(run, np.diff(np.r_[run, len(twins)]))  # place in a run of one symbol
+        at = np.delete(at, twins[turn % 2 == 1])
+        bits = int(np.clip(len(at).bit_length() + 1, 12, 22))
+        cell = ((symbols[at] * np.uint32(0x9E3779B1)) ^ (symbols[at + 1] * np.uint32(0x85EBCA77))) >> np.uint32(32 - bits)
+        some = np.bincount(cell, minlength=1 << bits)[cell] >= LEAST  # no frequent pair lies in another cell
+        open_[at[~some]] = False
+        at = at[some]
+        pairs, which, counts = np.unique((symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1], return_inverse=True, return_counts=True)
+        often = counts[which] >= LEAST
+        open_[at[~often]] = False
+        at, which = at[often], which[often]
+        if not len(at):
+            return symbols, bounds, rules, lengths
+        order = np.empty(len(pairs), np.int32)
+        order[np.argsort(counts, kind="stable")] = np.arange(1, len(pairs) + 1)
+        weight = np.zeros(n + 1, np.int32)  # the last one stands before the first symbol
+        weight[at] = order[which]
+        wins = (weight[at] > weight[at - 1]) & (weight[at] > weight[at + 1])
+        at, which = at[wins], which[wins]
+        best = np.flatnonzero(np.bincount(which, minlength=len(pairs)) >= LEAST)
+        number = np.full(len(pairs), -1, np.int64)
         number[best] = np.arange(len(best))
-        chosen = number[chosen]
+        chosen = number[which]
         at, chosen = at[chosen >= 0], chosen[chosen >= 0]
-        run = np.flatnonzero(np.r_[True, np.diff(at) != 1])  # overlapping places: every second one from the left
-        turn = np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))
-        at, chosen = at[turn % 2 == 0], chosen[turn % 2 == 0]
         base = first + len(rules)
         new = np.stack([(pairs[best] >> np.uint64(32)).astype(np.uint32), (pairs[best] & np.uint64(0xFFFFFFFF)).astype(np.uint32)], axis=1)
         known = np.concatenate([np.ones(first, np.uint32), lengths])
         lengths = np.concatenate([lengths, known[new[:, 0]] + known[new[:, 1]]])
         rules = np.concatenate([rules, new])
         symbols[at] = (base + chosen).astype(np.uint32)
+        last[at] = last[at + 1]
+        open_[at] = True
+        open_[at[at > 0] - 1] = True
+        open_ &= ~last
         gone = np.zeros(n + 1, np.int64)
         stay = np.ones(n, bool)
         stay[at + 1] = False
         np.cumsum(~stay, out=gone[1:])
-        symbols, bounds = symbols[stay], bounds - gone[bounds]
-    return symbols, bounds, rules, lengths
+        symbols, last, open_, bounds = symbols[stay], last[stay], open_[stay], bounds - gone[bounds]
 
 
 class Expansions:
@@ -242,10 +242,11 @@ class Expansions:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.flat = np.empty(int(self.sizes.sum()), np.uint32)
         self.flat[:first] = np.arange(first)
-        for i, (a, b) in enumerate(rules.astype(np.int64)):  # a rule's parts come before it
-            at, mid, end = self.starts[first + i], self.starts[first + i] + self.sizes[a], self.starts[first + i] + self.sizes[first + i]
-            self.flat[at:mid] = self.flat[self.starts[a]:self.starts[a] + self.sizes[a]]
-            self.flat[mid:end] = self.flat[self.starts[b]:self.starts[b] + self.sizes[b]]
+        top, done = np.maximum.accumulate(rules.max(axis=1)) if len(rules) else np.zeros(0, np.uint32), 0
+        while done < len(rules):  # all rules at once whose parts are known
+            end = int(np.searchsorted(top, first + done))
+            self.flat[self.starts[first + done]:self.starts[first + end - 1] + self.sizes[first + end - 1]] = self.of(rules[done:end].ravel())
+            done = end
 
     def of(self, symbols: np.ndarray) -> np.ndarray:
         sizes = self.sizes[symbols]

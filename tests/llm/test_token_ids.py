@@ -79,3 +79,22 @@ def test_a_small_memory_changes_nothing(monkeypatch):
     encoder = op.PieceEncoder(FILE)
     for b, r in zip(raw, hostile()):
         assert encoder.encode(np.frombuffer(b, np.uint8), np.array([0, len(b)]))[0].tolist() == _library(r[1])
+
+
+def test_grammar_goes_on_until_no_rule_pays():
+    ids = np.full(1 << 16, 7, np.uint32)
+    symbols, _, rules, lengths = op.repair(ids, np.array([0, len(ids)]), 1000)
+    assert len(symbols) <= 8 and lengths.max() >= 1 << 13
+    rng = np.random.default_rng(1)
+    passage = rng.integers(0, 1000, 300)
+    ids = np.concatenate([np.r_[passage, rng.integers(0, 1000, 50)] for _ in range(5)] + [rng.integers(0, 1000, 20_000)]).astype(np.uint32)
+    bounds = np.array([0, 0, 350, 1000, len(ids), len(ids)])
+    shard = op.Shard(op.pack(np.arange(5), ids, bounds, 1000))
+    assert all((shard.ids(d) == ids[bounds[d]:bounds[d + 1]]).all() for d in range(5))
+    left, places = {}, {}
+    for d in range(5):
+        own = shard.symbols[shard.bounds[d]:shard.bounds[d + 1]].tolist()
+        for i, pair in enumerate(zip(own, own[1:])):
+            if places.get(pair) != (d, i - 1):  # overlapping places count once
+                left[pair], places[pair] = left.get(pair, 0) + 1, (d, i)
+    assert max(left.values()) < op.LEAST and shard.lengths.max() >= 50
