@@ -3,7 +3,8 @@
 Texts are encoded by a public tokenizer file. A text is first cut into pieces that the tokenizer can't join: at ASCII
 white space, between a letter and a following punctuation mark, and between a punctuation mark other than an apostrophe
 and a following ASCII letter. Each distinct piece is encoded once for a worker (the encodings are those of the
-tokenizers library); a text that holds a special token's text is encoded whole.
+tokenizers library); a text that holds a special token's text is encoded whole, and so is every text if the file doesn't
+normalise and split as PIECED says.
 
 Shard file (little-endian): magic ``RPID1\\0\\0\\0``; u32 documents, u32 rules, u32 first nonterminal, u64 symbols; then
 i64 doc ids, u64 first symbol of each document and the end, u64 first id of each document and the end, u32 pairs of the
@@ -21,6 +22,7 @@ encoded alone, in pieces. Columns beside id and text are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -53,6 +55,13 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LETTER = byte_table(bytes(range(97, 123)))
 _MARK = byte_table(bytes(x for x in range(33, 127) if not chr(x).isalnum() and chr(x) != "'"))
+#: Normaliser and pre-tokeniser of the files for which the pieces hold: lower-casing, white space dropped, words apart.
+PIECED = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+)
 #: Lower-case words of a-z and U+00E0..U+00FF, which are one token run for tokenizers with word ends.
 _PLAIN = re.compile(rb"(?:[a-z]|\xC3[\xA0-\xB6\xB8-\xBF])+").fullmatch
 
@@ -74,6 +83,8 @@ class PieceEncoder:
         self.word_ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
         self.word_ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        parts = (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)
+        self.pieced = all(part is not None and json.loads(part.__getstate__()) == known for part, known in zip(parts, PIECED))
         self._forget()
 
     def _forget(self) -> None:
@@ -117,7 +128,10 @@ class PieceEncoder:
         """Ids of all rows, end id included, and the number of ids of each row."""
         n = len(offsets) - 1
         raw = data.tobytes()
-        whole = [i for i in range(n) if any(s.encode() in raw[offsets[i]:offsets[i + 1]] for s in self.special)] if any(s.encode() in raw for s in self.special) else []
+        if not self.pieced:
+            whole = list(range(n))
+        else:
+            whole = [i for i in range(n) if any(s.encode() in raw[offsets[i]:offsets[i + 1]] for s in self.special)] if any(s.encode() in raw for s in self.special) else []
         owner, which = self._pieces(data, offsets, whole)
         lengths = self.starts[which + 1] - self.starts[which]
         per_row = np.bincount(owner, lengths, n).astype(np.int64) if len(owner) else np.zeros(n, np.int64)

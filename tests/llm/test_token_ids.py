@@ -98,3 +98,14 @@ def test_grammar_goes_on_until_no_rule_pays():
             if places.get(pair) != (d, i - 1):  # overlapping places count once
                 left[pair], places[pair] = left.get(pair, 0) + 1, (d, i)
     assert max(left.values()) < op.LEAST and shard.lengths.max() >= 50
+
+
+@pytest.mark.parametrize("file, pieced", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_ids_of_another_tokenizer_file(file, pieced):
+    texts = ["", "Hello  World, it's A\ttest\n", " É Ü 日本 <|endoftext|> X", "ABC abc 12"]
+    raw = [t.encode() for t in texts]
+    encoder = op.PieceEncoder(file)
+    ids, counts = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    library = Tokenizer.from_file(public_tokenizers.path(file))
+    assert encoder.pieced == pieced
+    assert ids.tolist() == [x for t in texts for x in [*library.encode(t, add_special_tokens=False).ids, 1]]
