@@ -33,7 +33,7 @@ from leadtime.llm.graph import components, local_components
 from leadtime.plans.lineage import materialize
 
 #: Chunks of a signature, symbols of a chunk, symbols that may differ in one, bits of a symbol, farthest linked distance.
-CHUNKS, CHUNK, ERRORS, BITS, FAR = 12, 5, 1, 16, 28
+CHUNKS, CHUNK, ERRORS, BITS, FAR = 12, 5, 1, 16, 33
 SYMBOLS = CHUNKS * CHUNK
 #: Members of a key, and of a component, that one task compares with as many others.
 KEY_BLOCK, SET_BLOCK = 4_096, 1_024

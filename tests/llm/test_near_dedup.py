@@ -113,3 +113,9 @@ def test_components_of_a_long_path_and_a_hub(spark):
     links = [(i, i + 1) for i in range(100, 140)] + [(7, j) for j in range(200, 260)] + [(5, 5), (None, 3), (300, 301), (301, 300)]
     found = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {i: 100 for i in range(100, 141)} | {7: 7} | {j: 7 for j in range(200, 260)} | {300: 300, 301: 300}
+
+
+def test_far_loses_less_than_the_keys_do():
+    from math import comb
+    n = op.SYMBOLS  # unequal symbols of a pair at a similarity of 0.8
+    assert sum(comb(n, k) * 0.2**k * 0.8**(n - k) for k in range(op.FAR + 1, n + 1)) < 1e-8
