@@ -1,7 +1,7 @@
 """Benchmark decontamination through suffix arrays of the training texts.
 
 Each task cuts its documents into shards of about SLICE_BYTES of text and sorts the word suffixes of a shard (prefix
-doubling to DEPTH words). Every suffix window of the benchmark is then binary-searched in every shard: the interval it
+doubling to DEPTH words, or to a window if that is longer). Every suffix window of the benchmark is then binary-searched in every shard: the interval it
 meets in the suffix array are the places where the document holds it word for word. Neighbouring places on one diagonal
 join to the longest verbatim matches.
 
@@ -48,18 +48,18 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class SuffixArray:
-    """Word suffixes of a shard in order, compared over DEPTH words; a mark stands behind each document."""
+    """Word suffixes of a shard in order, compared over ``depth`` words at least; a mark stands behind each document."""
 
-    def __init__(self, prints: np.ndarray, bounds: np.ndarray) -> None:
+    def __init__(self, prints: np.ndarray, bounds: np.ndarray, depth: int = DEPTH) -> None:
         self.vocabulary, rank = np.unique(prints, return_inverse=True)
         n = len(bounds) - 1
         doc, place = segment_rows(np.diff(bounds))
         self.at = bounds[:-1][doc] + place + doc  # each document is one longer by its mark
-        self.sequence = np.zeros(len(prints) + n + 2 * DEPTH, np.int64)
+        self.sequence = np.zeros(len(prints) + n + 2 * depth, np.int64)
         self.sequence[self.at] = rank + 1
         self.doc_at = bounds + np.arange(n + 1)
         order, step = self.sequence, 1
-        while step < DEPTH:
+        while step < depth:
             ahead = np.zeros_like(order)
             ahead[:-step] = order[step:]
             key = order * (int(order.max(initial=0)) + 1) + ahead
@@ -70,7 +70,7 @@ class SuffixArray:
         self.suffixes = self.at[np.argsort(order[self.at], kind="stable")]
 
     def search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """queries (q, m) of ranks, m up to DEPTH: the interval of suffixes that begin with each."""
+        """queries (q, m) of ranks, m up to the depth: the interval of suffixes that begin with each."""
         q, m = queries.shape
         steps = math.ceil(math.log2(len(self.suffixes) + 1)) + 1
 
@@ -179,7 +179,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     def work(batches):
         for batch in batches:
             for part, data, offsets in slices(batch, "text"):
-                shard = SuffixArray(*words(data, offsets))
+                shard = SuffixArray(*words(data, offsets), max(DEPTH, window))
                 ids = part.column("doc_id").to_pylist()
                 rows = [(ids[d], *rest) for d, *rest in _longest(shard, _examine(shard, len(ids), blocks, window)[2])]
                 names = ["doc_id", "item_id", "doc_word", "item_word", "n_words"]
@@ -197,7 +197,7 @@ def scores(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: i
         for batch in batches:
             for part, data, offsets in slices(batch, "text"):
                 prints, bounds = words(data, offsets)
-                shard = SuffixArray(prints, bounds)
+                shard = SuffixArray(prints, bounds, max(DEPTH, window))
                 n = len(offsets) - 1
                 hit, found, _ = _examine(shard, n, blocks, window)
                 sums = np.concatenate([[0], np.cumsum(hit[shard.at])])
@@ -220,7 +220,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WIN
         for batch in batches:
             for part, data, offsets in slices(batch, "text"):
                 prints, bounds = words(data, offsets)
-                shard = SuffixArray(prints, bounds)
+                shard = SuffixArray(prints, bounds, max(DEPTH, window))
                 hit, _, _ = _examine(shard, len(offsets) - 1, blocks, window)
                 sums = np.concatenate([[0], np.cumsum(hit[shard.at])])
                 n_hit = sums[bounds[1:]] - sums[bounds[:-1]]

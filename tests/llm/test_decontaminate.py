@@ -68,3 +68,16 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert all(r.n_hit == 0 and not r.contaminated for r in op.scores(frame(spark, rows), none).collect())
     assert op.scores(frame(spark, []), spark.createDataFrame(items, "item_id long, text string")).count() == 0
+
+
+def test_windows_longer_than_the_least_depth():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    window, head = 24, list(range(1, 18))  # the first 17 words are equal everywhere
+    rows = [[*head, *rng.integers(20, 60, window - 17)] for _ in range(300)]
+    bounds = np.arange(301) * window
+    array = op.SuffixArray(np.array(rows, np.uint64).ravel(), bounds, max(op.DEPTH, window))
+    asked = np.searchsorted(array.vocabulary, np.array(rows, np.uint64)) + 1
+    lo, hi = array.search(asked)
+    for i, row in enumerate(rows):
+        assert array.doc_at[i] in array.suffixes[lo[i]:hi[i]] and hi[i] - lo[i] == rows.count(row)
