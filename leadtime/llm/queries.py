@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadtime.llm import (decontaminate, exact_dedup, language_id, mixing, near_dedup, quality, substring_dedup, suffix_dedup,
-                          token_ids, warc)
+from leadtime.llm import (centroids, decontaminate, divergence, exact_dedup, language_id, mixing, near_dedup, quality, substring_dedup,
+                          suffix_dedup, token_counts, token_ids, warc)
 from leadtime.llm.common import table
 from leadtime.llm.registry import QUERIES, SQL, register  # noqa: F401
 from leadtime.plans.lineage import materialize
@@ -164,3 +164,77 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of repeated 35-word passages, found by recompression."""
     found = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), width=35, texts=False)
     return found.select(F.col("id").alias("doc_id"), F.col("n_items").alias("n_words"), "n_removed", "kept_sha256")
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+w AS (SELECT i, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT i) >= 3),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM w JOIN k USING (lang, term) GROUP BY ALL),
+n AS (SELECT lang, source, coalesce(sum(c), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (SELECT n.lang, n.source, k.term, coalesce(c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c, 0) + 1)) // (n + v)::HUGEINT AS p
+      FROM n JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = n.lang AND c.source = n.source AND c.term = k.term),
+l AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(c) + 1)) // (any_value(t) + any_value(v))::HUGEINT AS q
+      FROM p JOIN v USING (lang) JOIN (SELECT lang, sum(n) AS t FROM n GROUP BY lang) USING (lang) GROUP BY lang, term),
+a AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(s, 0)::BIGINT AS value
+      FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+      LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum((x.p - y.p) * (x.p - y.p) // y.p) AS s
+                 FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) z
+      ON z.lang = x.lang AND z.source = x.source AND z.other = y.source
+      UNION ALL
+      SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p JOIN l USING (lang, term) WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM a)
+WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@register("op11_source_divergence", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources compared by their words, in all languages."""
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
+def _rounds_sql(rounds: int = 3) -> str:
+    """Assignments and moves of the centroids, one common table expression each."""
+    nearest = """SELECT i, c AS cluster, d AS distance FROM (SELECT i, c, sum((x.v - y.v) * (x.v - y.v)) AS d
+      FROM x JOIN {0} y USING (j) GROUP BY i, c) QUALIFY row_number() OVER (PARTITION BY i ORDER BY d, c) = 1"""
+    parts = []
+    for r in range(rounds):
+        parts.append(f"a{r} AS ({nearest.format(f'c{r}')})")
+        parts.append(f"""c{r + 1} AS (SELECT o.c, o.j, coalesce(m, o.v) AS v FROM c{r} o LEFT JOIN (SELECT cluster AS c, j, (s - ((s % n) + n) % n) // n AS m FROM (
+      SELECT cluster, j, sum(v) AS s, count(*) AS n FROM a{r} JOIN x USING (i) GROUP BY ALL)) USING (c, j))""")
+    return ",\n".join([*parts, f"a AS ({nearest.format(f'c{rounds}')})"]), f"c{rounds}"
+
+
+_ROUNDS, _LAST = _rounds_sql()
+OP12_SQL = f"""
+WITH r AS (
+  SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND NOT list_contains(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)), true)),
+x AS (SELECT i, unnest(v) AS v, generate_subscripts(v, 1) AS j FROM r),
+c0 AS (SELECT c, unnest(v) AS v, generate_subscripts(v, 1) AS j FROM (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM r QUALIFY c < 16)),
+{_ROUNDS},
+h AS (SELECT c, sha256(string_agg(v::VARCHAR, ',' ORDER BY j)) AS centroid_sha256 FROM {_LAST} GROUP BY c)
+SELECT vec_id, cluster::INT AS cluster, distance::BIGINT AS distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a JOIN r USING (i) JOIN h ON h.c = cluster
+"""
+
+
+@register("op12_centroid_clustering", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen centroids, three rounds."""
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
+@register("op13_token_counts")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), TOKENIZER)

@@ -17,7 +17,7 @@ from tests.llm.test_near_dedup import _expected as near
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     df = QUERIES[name](spark, sf)
     cur = con.execute(SQL[name])
@@ -32,7 +32,7 @@ def test_query_matches_sql(spark, sf, name):
 
 
 def test_names_and_stages():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
 
