@@ -12,7 +12,7 @@ from leadtime.checks.registry import query, r
 from leadtime.checks.windows import off_half, rolling_sql
 from leadtime.operators import faults as flt
 from leadtime.plans.lineage import fresh_path, materialize
-from leadtime.streaming import jobs
+from leadtime.streaming import jobs, since
 
 CUTS = ("2024-01-08", "2024-01-15", "2024-01-23")
 LATE_MINUTES = 40  # less than the watermark's hour
@@ -139,18 +139,14 @@ def _(spark, sf):
 @query("str_6_hours_since_last", sql("""SELECT entity_id, ts, round(CASE WHEN prev_ts IS NULL THEN 8760.0::DOUBLE
     ELSE (epoch_us(ts) - epoch_us(prev_ts)) / 3.6e9 END, 6) AS hours_since, family FROM fx_prev""", "fx_prev"))
 def _(spark, sf):
-    """All families, over five micro-batches with one state row per entity and family between them."""
-    store = fresh_path(spark, "hours")
-
-    def to_faults(batch):
-        return flt.extract_faults(_status_of(batch), fx.families(spark), fx.excluded(spark))
-
-    def to_readings(batch):
-        return batch.select("entity_id", fx.floor_ts("ts").alias("ts")).distinct()
-
-    handle = jobs.hours_since_batches(store, to_faults, to_readings, fx.FAMILIES)
-    jobs.run_batches(_feed(spark, sf).where("entity_id IS NOT NULL"), handle, fresh_path(spark, "progress"))
-    return spark.read.parquet(f"{store}/hours").select("entity_id", "ts", "family", r("hours_since").alias("hours_since"))
+    """All families, over five micro-batches with late faults and late readings; the state is keyed."""
+    since.keyed_state(spark)
+    feed, path = _feed(spark, sf, late=True), fresh_path(spark, "hours")
+    events = flt.map_family(_status_of(feed), fx.families(spark))
+    fault = F.col("status").isin(*config.FAULT_STATUSES) & ~F.col("code").isin(*fx.EXCLUDED)
+    out = since.hours_since_stream(events.withColumn("family", F.when(fault, F.col("family"))), fx.FAMILIES)
+    jobs.run_to_table(out, path, fresh_path(spark, "progress"))
+    return spark.read.parquet(path).select("entity_id", "ts", "family", r("hours_since").alias("hours_since"))
 
 
 @query("str_7_sliding_statistics", sql(f"""

@@ -10,30 +10,23 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field, fields
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, IsotonicRegressionModel
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadtime import config
 from leadtime.functions.scalars import clip
+from leadtime.operators import boosting
+from leadtime.operators.boosting import PATIENCE, TREES, best_round  # noqa: F401
 from leadtime.operators.clean import align, with_model_inputs
 from leadtime.operators.evaluate import (alert_summary, confusion, count_label_events, event_recall,
                                          event_windows, regression_metrics)
 from leadtime.operators.splits import temporal_split
 from leadtime.plans.lineage import materialize
-
-# --- Fixed values: boosting parameters ----------------------------------------
-TREES = 1000
-PATIENCE = 100
-LEARNING_RATE = 0.05
-ROW_SHARE = 0.8
-COLUMN_SHARE = "0.8"
-SEED = 42
-# --- end of fixed values ------------------------------------------------------
+from leadtime.plans.together import together
+from leadtime.sources.sinks import current_version, new_version
 
 
 @dataclass
@@ -56,21 +49,31 @@ class FamilyModel:
                 .drop("_features"))
 
     def save(self, path: str) -> None:
+        """Publishes the model as the next version below ``path``.
+
+        Trees, curve and parameters are written beside each other under a name of their own, and only
+        then named in the pointer: a failure in between leaves the former version the current one.
+        """
         spark = SparkSession.active()
-        self.trees.write().overwrite().save(f"{path}/trees")
-        self.calibration.write().overwrite().save(f"{path}/calibration")
-        spark.createDataFrame(
-            [(*(getattr(self.family, f.name) for f in fields(self.family)), self.source, self.features)],
-            ", ".join(f"{f.name} {_KINDS[type(getattr(self.family, f.name))]}" for f in fields(self.family))
-            + ", source string, features array<string>"
-        ).write.mode("overwrite").parquet(f"{path}/meta")
+        with new_version(spark, path) as folder:
+            self.trees.write().save(f"{folder}/trees")
+            self.calibration.write().save(f"{folder}/calibration")
+            spark.createDataFrame(
+                [(*(getattr(self.family, f.name) for f in fields(self.family)), self.source, self.features)],
+                ", ".join(f"{f.name} {_KINDS[type(getattr(self.family, f.name))]}" for f in fields(self.family))
+                + ", source string, features array<string>"
+            ).coalesce(1).write.parquet(f"{folder}/meta")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "FamilyModel":
-        meta = spark.read.parquet(f"{path}/meta").first()
+        """The current version below ``path``."""
+        folder = current_version(spark, path)
+        if folder is None:
+            raise FileNotFoundError(f"no model below {path}")
+        meta = spark.read.parquet(f"{folder}/meta").first()
         fam = config.Family(**{f.name: meta[f.name] for f in fields(config.Family)})
-        return FamilyModel(fam, list(meta.features), PipelineModel.load(f"{path}/trees"),
-                           IsotonicRegressionModel.load(f"{path}/calibration"), meta.source)
+        return FamilyModel(fam, list(meta.features), PipelineModel.load(f"{folder}/trees"),
+                           IsotonicRegressionModel.load(f"{folder}/calibration"), meta.source)
 
 
 _KINDS = {str: "string", int: "int", float: "double", bool: "boolean"}
@@ -92,71 +95,47 @@ def fit_calibration(scored: DataFrame, raw: str = "raw_h", actual: str = "hours_
                               predictionCol=out).fit(points)
 
 
-def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """Round with the lowest loss before ``patience`` rounds went by without a lower one; did they?"""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best, True
-    return best, False
-
-
 def fit_hours(train: DataFrame, val: DataFrame, family: config.Family, features: Sequence[str],
               trees: int = TREES, source: str = "target", patience: int = PATIENCE) -> FamilyModel:
     """Boosted trees on positive rows, cut after the best round on the validation rows, calibrated on them.
 
-    A round is the best one if ``patience`` later rounds don't beat it. Rounds are added by doubling
-    until that is known; as a seed gives the same trees again, the final fit is the prefix up to the
-    best round.
+    A round is the best one if ``patience`` later rounds don't beat it. Boosting goes on until that is
+    known; the model is the trees up to the best round, nothing is fitted twice.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
-    fit_on, held = (materialize(with_model_inputs(df.where("is_pre"), features).select("hours_to", *features), "rows")
-                    for df in (train, val))
-    fit_on, held = assembler.transform(fit_on), assembler.transform(held)
-
-    def boosted(rounds: int):
-        return GBTRegressor(featuresCol="_features", labelCol="hours_to", predictionCol="raw_h",
-                            maxIter=rounds, stepSize=LEARNING_RATE, maxDepth=tree_depth(family.leaves),
-                            minInstancesPerNode=family.min_child, subsamplingRate=ROW_SHARE,
-                            featureSubsetStrategy=COLUMN_SHARE, seed=SEED).fit(fit_on)
-
-    rounds = min(trees, 2 * patience)
-    while True:
-        fitted = boosted(rounds)
-        best, known = best_round(fitted.evaluateEachIteration(held, "squared"), patience)
-        if known or rounds == trees:
-            break
-        rounds = min(trees, 2 * rounds)
-    if best + 1 < rounds:
-        fitted = boosted(best + 1)
+    fit_on, held = (assembler.transform(with_model_inputs(df.where("is_pre"), features).select("hours_to", *features))
+                    .select(F.col("hours_to").alias("y"), "_features") for df in (train, val))
+    held = materialize(held, "held")
+    fitted, grown = boosting.regression(fit_on, held, trees, patience, depth=tree_depth(family.leaves), min_child=family.min_child)
     stages: list[Transformer] = [assembler, fitted]
-    model = PipelineModel(stages)
     scored = fitted.transform(held).withColumn("raw_h", clip("raw_h", 0, family.lead_hours))
-    return FamilyModel(family, list(features), model, fit_calibration(scored), source, {"n_trees": best + 1})
+    return FamilyModel(family, list(features), PipelineModel(stages), fit_calibration(scored, actual="y"), source,
+                       {"n_trees": fitted.getNumTrees, "n_grown": grown.rounds})
 
 
 def fit_classifier(train: DataFrame, features: Sequence[str], trees: int = TREES, depth: int = 5,
-                   min_child: int = 30) -> PipelineModel:
-    """Balanced classifier: rows weigh n / (2 n_class)."""
+                   min_child: int = 30, val: DataFrame | None = None, patience: int = PATIENCE) -> PipelineModel:
+    """Balanced classifier: rows weigh n / (2 n_class) of the training rows.
+
+    With validation rows the model is cut after the round that ``patience`` later ones didn't beat.
+    """
     sizes = {r._y: r.n for r in train.groupBy(F.col("is_pre").cast("int").alias("_y"))
              .agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     n = sum(sizes.values())
     weight = F.lit(None).cast("double")
     for y, size in sizes.items():
-        weight = F.when(F.col("_y") == y, F.lit(n / (2.0 * size))).otherwise(weight)
-    rows = with_model_inputs(train, features).withColumn("_y", F.col("is_pre").cast("int")).withColumn("_w", weight)
+        weight = F.when(F.col("is_pre").cast("int") == y, F.lit(n / (2.0 * size))).otherwise(weight)
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
-    gbt = GBTClassifier(featuresCol="_features", labelCol="_y", weightCol="_w", maxIter=trees,
-                        stepSize=LEARNING_RATE, maxDepth=depth, minInstancesPerNode=min_child,
-                        subsamplingRate=ROW_SHARE, featureSubsetStrategy=COLUMN_SHARE, seed=SEED)
-    fitted = gbt.fit(assembler.transform(rows.select("_y", "_w", *features)))
+    sides = [None if df is None else assembler.transform(with_model_inputs(df.select("is_pre", *features), features)).select(
+        F.col("is_pre").cast("double").alias("y"), F.coalesce(weight, F.lit(1.0)).alias("w"), "_features") for df in (train, val)]
+    fitted, _ = boosting.classification(*sides, trees, patience, depth=depth, min_child=min_child)
     return PipelineModel([assembler, fitted])
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str], k: int = 20) -> DataFrame:
-    values = model.stages[-1].featureImportances.toArray()
+    """The ``k`` largest importances; a feature that no tree splits on has 0."""
+    found = model.stages[-1].featureImportances.toArray()  # reaches to the last feature that is used
+    values = [*found, *[0.0] * (len(features) - len(found))]
     spark = SparkSession.active()
     table = spark.createDataFrame([(f, float(v)) for f, v in zip(features, values)],
                                   "feature string, importance double")
@@ -206,23 +185,26 @@ def train_candidates(stores: DataFrame, family: config.Family, features: Sequenc
     pools = {target: (target,)}
     if any(s == donor for s, _ in counts):
         pools[f"{donor}+{target}"] = (donor, target)
-    models, rows = {}, []
-    for name, sources in pools.items():
-        enough = {s: sum(counts.get((x, s), 0) for x in sources) for s in ("train", "val")}
-        if enough["train"] < config.MIN_TRAIN_EVENTS or enough["val"] < config.MIN_VAL_EVENTS:
-            continue
+
+    def candidate(name: str, sources: Sequence[str]) -> tuple[FamilyModel, DataFrame]:
         pool = split.where(F.col("source").isin(*sources))
         model = fit_hours(pool.where("split = 'train'"), pool.where("split = 'val'"), family, features, trees, name, patience)
-        models[name] = model
-        rows.append(evaluate_scored(model.score(test), family, alert_h).withColumns({
+        return model, evaluate_scored(model.score(test), family, alert_h).withColumns({
             "source": F.lit(name), "n_trees": F.lit(model.metrics["n_trees"]), "test_start": F.lit(span["first"]),
-            "test_end": F.lit(span["last"]), "test_rows": F.lit(span["n"])}))
-    if not rows:
+            "test_end": F.lit(span["last"]), "test_rows": F.lit(span["n"])})
+
+    jobs = {}
+    for name, sources in pools.items():
+        enough = {s: sum(counts.get((x, s), 0) for x in sources) for s in ("train", "val")}
+        if enough["train"] >= config.MIN_TRAIN_EVENTS and enough["val"] >= config.MIN_VAL_EVENTS:
+            jobs[name] = lambda name=name, sources=sources: candidate(name, sources)
+    if not jobs:
         return {}, None
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return models, out
+    found = dict(zip(jobs, together(stores.sparkSession, list(jobs.values()))))
+    out = None
+    for _, row in found.values():
+        out = row if out is None else out.unionByName(row)
+    return {name: model for name, (model, _) in found.items()}, out
 
 
 def stack_sources(donor: DataFrame, target: DataFrame, donor_name: str = "donor",
@@ -236,13 +218,8 @@ def stack_sources(donor: DataFrame, target: DataFrame, donor_name: str = "donor"
 def find_model(spark: SparkSession, candidates: Sequence[str]) -> FamilyModel | None:
     """First model that exists, in the order given (own model, then donor model)."""
     for path in candidates:
-        try:
-            spark.read.parquet(f"{path}/meta").limit(0).collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        return FamilyModel.load(spark, path)
+        if current_version(spark, path) is not None:
+            return FamilyModel.load(spark, path)
     return None
 
 

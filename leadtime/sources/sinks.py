@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadtime.operators.report import latest
-from leadtime.sources.files import read_or_empty
+from leadtime.sources.versions import commit_version, current_version, new_version  # noqa: F401
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -58,29 +57,6 @@ def distinct_on(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep:
             .select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns]))
 
 
-POINTER = "version bigint, path string"
-
-
-def commit_version(df: DataFrame, root: str) -> str:
-    """Write a store as the next version below ``root`` and return its path.
-
-    The version is written first and then named in ``root/pointer`` (one small file per version), so
-    readers see it whole or not at all, and older versions stay readable.
-    """
-    spark = df.sparkSession
-    last = read_or_empty(spark, f"{root}/pointer", POINTER, "json").agg(F.max("version")).first()[0] or 0
-    path = f"{root}/version={last + 1}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    spark.createDataFrame([(last + 1, path)], POINTER).coalesce(1).write.mode("append").json(f"{root}/pointer")
-    return path
-
-
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """Path of the newest committed version, None before the first one."""
-    pointer = read_or_empty(spark, f"{root}/pointer", POINTER, "json")
-    return pointer.agg(F.max_by("path", "version")).first()[0]
-
-
 def family_snapshot(stores: Mapping[str, DataFrame], run_date: Column, by: Sequence[str] = ("entity_id",)) -> DataFrame:
     """One row per entity with the newest row of every family's store, columns prefixed with the family; to be appended."""
     rows = None

@@ -15,10 +15,7 @@ from pyspark.sql import functions as F
 
 from leadtime import config
 from leadtime.functions.scalars import floor_ts
-from leadtime.operators.asof import fault_context
 from leadtime.operators.nightly import context_schema, update_features
-from leadtime.plans.lineage import materialize
-from leadtime.plans.series import hours_between
 from leadtime.sources.files import read_or_empty
 
 
@@ -87,29 +84,3 @@ def feature_batches(store: str, sensors: Sequence[str], base: DataFrame,
         kept.write.mode("overwrite").parquet(f"{store}/context/batch_id={batch_id}")
 
     return handle
-
-
-def hours_since_batches(store: str, to_faults: Callable[[DataFrame], DataFrame],
-                        to_readings: Callable[[DataFrame], DataFrame], families: Sequence[config.Family],
-                        no_history_hours: float = config.NO_HISTORY_HOURS) -> Callable[[DataFrame, int], None]:
-    """Handler that writes hours since the last fault of every family.
-
-    Its state is one row per entity and family, the latest fault so far, written per batch; a reading
-    is matched with that and the faults of its own batch, in the same order-within-blocks way as the
-    batch operator. Readings are expected in the order of time between batches. Only the first batch
-    may start without state.
-    """
-    schema = "entity_id int, ts timestamp, family string"
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = (spark.createDataFrame([], schema) if batch_id == 0
-                  else spark.read.schema(schema).parquet(f"{store}/last/batch_id={batch_id - 1}"))
-        faults = materialize(to_faults(batch).select(F.col("entity_id").cast("int"), "ts", "family").unionByName(before), "faults")
-        found = fault_context(to_readings(batch), faults, families)
-        entries = F.array(*[F.struct(F.lit(f.name).alias("family"), F.coalesce(
-            hours_between(F.col("ts"), F.col(f"previous_{f.name}")), F.lit(no_history_hours)).alias("hours_since")) for f in families])
-        found.select("entity_id", "ts", F.inline(entries)).write.mode("overwrite").parquet(f"{store}/hours/batch_id={batch_id}")
-        faults.groupBy("entity_id", "family").agg(F.max("ts").alias("ts")).write.mode("overwrite").parquet(f"{store}/last/batch_id={batch_id}")
-
-    return handle
