@@ -32,7 +32,7 @@ LEAST_DOCUMENTS, TOP, ONE = 3, 200, 1_000_000_000
 #: Entries (term and source) that a task's stripes may hold before they are written out.
 STRIPE_CELLS = 1 << 20
 #: Entries of a bucket of merged stripes, and cells of the matrices made of them at a time.
-BUCKET_CELLS, BLOCK_CELLS = 1 << 19, 1 << 20
+BUCKET_CELLS, BLOCK_CELLS = 1 << 15, 1 << 20
 STRIPE = "lang string, term string, df long, sources array<string>, counts array<long>"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -134,31 +134,42 @@ def _fold(batches):
     yield from held.rows()
 
 
-def _merge(batches):
-    """Sorted partial stripes to one stripe for each key."""
-    key, df, counts, out = None, 0, {}, []
+def _merged(part: pa.RecordBatch) -> pa.RecordBatch:
+    """One stripe for each run of rows with the same language and term."""
+    n = part.num_rows
+    changed = np.zeros(n, bool)
+    for name in ("lang", "term"):
+        codes = part.column(name).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        changed[1:] |= codes[1:] != codes[:-1]
+    heads = np.flatnonzero(np.r_[True, changed[1:]])
+    run = np.cumsum(changed)
+    sources = part.column("sources").flatten().dictionary_encode()
+    names = sources.dictionary
+    width = max(1, len(names))
+    keys = np.repeat(run, part.column("sources").value_lengths().to_numpy(zero_copy_only=False)) * width + sources.indices.to_numpy(zero_copy_only=False)
+    keys, counts = _added(keys, part.column("counts").flatten().to_numpy())
+    cuts = pa.array(np.searchsorted(keys, np.arange(len(heads) + 1) * width).astype(np.int32))
+    at = pa.array(heads)
+    return pa.RecordBatch.from_arrays(
+        [part.column("lang").take(at), part.column("term").take(at), pa.array(np.add.reduceat(part.column("df").to_numpy(), heads)),
+         pa.ListArray.from_arrays(cuts, names.take(pa.array(keys % width))), pa.ListArray.from_arrays(cuts, pa.array(counts))],
+        names=["lang", "term", "df", "sources", "counts"])
 
-    def batch():
-        lang, term, dfs, sources, numbers = zip(*out)
-        out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(term, pa.string()), pa.array(dfs, pa.int64()),
-                                           pa.array(sources, pa.list_(pa.string())), pa.array(numbers, pa.list_(pa.int64()))],
-                                          names=["lang", "term", "df", "sources", "counts"])
 
+def _merge(batches):
+    """Sorted partial stripes to one stripe for each key; the last one of a batch may go on in the next."""
+    held = None
     for part in batches:
-        for lang, term, more, sources, numbers in zip(*(part.column(c).to_pylist() for c in ("lang", "term", "df", "sources", "counts"))):
-            if (lang, term) != key:
-                if key is not None:
-                    out.append((*key, df, list(counts), list(counts.values())))
-                key, df, counts = (lang, term), 0, {}
-                if len(out) >= 10_000:
-                    yield batch()
-            df += more
-            for source, n in zip(sources, numbers):
-                counts[source] = counts.get(source, 0) + n
-    if key is not None:
-        out.append((*key, df, list(counts), list(counts.values())))
-        yield batch()
+        if not part.num_rows:
+            continue
+        if held is not None:
+            part = pa.Table.from_batches([held, part.cast(held.schema)]).combine_chunks().to_batches()[0]
+        part = _merged(part)
+        if part.num_rows > 1:
+            yield part.slice(0, part.num_rows - 1)
+        held = part.slice(part.num_rows - 1)
+    if held is not None:
+        yield held
 
 
 def stripes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
