@@ -308,7 +308,7 @@ def _(spark, sf):
 
 
 _BINS = """SELECT family, least(greatest(ceil(score * 10), 1), 10)::BIGINT AS bin, avg(is_pre::INT) AS frac_pos,
-    avg(score) AS mean_pred, count(*) AS n FROM fx_scored GROUP BY 1, 2"""
+    sum(score::DECIMAL(18, 6))::DOUBLE / count(score) AS mean_pred, count(*) AS n FROM fx_scored GROUP BY 1, 2"""
 
 
 @query("agg_22_reliability", sql(f"""SELECT family, bin, round(frac_pos, 6) AS frac_pos, round(mean_pred, 6) AS mean_pred, n

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from leadtime import config
 from leadtime.checks import fixtures as fx
 from leadtime.checks.fixtures import sql
 from leadtime.checks.registry import query, r
@@ -117,23 +118,36 @@ def _(spark, sf):
     return nightly.new_rows(fx.telemetry(spark, sf).select("entity_id", "ts", "n_events"), mark)
 
 
-_F = "PARTITION BY entity_id ORDER BY ts ROWS 5 PRECEDING"
+@query("jn_8_history_new_rows", sql("""
+    SELECT t.entity_id, t.ts, t.n_events FROM fx_telemetry t JOIN
+    (SELECT entity_id, max(ts) AS mark FROM fx_instants GROUP BY 1) m USING (entity_id) WHERE t.ts > m.mark""",
+    "fx_telemetry", "fx_instants"))
+def _(spark, sf):
+    """The same from the stored history, without reading its keys."""
+    from leadtime.checks.windows import stored_history
+    mark = fx.faults(spark, sf).groupBy("entity_id").agg(F.max("ts").alias("stored_until"))
+    return stored_history(spark, sf, "n_events").after(mark)
 
 
-@query("jn_9_features_with_context", sql(f"""
-    SELECT f.entity_id, f.ts, CASE WHEN f.row_no >= 2 THEN round(m, 6) END AS mean_1h,
-      round(CASE WHEN prev_ts IS NULL THEN 8760.0::DOUBLE ELSE (epoch_us(f.ts) - epoch_us(prev_ts)) / 3.6e9 END, 6) AS hours
-    FROM (SELECT *, avg(s_click) OVER ({_F}) AS m FROM fx_filled) f
-    JOIN fx_prev p ON p.entity_id = f.entity_id AND p.ts = f.ts AND p.family = 'yaw_cable'""",
-    "fx_filled", "fx_prev"))
-def _(spark, sf):
+_MEANS = [f"{s}__mean_{w}" for s in fx.SENSORS for w in config.WINDOWS]
+
+
+def _features_with_context_sql():
+    from leadtime.checks.windows import rolling_sql
+    hours = "CASE WHEN prev_ts IS NULL THEN 8760.0::DOUBLE ELSE (epoch_us(ts) - epoch_us(prev_ts)) / 3.6e9 END"
+    wide = ", ".join(f"round(max({hours}) FILTER (WHERE family = '{n}'), 6) AS hours_{n}" for n in NAMES)
+    return sql(f"""SELECT f.*, p.* EXCLUDE (entity_id, ts) FROM ({rolling_sql(fx.SENSORS, config.WINDOWS, ("mean",))}) f
+        JOIN (SELECT entity_id, ts, {wide} FROM fx_prev GROUP BY 1, 2) p ON p.entity_id = f.entity_id AND p.ts = f.ts""", "fx_prev")
+
+
+def _features_with_context(spark, sf):
+    """Rolling means of all sensors and frames beside the hours since the last fault of all families."""
+    from leadtime.checks.windows import off_half
     tel = fx.telemetry(spark, sf)
-    base = fx_baseline(spark, sf, ["s_click"])
-    feats = rolling_features(tel, ["s_click"], base, windows={"1h": 6}, engine="native", chunk_rows=fx.CHUNK)
-    ctx = asof.hours_since_last(tel.select("entity_id", "ts"), fx.faults(spark, sf), fx.FAMILIES[:1],
-                                cold_start_hours=8760.0, days=fx.BLOCK_DAYS)
+    feats = rolling_features(tel, fx.SENSORS, fx_baseline(spark, sf), windows=config.WINDOWS, chunk_rows=fx.CHUNK, stats=("mean",))
+    ctx = asof.hours_since_last(tel.select("entity_id", "ts"), fx.faults(spark, sf), fx.FAMILIES, cold_start_hours=8760.0, days=fx.BLOCK_DAYS)
     return feats.join(ctx, ["entity_id", "ts"]).select(
-        "entity_id", "ts", r("s_click__mean_1h").alias("mean_1h"), r("hours_since_last_yaw_cable").alias("hours"))
+        "entity_id", "ts", *[r(F.col(c) + off_half(c)).alias(c) for c in _MEANS], *[r(f"hours_since_last_{n}").alias(f"hours_{n}") for n in NAMES])
 
 
 def fx_baseline(spark, sf, sensors=fx.SENSORS):

@@ -11,7 +11,7 @@ from leadtime.functions.headers import clean_header
 from leadtime.operators import evaluate as ev, report
 from leadtime.operators.baseline import baseline
 from leadtime.plans.lineage import fresh_path, materialize
-from leadtime.sources import files, sinks
+from leadtime.sources import files, ranged, sinks
 
 TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -40,23 +40,24 @@ def _(spark, sf):
     return df.select(entity.alias("entity_id")).groupBy("entity_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-HEADS = {
-    0: '# Date and time,"Wind speed, sensor 1 (m/s)",Power (kW)',
-    1: '# Date and time,"Wind speed, sensor 1 (m/s)",Power (kW),Reactive power (kvar)',
-}
+SCADA = {"s_click": ('"Wind speed, sensor 1 (m/s)"', "wind_speed_sensor_1_ms"), "s_view": ("Power (kW)", "power_kw"),
+         "s_purchase": ("Rotor speed (RPM)", "rotor_speed_rpm"), "s_signup": ("Nacelle position (°)", "nacelle_position"),
+         "s_error": ("Reactive power (kvar)", "reactive_power_kvar")}
+#: Column lines of the two halves of a month: the second one has a column more and no mark.
+HEADS = {0: "# Date and time," + ",".join(title for title, _ in list(SCADA.values())[:4]),
+         1: "Date and time," + ",".join(title for title, _ in SCADA.values())}
 
 
 def _scada_files(spark, sf):
-    """One text file per entity and half month, the second half with one more column."""
+    """One text file per entity and half month, all sensors in the second half, and a file without a column line per entity."""
     tel = fx.telemetry(spark, sf).withColumn("half", (F.dayofmonth("ts") > 15).cast("int"))
-    cells = [F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.coalesce(F.col("s_click").cast("string"), F.lit("NaN")),
-             F.coalesce(F.col("s_view").cast("string"), F.lit(""))]
-    extra = F.coalesce(F.col("s_error").cast("string"), F.lit("NaN"))
-    line = F.when(F.col("half") == 0, F.concat_ws(",", *cells)).otherwise(F.concat_ws(",", *cells, extra))
+    cells = [F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), *[F.coalesce(F.col(s).cast("string"), F.lit(("NaN", "")[i % 2])) for i, s in enumerate(SCADA)]]
+    line = F.when(F.col("half") == 0, F.concat_ws(",", *cells[:5])).otherwise(F.concat_ws(",", *cells))
     data = tel.select("entity_id", "half", F.unix_seconds("ts").alias("pos"), line.alias("value"))
-    tops = tel.select("entity_id", "half").distinct().select(
-        "entity_id", "half", F.explode(F.sequence(F.lit(-10), F.lit(-1))).alias("pos"))
-    head = F.when(F.col("half") == 0, HEADS[0]).otherwise(HEADS[1])
+    halves = tel.select("entity_id", "half").distinct()
+    other = tel.select("entity_id", F.lit(2).alias("half")).distinct()
+    tops = halves.unionByName(other).select("entity_id", "half", F.explode(F.sequence(F.lit(-10), F.lit(-1))).alias("pos"))
+    head = F.when(F.col("half") == 0, HEADS[0]).when(F.col("half") == 1, HEADS[1]).otherwise("# preamble")
     tops = tops.withColumn("value", F.when(F.col("pos") == -1, head).otherwise(
         F.concat(F.lit("# preamble "), F.col("pos").cast("string"))))
     path = fresh_path(spark, "scada")
@@ -66,13 +67,22 @@ def _scada_files(spark, sf):
     return path
 
 
-@query("src_2_scada_csv", sql("""
-    SELECT entity_id, ts AS timestamp, round(s_click, 6) AS wind_speed_sensor_1_ms, round(s_view, 6) AS power_kw,
-      CASE WHEN day(ts) > 15 THEN round(s_error, 6) END AS reactive_power_kvar FROM fx_telemetry""", "fx_telemetry"))
+@query("src_2_scada_csv", sql("SELECT entity_id, ts AS timestamp, " + ", ".join(
+    f"CASE WHEN day(ts) > 15 OR '{s}' <> 's_error' THEN round({s}, 6) END AS {name}" for s, (_, name) in SCADA.items()) + " FROM fx_telemetry", "fx_telemetry"))
 def _(spark, sf):
+    """All sensors; the first half has no column for the last one."""
     df = files.read_scada(spark, [_scada_files(spark, sf) + "/*/*"], entity_from=r"entity_id=(\d+)")
-    return df.select("entity_id", "timestamp", *[r(c).alias(c) for c in (
-        "wind_speed_sensor_1_ms", "power_kw", "reactive_power_kvar")])
+    return df.select("entity_id", "timestamp", *[r(name).alias(name) for _, name in SCADA.values()])
+
+
+@query("src_2_file_probe", sql("""SELECT entity_id, half, half < 2 AS accepted, CASE half WHEN 0 THEN true WHEN 1 THEN false END AS marked,
+    CASE WHEN half = 2 THEN 'no column line on line 10' END AS reason FROM (SELECT DISTINCT entity_id, (day(ts) > 15)::INT AS half FROM fx_telemetry
+    UNION ALL SELECT DISTINCT entity_id, 2 FROM fx_telemetry)""", "fx_telemetry"))
+def _(spark, sf):
+    """What was read and what was skipped, and why."""
+    found = files.probe_files(spark, [_scada_files(spark, sf) + "/*/*"])
+    part = lambda name: F.regexp_extract("file", rf"{name}=(\d+)", 1).cast("int").alias(name)
+    return found.select(part("entity_id"), part("half"), "accepted", "marked", "reason")
 
 
 @query("src_3_clean_header", sql("""
@@ -161,6 +171,18 @@ def _(spark, sf):
     return sinks.upsert(*_upsert_sides(spark, sf), ["o_orderkey"], "first")
 
 
+@query("snk_3_ranged_merge", """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus IN ('O', 'P') THEN -o_totalprice
+    ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')""")
+def _(spark, sf):
+    """The same merge into a store of key ranges, in two batches that commit a version each."""
+    existing, new = _upsert_sides(spark, sf)
+    root = fresh_path(spark, "ranged")
+    ranged.create(existing, root, ["o_orderkey"], file_rows=2_000)
+    for status in ("O", "P"):
+        ranged.merge(new.where(F.col("o_orderstatus") == status), root, ["o_orderkey"], file_rows=2_000)
+    return ranged.read(spark, root)
+
+
 @query("snk_3_fault_log_upsert", sql("""SELECT entity_id, ts, family, code, status FROM fx_faults""", "fx_faults"))
 def _(spark, sf):
     """A log written up to the middle and updated with a batch that overlaps it."""

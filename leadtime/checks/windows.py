@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadtime.checks import fixtures as fx
+from leadtime.checks import fixtures as fx, joins
 from leadtime.checks.fixtures import sql
 from leadtime.checks.joins import fx_baseline
 from leadtime.checks.registry import query, r
 from leadtime.operators import domain, evaluate as ev, faults as flt, nightly
+from leadtime.operators.history import History
 from leadtime.operators.rolling import STATS, feature_names, rolling_features, smooth_centered
-from leadtime.plans.lineage import materialize
+from leadtime.plans.lineage import fresh_path, materialize
 from leadtime.plans.series import fill_forward
 
 KEY = ["entity_id"]
@@ -55,6 +56,9 @@ def rolling_sql(sensors, windows, stats, ratio=False):
                "fx_filled", "fx_baseline")
 
 
+query("jn_9_features_with_context", joins._features_with_context_sql())(joins._features_with_context)
+
+
 def _rolling(spark, sf, sensors, windows, engine, names, stats=STATS):
     feats = rolling_features(fx.telemetry(spark, sf), sensors, fx_baseline(spark, sf, sensors), windows=windows,
                              engine=engine, chunk_rows=fx.CHUNK, stats=stats)
@@ -156,6 +160,26 @@ def _(spark, sf):
     return nightly.trailing_rows(fx.telemetry(spark, sf).select("entity_id", "ts", "n_events"))
 
 
+def stored_history(spark, sf, *columns):
+    """The telemetry as a history of three increments with its block index."""
+    rows = fx.telemetry(spark, sf).select("entity_id", "ts", *columns)
+    store = History(spark, fresh_path(spark, "history"), days=fx.BLOCK_DAYS)
+    for i, (a, b) in enumerate((("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01"))):
+        store.append(rows.where((F.col("ts") >= F.lit(a).cast("timestamp")) & (F.col("ts") < F.lit(b).cast("timestamp"))), i)
+    return store
+
+
+@query("win_12_history_context", sql("""
+    SELECT entity_id, ts, row_no, is_new FROM (SELECT *, ts > TIMESTAMP '2024-01-20' AS is_new,
+      min(row_no) FILTER (WHERE ts > TIMESTAMP '2024-01-20') OVER (PARTITION BY entity_id) AS f FROM fx_filled)
+    WHERE row_no >= f - 1008""", "fx_filled"))
+def _(spark, sf):
+    """The same from the stored history: the block index tells from where to read."""
+    store = stored_history(spark, sf)
+    mark = store.known().select("entity_id", F.lit("2024-01-20").cast("timestamp").alias("stored_until"))
+    return store.trailing(1008, mark).select("entity_id", "ts", "row_no", "is_new")
+
+
 @query("win_13_consecutive", sql("""SELECT entity_id, ts, k >= 3 AND coalesce(min(CASE WHEN abs(s_click - s_view) > 1.5 THEN 1 ELSE 0 END)
     OVER (PARTITION BY entity_id ORDER BY ts ROWS 2 PRECEDING), 0) = 1 AS confirmed FROM (SELECT *, row_no AS k FROM fx_filled)""",
     "fx_filled"))

@@ -174,10 +174,14 @@ def nearest_curve_point(curve: DataFrame, threshold: float, by: Sequence[str] =
 
 def reliability(df: DataFrame, score: str, label: Column, bins: int = 10,
                 by: Sequence[str] = ("family",)) -> DataFrame:
-    """Observed against predicted rate in equal, right-closed bins of [0, 1]; empty bins are absent."""
+    """Observed against predicted rate in equal, right-closed bins of [0, 1]; empty bins are absent.
+
+    Scores are added up as decimals, so the mean doesn't depend on the order of the rows.
+    """
     bucket = F.least(F.greatest(F.ceil(F.col(score) * bins), F.lit(1)), F.lit(bins))
+    exact = F.sum(F.col(score).cast("decimal(28,18)")).cast("double")
     return df.groupBy(*by, bucket.alias("bin")).agg(
-        F.avg(label.cast("int")).alias("frac_pos"), F.avg(score).alias("mean_pred"),
+        F.avg(label.cast("int")).alias("frac_pos"), (exact / F.count(score)).alias("mean_pred"),
         F.count(F.lit(1)).alias("n"))
 
 

@@ -9,20 +9,35 @@ from pyspark.sql import functions as F
 
 from leadtime import config
 from leadtime.functions.scalars import floor_ts
+from leadtime.plans.lineage import join_sized, materialize
 from leadtime.plans.series import hours_between, previous_row
 
 
-def _code_map(catalog: DataFrame) -> Column:
-    """Code to family as a literal map. The catalog is an edited list of codes, some dozens."""
-    pairs = [F.lit(v) for row in catalog.select("code", "family").collect() for v in row]
-    return F.create_map(*pairs) if pairs else F.create_map().cast("map<int,string>")
+#: Codes of a catalog that may stand as literals in a plan; a longer one is joined.
+LITERAL_CODES = 2_000
+
+
+def _short(catalog: DataFrame, *columns: str) -> list | None:
+    """The rows of a catalog, None if it has more than LITERAL_CODES."""
+    rows = catalog.select(*columns).limit(LITERAL_CODES + 1).collect()
+    return rows if len(rows) <= LITERAL_CODES else None
 
 
 def map_family(events: DataFrame, catalog: DataFrame, code: str = "code", other: str | None = None,
                out: str = "family") -> DataFrame:
-    """Family of each code; codes outside the catalog get ``other`` (NULL by default)."""
-    family = F.try_element_at(_code_map(catalog), F.col(code))
-    return events.withColumn(out, family if other is None else F.coalesce(family, F.lit(other)))
+    """Family of each code; codes outside the catalog get ``other`` (NULL by default).
+
+    An edited list of codes is a literal map; a catalog of any size is a sized join.
+    """
+    rows = _short(catalog, "code", "family")
+    if rows is None:
+        one = catalog.groupBy(F.col("code").alias(code)).agg(F.min("family").alias("_family"))
+        events = join_sized(events, one, code, "left")
+        family = F.col("_family")
+    else:
+        pairs = [F.lit(v) for row in rows for v in row]
+        family = F.try_element_at(F.create_map(*pairs) if pairs else F.create_map().cast("map<int,string>"), F.col(code))
+    return events.withColumn(out, family if other is None else F.coalesce(family, F.lit(other))).drop("_family")
 
 
 def critical_events(status: DataFrame, statuses: Sequence[str] = config.FAULT_STATUSES) -> DataFrame:
@@ -31,15 +46,19 @@ def critical_events(status: DataFrame, statuses: Sequence[str] = config.FAULT_ST
 
 def drop_codes(events: DataFrame, excluded: DataFrame, code: str = "code") -> DataFrame:
     """Rows whose code is not excluded. A row without a code stays, as it equals no listed code."""
-    codes = [r.code for r in excluded.select("code").distinct().collect()]  # an edited list
+    rows = _short(excluded, "code")
+    if rows is None:
+        listed = materialize(excluded.select(F.col("code").alias(code)).where(F.col(code).isNotNull()).distinct(), "excluded")
+        return events.join(listed, code, "left_anti")
+    codes = [r.code for r in rows]
     return events.where(F.col(code).isNull() | ~F.col(code).isin(codes)) if codes else events
 
 
 def flag_targets(events: DataFrame, catalog: DataFrame) -> DataFrame:
     """``is_failure_target`` and the start floored to 10 minutes."""
-    known = F.try_element_at(_code_map(catalog), F.col("code")).isNotNull()
-    return events.withColumns({
-        "is_failure_target": F.coalesce(known, F.lit(False)), "ts": floor_ts("event_ts")})
+    known = map_family(events, catalog, out="_known")
+    return known.withColumns({
+        "is_failure_target": F.col("_known").isNotNull(), "ts": floor_ts("event_ts")}).drop("_known")
 
 
 def first_per_bucket(events: DataFrame, keys: Sequence[str] = ("entity_id", "code"),

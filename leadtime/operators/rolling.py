@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadtime import config
-from leadtime.plans.lineage import join_sized
+from leadtime.plans.lineage import join_null_safe, join_sized, materialize
 from leadtime.plans.series import CHUNK_ROWS, fill_forward, number_rows, with_halo
-from leadtime.operators.baseline import baseline_wide
+from leadtime.operators.baseline import baseline_wide, series_p90
 
 STATS = ("mean", "std", "p95", "exceed")
 NATIVE_P95_ROWS = 144
@@ -47,18 +47,35 @@ def rolling_features(df: DataFrame, sensors: Sequence[str], base: DataFrame, *,
     """Keys plus the rolling features of every sensor; only those of ``stats`` are computed.
 
     Gaps are filled forward first (0 before the first reading). A sensor without a baseline mean
-    is divided by 1; a baseline mean of about 0 leaves the ratio NULL. Without a baseline p90 the
-    exceedance is NULL; pass ``series_p90`` values if the whole-series threshold is wanted.
-    Sensors shared by several families are computed once.
+    is divided by 1; a baseline mean of about 0 leaves the ratio NULL. The threshold of the
+    exceedance is the baseline's p90, without one the p90 of the whole filled series (``series_p90``),
+    which is computed for the entities that need it alone. Sensors shared by several families are
+    computed once.
     """
     by, sensors = list(by), list(dict.fromkeys(sensors))
     narrow = df.select(*by, time, *[F.col(s).cast("double").alias(s) for s in sensors])
+    spans = materialize(df.groupBy(*by).agg(F.lit(1).cast("long").alias("first"), F.count(F.lit(1)).alias("last")), "spans")
+    if "exceed" in stats:
+        base = with_series_p90(narrow, sensors, base, spans, by, time)
     rows = fill_forward(narrow, by, time, sensors, number="row_no")
-    spans = df.groupBy(*by).agg(F.lit(1).cast("long").alias("first"), F.count(F.lit(1)).alias("last"))
     return rolling_over(rows, sensors, base, windows=windows, engine=engine, by=by, time=time,
                         chunk_rows=chunk_rows, spans=spans, stats=stats)
 
 
+def with_series_p90(narrow: DataFrame, sensors: Sequence[str], base: DataFrame, entities: DataFrame,
+                    by: Sequence[str], time: str) -> DataFrame:
+    """The baseline with the whole-series p90 where an entity and sensor have none."""
+    base = materialize(base.select(*by, "sensor", "mean", "p90"), "baseline")
+    wanted = entities.select(*by, F.explode(F.array(*[F.lit(s) for s in sensors])).alias("sensor"))
+    there = base.where(F.col("p90").isNotNull()).select(*by, "sensor")
+    lacking = materialize(join_null_safe(wanted, there, [*by, "sensor"], "left_anti"), "lacking")
+    if lacking.isEmpty():
+        return base
+    found = series_p90(join_sized(narrow, lacking.select(*by).distinct(), by), sensors, by, time)
+    found = join_null_safe(found, lacking, [*by, "sensor"], "left_semi").withColumn("mean", F.lit(None).cast("double"))
+    return base.unionByName(found.select(*by, "sensor", "mean", "p90"))
+
+
 def rolling_over(rows: DataFrame, sensors: Sequence[str], base: DataFrame, *,
                  windows: dict[str, int] = config.WINDOWS, engine: str = "halo",
                  by: Sequence[str] = ("entity_id",), time: str = "ts",
@@ -184,17 +201,21 @@ def smooth_centered(df: DataFrame, column: str, n: int, by: Sequence[str] = ("en
     """Centred moving average of ``n`` rows, edges mirrored (the edge row counts twice).
 
     The rows a frame needs beyond the ends of a series are mirrored copies with positions
-    0, -1, ... and total + 1, ...; they are never output.
+    0, -1, ... and total + 1, ...; they are never output. A series shorter than half the frame is
+    mirrored again and again: it repeats with a period of twice its rows.
     """
     left, right = n // 2, n - n // 2 - 1
     rows = number_rows(df, by, time, total="_total").withColumn("_real", F.lit(True))
-    places = F.array_compact(F.array(
-        F.struct(F.col("row_no").alias("at"), F.lit(True).alias("real")),
-        *([F.when(F.col("row_no") <= left,
-                  F.struct((1 - F.col("row_no")).alias("at"), F.lit(False).alias("real")))] if left else []),
-        *([F.when(F.col("row_no") > F.col("_total") - right,
-                  F.struct((2 * F.col("_total") + 1 - F.col("row_no")).alias("at"),
-                           F.lit(False).alias("real")))] if right else [])))
+    period, end = 2 * F.col("_total"), F.col("_total") + right
+
+    def positions(at: Column) -> Column:
+        """Places from 1 - left to total + right that show the row at ``at``."""
+        first = at - period * F.floor((at - 1 + left) / period)
+        return F.when(first <= end, F.sequence(first, end, period)).otherwise(F.array().cast("array<bigint>"))
+
+    row = F.col("row_no")
+    places = F.transform(F.concat(positions(row), positions(period + 1 - row)),
+                         lambda at: F.struct(at.alias("at"), (at == row).alias("real")))
     mirrored = (rows.withColumn("_p", F.explode(places))
                 .withColumns({"row_no": F.col("_p.at"), "_real": F.col("_p.real")}).drop("_p"))
     pieces = with_halo(mirrored, before=left, after=right, chunk_rows=chunk_rows)

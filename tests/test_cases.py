@@ -82,7 +82,8 @@ def test_baseline_edge_values(spark, engine):
            .where(F.col("ts") == F.lit(at(0.5))).collect()}
     assert out[1]["a__baseline_ratio"] is None          # mean of about 0
     assert same(out[1]["b__baseline_ratio"], 1.0)       # no baseline: divided by 1
-    assert out[1]["a__exceed_1h"] is None and same(out[2]["a__baseline_ratio"], 1.0)
+    assert same(out[1]["a__exceed_1h"], 0.0)            # no p90: the whole series' 1.0 is not exceeded
+    assert same(out[2]["a__baseline_ratio"], 1.0)
 
 
 def test_feature_names():
