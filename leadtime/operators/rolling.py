@@ -43,19 +43,20 @@ def feature_names(sensors: Sequence[str], windows: dict[str, int] = config.WINDO
 def rolling_features(df: DataFrame, sensors: Sequence[str], base: DataFrame, *,
                      windows: dict[str, int] = config.WINDOWS, engine: str = "halo",
                      by: Sequence[str] = ("entity_id",), time: str = "ts",
-                     chunk_rows: int = CHUNK_ROWS, stats: Sequence[str] = STATS) -> DataFrame:
+                     chunk_rows: int = CHUNK_ROWS, stats: Sequence[str] = STATS, fallback: bool = False) -> DataFrame:
     """Keys plus the rolling features of every sensor; only those of ``stats`` are computed.
 
     Gaps are filled forward first (0 before the first reading). A sensor without a baseline mean
-    is divided by 1; a baseline mean of about 0 leaves the ratio NULL. The threshold of the
-    exceedance is the baseline's p90, without one the p90 of the whole filled series (``series_p90``),
-    which is computed for the entities that need it alone. Sensors shared by several families are
-    computed once.
+    is divided by 1; a baseline mean of about 0 leaves the ratio NULL. Without a baseline p90 the
+    exceedance is NULL, as nothing here looks ahead; with ``fallback`` its threshold is the p90 of the
+    whole filled series (``series_p90``), computed for the entities that need it alone. Sensors shared
+    by several families are computed once.
     """
     by, sensors = list(by), list(dict.fromkeys(sensors))
     narrow = df.select(*by, time, *[F.col(s).cast("double").alias(s) for s in sensors])
-    spans = materialize(df.groupBy(*by).agg(F.lit(1).cast("long").alias("first"), F.count(F.lit(1)).alias("last")), "spans")
-    if "exceed" in stats:
+    spans = df.groupBy(*by).agg(F.lit(1).cast("long").alias("first"), F.count(F.lit(1)).alias("last"))
+    if fallback and "exceed" in stats:
+        spans = materialize(spans, "spans")
         base = with_series_p90(narrow, sensors, base, spans, by, time)
     rows = fill_forward(narrow, by, time, sensors, number="row_no")
     return rolling_over(rows, sensors, base, windows=windows, engine=engine, by=by, time=time,

@@ -44,7 +44,7 @@ def test_threshold_of_the_whole_series_where_there_is_no_baseline(spark):
     tel = telemetry(spark, rows, "a double, b double")
     base = baseline(tel.where("entity_id = 1"), ["a", "b"], days=1).where("sensor = 'a'")
     p90 = base.first().p90
-    got = {(r.entity_id, r.ts): r for r in rolling_features(tel, ["a", "b"], base, windows={"w": 5}, chunk_rows=7).collect()}
+    got = {(r.entity_id, r.ts): r for r in rolling_features(tel, ["a", "b"], base, windows={"w": 5}, chunk_rows=7, fallback=True).collect()}
     for e in (1, 2):
         for sensor in ("a", "b"):
             filled, last = [], 0.0
