@@ -12,7 +12,7 @@ from leadtime.checks.registry import query, r
 from leadtime.checks.windows import off_half, rolling_sql
 from leadtime.operators import faults as flt
 from leadtime.plans.lineage import fresh_path, materialize
-from leadtime.streaming import jobs, since
+from leadtime.streaming import increments, jobs, since
 
 CUTS = ("2024-01-08", "2024-01-15", "2024-01-23")
 LATE_MINUTES = 40  # less than the watermark's hour
@@ -88,6 +88,53 @@ def _(spark, sf):
                                            if c not in ("entity_id", "ts")])
 
 
+NEAR_DAYS = 2  # readings of these days before a cut may come with the next part
+
+
+def _run_late(spark, sf):
+    """Three increments: every seventh reading near a cut comes late, the one after it twice, the last increment runs twice."""
+    tel = fx.telemetry(spark, sf).select("entity_id", "ts", *fx.SENSORS)
+    home, near = F.lit(0), F.lit(False)
+    for day in ("2024-01-11", "2024-01-21"):
+        cut = F.lit(day).cast("timestamp")
+        home = home + (F.col("ts") >= cut).cast("int")
+        near = near | ((F.col("ts") < cut) & (F.col("ts") >= cut - F.expr(f"INTERVAL {NEAR_DAYS} DAYS")))
+    slot = F.floor(F.unix_seconds("ts") / 600) % 7
+    rows = tel.withColumn("part", home + (near & (slot == 0)).cast("int"))
+    rows = materialize(rows.unionByName(tel.where(near & (slot == 1)).withColumn("part", home + 1)), "increments")
+    base = materialize(fx_baseline(spark, sf, fx.SENSORS), "baseline")
+    store = increments.FeatureStore(fresh_path(spark, "store"), fx.SENSORS, base, windows=config.WINDOWS)
+    for i in (0, 1, 2, 2):
+        store.add(rows.where(F.col("part") == i).drop("part"), i)
+    return store
+
+
+@query("str_1_late_readings", rolling_sql(fx.SENSORS, config.WINDOWS, ("mean", "std", "p95", "exceed"), ratio=True))
+def _(spark, sf):
+    """Increments with late and repeated readings, one of them run again, give the features of one full run."""
+    out = _run_late(spark, sf).features(spark)
+    return out.select("entity_id", "ts", *[r(F.col(c) + off_half(c)).alias(c) for c in out.columns if c not in ("entity_id", "ts")])
+
+
+@query("str_1_increment_counts", sql(f"""SELECT * FROM (
+    WITH placed AS (SELECT entity_id, ts, (ts >= '2024-01-11')::INT + (ts >= '2024-01-21')::INT AS home,
+        (ts < '2024-01-11' AND ts >= TIMESTAMP '2024-01-11' - INTERVAL {NEAR_DAYS} DAY)
+          OR (ts < '2024-01-21' AND ts >= TIMESTAMP '2024-01-21' - INTERVAL {NEAR_DAYS} DAY) AS near,
+        floor(epoch(ts) / 600)::BIGINT % 7 AS slot FROM fx_telemetry),
+      given AS (SELECT entity_id, ts, home + (near AND slot = 0)::INT AS part, false AS again FROM placed
+        UNION ALL SELECT entity_id, ts, home + 1, true FROM placed WHERE near AND slot = 1),
+      known AS (SELECT p.entity_id, p.part, max(g.ts) AS until FROM (SELECT DISTINCT entity_id, part FROM given) p
+        JOIN given g ON g.entity_id = p.entity_id AND g.part < p.part GROUP BY 1, 2)
+    SELECT part::BIGINT AS increment, count(*) AS n_given, 0::BIGINT AS n_without_time, count(*) FILTER (WHERE again) AS n_repeated,
+      count(*) FILTER (WHERE NOT again AND coalesce(ts <= until, false)) AS n_late,
+      count(*) FILTER (WHERE NOT again AND NOT coalesce(ts <= until, false)) AS n_new
+    FROM given LEFT JOIN known USING (entity_id, part) GROUP BY 1)""", "fx_telemetry"))
+def _(spark, sf):
+    """Rows of every increment: given, without a time, repeated, late and new."""
+    counts = _run_late(spark, sf).counts(spark)
+    return counts.select(F.col("increment").cast("long").alias("increment"), "n_given", "n_without_time", "n_repeated", "n_late", "n_new")
+
+
 @query("str_2_replayed_batch", sql("SELECT entity_id, count(*) AS n, count(*) AS n_distinct FROM fx_telemetry GROUP BY 1",
                                    "fx_telemetry"))
 def _(spark, sf):

@@ -86,22 +86,24 @@ def previous_row(df: DataFrame, by: Sequence[str], time: str, columns: Sequence[
 
 def fill_forward(df: DataFrame, by: Sequence[str], time: str, columns: Sequence[str], *,
                  days: float = BLOCK_DAYS, leading: float | None = 0.0,
-                 number: str | None = None) -> DataFrame:
+                 number: str | None = None, seeds: DataFrame | None = None) -> DataFrame:
     """Last known value of each column; rows before the first known one get ``leading``.
 
     ``number`` also adds the row position, from the same shuffle. Every block starts with one
-    seed row that holds the last known values and the row count of the blocks before it.
+    seed row that holds the last known values and the row count of the blocks before it. Who knows
+    these already passes them (keys, ``_block``, ``_skip``, columns); ``df`` may then be some blocks only.
     """
     by, columns = list(by), list(columns)
     blocked = df.withColumn("_block", block_of(time, days))
     earlier = (Window.partitionBy(*by).orderBy("_block")
                .rowsBetween(Window.unboundedPreceding, -1))
-    seeds = (blocked.groupBy(*by, "_block")
-             .agg(F.count(F.lit(1)).alias("_n"),
-                  *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(time))).alias(c) for c in columns])
-             .select(*by, "_block", F.lit(0).alias("_real"),
-                     F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_skip"),
-                     *[F.last(c, ignorenulls=True).over(earlier).alias(c) for c in columns]))
+    if seeds is None:
+        seeds = (blocked.groupBy(*by, "_block")
+                 .agg(F.count(F.lit(1)).alias("_n"),
+                      *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(time))).alias(c) for c in columns])
+                 .select(*by, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_skip"),
+                         *[F.last(c, ignorenulls=True).over(earlier).alias(c) for c in columns]))
+    seeds = seeds.withColumn("_real", F.lit(0))
     both = blocked.withColumn("_real", F.lit(1)).unionByName(seeds, allowMissingColumns=True)
     order = Window.partitionBy(*by, "_block").orderBy("_real", time)
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -69,6 +69,12 @@ def claim(spark: SparkSession, root: str, version: int, path: str) -> bool:
     return moved
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing refers to any more; none there is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def data_path(root: str) -> str:
     return f"{root}/data/{uuid.uuid4().hex}"
 

@@ -17,6 +17,7 @@ from leadtime import config
 from leadtime.functions.scalars import floor_ts
 from leadtime.operators.nightly import context_schema, update_features
 from leadtime.sources.files import read_or_empty
+from leadtime.sources.versions import remove_folder
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
@@ -70,7 +71,8 @@ def feature_batches(store: str, sensors: Sequence[str], base: DataFrame,
     """Handler that appends the rolling features of each micro-batch.
 
     ``store/features/batch_id=n`` gets the rows; ``store/context/batch_id=n`` the last rows of every
-    entity, which is all the next batch reads.
+    entity, which is all the next batch reads. Two contexts are kept, as a batch may run again; older ones are
+    removed. Readings behind the newest one of their entity are left out: ``increments.FeatureStore`` takes them in.
     """
     schema = context_schema(sensors)
 
@@ -82,5 +84,6 @@ def feature_batches(store: str, sensors: Sequence[str], base: DataFrame,
         features, kept = update_features(batch, context, sensors, base, windows=windows, engine=engine)
         features.write.mode("overwrite").parquet(f"{store}/features/batch_id={batch_id}")
         kept.write.mode("overwrite").parquet(f"{store}/context/batch_id={batch_id}")
+        remove_folder(spark, f"{store}/context/batch_id={batch_id - 2}")
 
     return handle
