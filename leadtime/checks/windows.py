@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadtime.checks import fixtures as fx, joins
+from leadtime import config
+from leadtime.checks import fixtures as fx, joins, scalars
 from leadtime.checks.fixtures import sql
 from leadtime.checks.joins import fx_baseline
 from leadtime.checks.registry import query, r
 from leadtime.operators import domain, evaluate as ev, faults as flt, nightly
+from leadtime.operators.baseline import baseline
 from leadtime.operators.history import History
 from leadtime.operators.rolling import STATS, feature_names, rolling_features, smooth_centered
 from leadtime.plans.lineage import fresh_path, materialize
@@ -194,11 +196,47 @@ def _(spark, sf):
     return _rolling(spark, sf, fx.SENSORS, ALL, "halo", feature_names(fx.SENSORS))
 
 
-@query("win_14_domain_sensors")
+def _domain_sensors(columns):
+    """The sensors of all families that the readings and the domain features offer."""
+    return list(dict.fromkeys(s for group in config.FAMILY_SENSORS.values() for s in group if s in columns))
+
+
+def _domain_sql(digits=4):
+    """Domain features, filling, baseline and frames of all these sensors; every value gets the same hair before rounding."""
+    made = {c: expr.format(**scalars._LISTS) for columns in scalars._SC.values() for c, expr in columns}
+    steps = {"cable_rate": f"coalesce(cable_windings_from_calibration_point - lag(cable_windings_from_calibration_point) {_W}, 0)",
+             "metal_particle_rate": f"greatest(coalesce(metal_particle_count - lag(metal_particle_count) {_W}, 0), 0)",
+             "t_bearing_delta_roc": f"t_bearing_delta - lag(t_bearing_delta, 6) {_W}",
+             "t_stator_roc": f"stator_temperature_1_c - lag(stator_temperature_1_c, 6) {_W}"}
+    sensors = _domain_sensors({name for name, *_ in fx.READINGS} | set(made) | set(steps))
+    frames = ", ".join(f"w_{win} AS (PARTITION BY entity_id ORDER BY ts ROWS {w - 1} PRECEDING)" for win, w in ALL.items())
+    longest = max(ALL, key=ALL.get)
+    cols = []
+    for s in sensors:
+        for win, w in ALL.items():
+            gate = f"row_no >= {max(1, w // 3)}"
+            body = {"mean": f"CASE WHEN {gate} THEN avg({s}) OVER w_{win} END",
+                    "std": f"CASE WHEN {gate} THEN coalesce(stddev_samp({s}) OVER w_{win}, 0) ELSE 0 END",
+                    "p95": f"CASE WHEN {gate} THEN quantile_cont({s}, 0.95) OVER w_{win} END",
+                    "exceed": f"CASE WHEN {gate} THEN avg(({s} > {s}__p90)::INT) OVER w_{win} END"}
+            cols += [f"round({body[k]} + 1e-8, {digits}) AS {s}__{k}_{win}" for k in STATS]
+        cols.append(f"round(CASE WHEN row_no >= {ALL[longest] // 3} AND abs(coalesce({s}__mean, 1)) > 1e-6 "
+                    f"THEN avg({s}) OVER w_{longest} / abs(coalesce({s}__mean, 1)) END + 1e-8, {digits}) AS {s}__baseline_ratio")
+    return sql(f"""SELECT entity_id, ts, {", ".join(cols)} FROM (
+      WITH made AS (SELECT *, {", ".join(f"{expr} AS {c}" for c, expr in made.items())} FROM fx_scada),
+        stepped AS (SELECT *, {", ".join(f"{expr} AS {c}" for c, expr in steps.items())} FROM made),
+        filled AS (SELECT entity_id, ts, row_number() OVER w AS row_no, {", ".join(f"coalesce(last_value({s} IGNORE NULLS) OVER w, 0) AS {s}" for s in sensors)}
+          FROM stepped WINDOW w AS (PARTITION BY entity_id ORDER BY ts ROWS UNBOUNDED PRECEDING)),
+        base AS (SELECT entity_id, {", ".join(f"round(avg({s}), 6) AS {s}__mean, round(quantile_cont({s}, 0.9), 6) AS {s}__p90" for s in sensors)}
+          FROM stepped JOIN (SELECT entity_id, min(ts) + INTERVAL {fx.BASELINE_DAYS} DAY AS til FROM stepped GROUP BY 1) USING (entity_id)
+          WHERE ts < til GROUP BY 1)
+      SELECT * FROM filled JOIN base USING (entity_id)) WINDOW {frames}""", "fx_scada")
+
+
+@query("win_14_domain_sensors", _domain_sql())
 def _(spark, sf):
     """Every sensor of every family that the readings offer, computed once and viewed per family."""
-    from leadtime import config
-    from leadtime.operators.baseline import baseline
     df = materialize(domain.add_domain_features(fx.scada(spark, sf), chunk_rows=fx.CHUNK), "domain")
-    wanted = list(dict.fromkeys(s for group in config.FAMILY_SENSORS.values() for s in group if s in df.columns))
-    return rolling_features(df, wanted, baseline(df, wanted, days=fx.BASELINE_DAYS), chunk_rows=fx.CHUNK)
+    wanted = _domain_sensors(df.columns)
+    out = rolling_features(df, wanted, baseline(df, wanted, days=fx.BASELINE_DAYS), chunk_rows=fx.CHUNK)
+    return out.select("entity_id", "ts", *[r(F.col(c) + 1e-8, 4).alias(c) for c in feature_names(wanted)])

@@ -7,8 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leadtime.plans.lineage import join_sized
 from leadtime.plans.series import HOUR_US, hours_between, interval_join, number_rows
 
+#: Hexadecimal digits of a hash by which a sample counts first.
+PREFIX = 4
+
 
 def resample(df: DataFrame, every: str, aggs: Sequence[Column], by: Sequence[str] = ("entity_id", "family"),
              time: str = "ts", fill_empty: bool = True, offset: str | None = None) -> DataFrame:
@@ -51,18 +55,21 @@ def sample_rows(df: DataFrame, n: int, key: Sequence[str], by: Sequence[str] = (
                 seed: int = 42) -> DataFrame:
     """At most ``n`` rows per group without replacement, the same ones on every run.
 
-    Rows are ordered by a hash of their key. The rank limit is applied in two steps, first inside
-    256 slices of a group and then over the survivors, so a large group is never ranked in one task.
+    Rows are ordered by a hash of their key. The hashes are first counted by their first ``PREFIX`` digits, combined
+    before the shuffle; the prefix in which the ``n``-th hash of a group lies is known from the counts, and rows behind
+    it are dropped where they are read. About ``n`` rows and one in 65,536 of a group are ranked, however large ``n`` is.
     """
     by = list(by)
     text = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]
-    hashed = df.withColumn("_h", F.md5(F.concat_ws("|", *text, F.lit(str(seed))).cast("binary"))).withColumn(
-        "_slice", F.pmod(F.hash(*key), F.lit(256)))
-    in_slice = Window.partitionBy(*by, "_slice").orderBy("_h", *key)
-    overall = Window.partitionBy(*by).orderBy("_h", *key)
-    some = hashed.withColumn("_r", F.row_number().over(in_slice)).where(F.col("_r") <= n)
-    return (some.withColumn("_r", F.row_number().over(overall)).where(F.col("_r") <= n)
-            .select(*df.columns))
+    hashed = (df.withColumn("_h", F.md5(F.concat_ws("|", *text, F.lit(str(seed))).cast("binary")))
+              .withColumn("_prefix", F.substring("_h", 1, PREFIX)))
+    upto = Window.partitionBy(*by).orderBy("_prefix")  # a row per prefix
+    counts = hashed.groupBy(*by, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    last = (counts.withColumn("_n", F.sum("_n").over(upto)).where(F.col("_n") >= n)
+            .groupBy(*by).agg(F.min("_prefix").alias("_last")))
+    some = join_sized(hashed, last, by, "left").where(F.col("_last").isNull() | (F.col("_prefix") <= F.col("_last")))
+    order = Window.partitionBy(*by).orderBy("_h", *key)
+    return some.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= n).select(*df.columns)
 
 
 def latest(df: DataFrame, by: Sequence[str] = ("entity_id",), time: str = "ts") -> DataFrame:

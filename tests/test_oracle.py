@@ -65,7 +65,7 @@ def test_entry(spark):
     assert contract.entry(spark).count() == 4
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"win_14_domain_sensors"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_queries_without_sql_run(spark, name):
     """These have no counterpart in SQL."""
     assert QUERIES[name](spark, "/root/testdata/sf0.01").count() > 0

@@ -74,3 +74,14 @@ def test_latest_reduces_before_the_shuffle(spark):
 def test_event_windows_need_no_nested_loops(spark):
     text = plan(ev.event_windows(fx.scored_table(spark, SF), fx.lead(), 12))
     assert "NestedLoop" not in text
+
+
+def test_sample_drops_rows_before_it_ranks_them(spark):
+    """The counts are combined before their shuffle; of 60,000 rows the rank sees hardly more than it keeps."""
+    rows = spark.range(60_000).select(F.lit("a").alias("family"), F.col("id").alias("k"))
+    picked = report.sample_rows(rows, 1500, ["k"])
+    tree = plan(picked)
+    assert "_prefix" in tree and picked.count() == 1500
+    ranked = tree.index("row_number()")
+    kept = tree.index("_last", ranked)
+    assert kept > ranked  # the cut lies below the window

@@ -1,5 +1,6 @@
 """Chunked results equal whole-series results, and other invariants, on random small series."""
 
+import hashlib
 import random
 import statistics
 
@@ -287,6 +288,17 @@ def test_sample_is_stable_and_whole_when_small(spark):
     assert sum(r.family == "a" for r in first) == 50 and sum(r.family == "b" for r in first) == 7
 
 
+@pytest.mark.parametrize("n", [1, 700, 2000, 5000])
+def test_sample_has_the_smallest_hashes(spark, n):
+    """Of any size, for a group without a name, too, and with a key that comes three times."""
+    sizes = {"a": 3000, None: 40}
+    rows = [(g, k) for g, size in sizes.items() for k in range(size)] + [("a", 5), ("a", 5)]
+    got = report.sample_rows(spark.createDataFrame(rows, "family string, k int"), n, ["k"]).collect()
+    for g in sizes:
+        want = sorted((hashlib.md5(f"{k}|42".encode()).hexdigest(), k) for f, k in rows if f == g)[:n]
+        assert sorted(r.k for r in got if r.family == g) == sorted(k for _, k in want)
+
+
 def test_distinct_on_order(spark):
     df = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (2, 5, "x")], "k int, t int, v string")
     assert {r.k: r.v for r in sinks.distinct_on(df, ["k"], ["t"]).collect()} == {1: "a", 2: "x"}
