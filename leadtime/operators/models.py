@@ -12,7 +12,6 @@ from dataclasses import dataclass, field, fields
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +23,7 @@ from leadtime.operators.clean import align, with_model_inputs
 from leadtime.operators.evaluate import (alert_summary, confusion, count_label_events, event_recall,
                                          event_windows, regression_metrics)
 from leadtime.operators.splits import temporal_split
+from leadtime.plans.isotonic import Curve
 from leadtime.plans.lineage import materialize
 from leadtime.plans.together import together
 from leadtime.sources.sinks import current_version, new_version
@@ -36,7 +36,7 @@ class FamilyModel:
     family: config.Family
     features: list[str]
     trees: PipelineModel
-    calibration: IsotonicRegressionModel
+    calibration: Curve
     source: str
     metrics: dict = field(default_factory=dict)
 
@@ -45,8 +45,7 @@ class FamilyModel:
         lead = self.family.lead_hours
         raw = self.trees.transform(with_model_inputs(df, self.features)).withColumn(
             "raw_h", clip("raw_h", 0, lead))
-        return (self.calibration.transform(raw).withColumn("pred_h", clip("pred_h", 0, lead))
-                .drop("_features"))
+        return self.calibration.transform(raw.drop("_features")).withColumn("pred_h", clip("pred_h", 0, lead))
 
     def save(self, path: str) -> None:
         """Publishes the model as the next version below ``path``.
@@ -73,7 +72,7 @@ class FamilyModel:
         meta = spark.read.parquet(f"{folder}/meta").first()
         fam = config.Family(**{f.name: meta[f.name] for f in fields(config.Family)})
         return FamilyModel(fam, list(meta.features), PipelineModel.load(f"{folder}/trees"),
-                           IsotonicRegressionModel.load(f"{folder}/calibration"), meta.source)
+                           Curve.load(spark, f"{folder}/calibration"), meta.source)
 
 
 _KINDS = {str: "string", int: "int", float: "double", bool: "boolean"}
@@ -83,16 +82,9 @@ def tree_depth(leaves: int) -> int:
     return max(1, math.ceil(math.log2(leaves)))
 
 
-def fit_calibration(scored: DataFrame, raw: str = "raw_h", actual: str = "hours_to",
-                    out: str = "pred_h") -> IsotonicRegressionModel:
-    """Increasing curve from raw to actual hours, fitted on the exact raw values.
-
-    Rows with equal raw hours are pooled first; the fit itself pools violators inside each partition
-    before it looks at the whole.
-    """
-    points = scored.groupBy(raw).agg(F.avg(actual).alias("_y"), F.count(F.lit(1)).cast("double").alias("_w"))
-    return IsotonicRegression(isotonic=True, featuresCol=raw, labelCol="_y", weightCol="_w",
-                              predictionCol=out).fit(points)
+def fit_calibration(scored: DataFrame, raw: str = "raw_h", actual: str = "hours_to", out: str = "pred_h") -> Curve:
+    """Increasing curve from raw to actual hours, fitted on the exact raw values of any number."""
+    return Curve.fit(scored, raw, actual, out)
 
 
 def fit_hours(train: DataFrame, val: DataFrame, family: config.Family, features: Sequence[str],
