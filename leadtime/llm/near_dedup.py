@@ -25,7 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadtime.llm.common import IS_SPACE, Fingerprints, mix64, segment_rows, slices, word_spans
@@ -264,7 +264,9 @@ def near_components(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     alike = materialize(filled.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("symbols").alias("symbols")), "sets")
     chosen = alike.select("id", "symbols")
     keys = chosen.mapInArrow(_keys, "key long, id long")
-    met = keys.withColumn("members", F.count("*").over(Window.partitionBy("key"))).where("members > 1")
+    # counted before the shuffle, so that a key with many members is never brought together before it is split
+    often = materialize(keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "keys")
+    met = keys.join(often, "key")
     met = _split(met, "members", KEY_BLOCK).select("key", "part", "id").join(chosen, "id")
     near = met.repartition(parts, "key", "part").sortWithinPartitions("key", "part").mapInArrow(_link_near, "a long, b long")
     coarse = materialize(components(near), "coarse")
