@@ -2,8 +2,10 @@
 
 Key is (entity, family). The state of a key is small whatever the length of the series: the readings that
 still wait, the faults inside the allowed lateness, and the latest fault before those. A reading waits
-until the watermark has passed the end of its bucket, when no earlier fault can come any more; its timer
-then gives it its answer. So faults and readings may come late, in any order, and each reading is written
+until the watermark has passed the end of its bucket, when no earlier fault can come any more; a timer
+then gives it its answer. A key sets one timer for a micro-batch, at its earliest new reading, and one more after
+answering while readings still wait: each call of the state from Python costs, so none is made per reading but
+the one that stores it. So faults and readings may come late, in any order, and each reading is written
 once with the value of the batch as-of. Rows that come later than the watermark allows are dropped by
 Spark, as in every other stream here.
 
@@ -45,16 +47,32 @@ class SinceLast(StatefulProcessor):
         for at in faults:
             self.faults.updateValue((at,), (True,))
         for at in readings:
-            if not self.waiting.containsKey((at,)):
-                self.waiting.updateValue((at,), (True,))
-                self.handle.registerTimer((at + self.bucket_us) // 1000)
+            self.waiting.updateValue((at,), (True,))  # the same entry if it waits already
+        if readings:
+            self._wake(min(readings))
         return iter(())
 
+    def _wake(self, at: int) -> None:
+        """A timer for the end of the bucket at ``at``."""
+        self.handle.registerTimer((at + self.bucket_us) // 1000)
+
+    @staticmethod
+    def _keep(state, kept: Sequence[int], gone: Sequence[int]) -> None:
+        """Leaves ``kept`` of a map's entries, by the fewer calls."""
+        if len(kept) < len(gone):
+            state.clear()
+            for at in kept:
+                state.updateValue((at,), (True,))
+        else:
+            for at in gone:
+                state.removeKey((at,))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        """Answers all readings whose bucket the watermark has passed; their other timers find nothing left."""
+        """Answers all readings whose bucket the watermark has passed; a timer wakes the key for the next one."""
         passed = timerValues.getCurrentWatermarkInMs() * 1000 - self.bucket_us
-        due = sorted(at for (at,) in self.waiting.keys() if at <= passed)
-        if not due:
+        waiting = sorted(at for (at,) in self.waiting.keys())
+        due = [at for at in waiting if at <= passed]
+        if not due:  # another timer was first, and set the next one
             return
         faults = sorted(at for (at,) in self.faults.keys())
         last = self.latest.get()[0] if self.latest.exists() else None
@@ -63,13 +81,14 @@ class SinceLast(StatefulProcessor):
             while i < len(faults) and faults[i] <= at:
                 last, i = faults[i] if last is None else max(last, faults[i]), i + 1
             yield Row(**dict(zip(self.key_fields, key)), at_us=at, hours_since=float((at - last) / HOUR_US) if last is not None else self.no_history_hours)
-            self.waiting.removeKey((at,))
+        self._keep(self.waiting, waiting[len(due):], due)
+        if len(due) < len(waiting):
+            self._wake(waiting[len(due)])
         old = [at for at in faults if at <= passed]  # no reading before them can come any more
         if old:
             kept = max([*old, *((self.latest.get()[0],) if self.latest.exists() else ())])
             self.latest.update((kept,))
-            for at in old:
-                self.faults.removeKey((at,))
+            self._keep(self.faults, faults[len(old):], old)
 
     def close(self) -> None:
         pass

@@ -95,3 +95,44 @@ def test_state_stays_small():
     assert p.latest.get() == (18 * step,) and sorted(k[0] // step for k in p.faults) == [21, 24, 27]
     assert sorted(k[0] // step for k in p.waiting) == [i for i in range(20, 30) if i % 3]
     assert not list(p.handleExpiredTimer((1, "x"), Time(20 * 600_000), None))
+
+
+def test_a_key_sets_one_timer_for_a_batch():
+    """Every timer is a call of the state and a call of Python: a reading has none of its own."""
+    timers, calls = [], []
+
+    class Value:
+        exists = lambda self: hasattr(self, "v")
+        get = lambda self: self.v
+        update = lambda self, v: setattr(self, "v", v)
+
+    class Map(dict):
+        def updateValue(self, k, v):
+            calls.append(k)
+            self[k] = v
+        containsKey = dict.__contains__
+
+        def removeKey(self, k):
+            calls.append(k)
+            del self[k]
+
+    class Handle:
+        getValueState = lambda self, *a: Value()
+        getMapState = lambda self, *a: Map()
+        registerTimer = lambda self, t: timers.append(t)
+
+    class Time:
+        def __init__(self, ms):
+            self.ms = ms
+        getCurrentWatermarkInMs = lambda self: self.ms
+
+    step = 600_000_000
+    p = since.SinceLast(step, 8760.0, ["e", "f"])
+    p.init(Handle())
+    list(p.handleInputRows((1, "x"), iter([{"at_us": i * step, "is_fault": False} for i in range(1000)] * 2), None))
+    assert timers == [600_000] and len(calls) == 1000
+    out = [r.at_us // step for r in p.handleExpiredTimer((1, "x"), Time(990 * 600_000), None)]
+    assert out == list(range(990)) and timers == [600_000, 991 * 600_000] and len(calls) == 1010
+    assert not list(p.handleExpiredTimer((1, "x"), Time(990 * 600_000), None)) and len(timers) == 2
+    out = [r.at_us // step for r in p.handleExpiredTimer((1, "x"), Time(2000 * 600_000), None)]
+    assert out == list(range(990, 1000)) and not p.waiting and len(timers) == 2
