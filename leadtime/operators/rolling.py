@@ -2,7 +2,8 @@
 
 Two engines with the same result:
 
-* ``native``: window functions. Fine for short frames; an exact percentile sorts each frame again.
+* ``native``: window functions. Means, deviations and exceedances of long frames come from running aggregates
+  of segments as long as the frame, at a cost that does not depend on it; an exact percentile sorts each frame again.
 * ``halo``: pandas rolling inside each chunk of rows (``applyInArrow``), for long frames.
 
 Both work on chunks of bounded size with the rows before the chunk copied in, so a single long
@@ -24,6 +25,8 @@ from leadtime.operators.baseline import baseline_wide, series_p90
 
 STATS = ("mean", "std", "p95", "exceed")
 NATIVE_P95_ROWS = 144
+#: Longer frames are joined from two running aggregates; up to this many rows a frame is added up row by row.
+NATIVE_FRAME_ROWS = 48
 
 
 def min_rows(w: int) -> int:
@@ -113,22 +116,70 @@ def _divisor(mean: Column) -> Column:
 def _native(pieces, sensors, windows, by, time, stats):
     order = Window.partitionBy(*by, "chunk").orderBy("row_no")
     longest = max(windows, key=windows.get)
+    # places in the piece; a NULL sensor reading counts as a row, as it does in a frame
+    rows = pieces.withColumn("_pos", F.row_number().over(order))
+    wide = sorted({w for w in windows.values() if w > NATIVE_FRAME_ROWS})
+    totals, over = {}, {}
+    for s in sensors:
+        over[s] = F.when(F.col(f"{s}__bl_p90").isNotNull(), F.when(F.col(s) > F.col(f"{s}__bl_p90"), 1.0).otherwise(0.0))
+        if "exceed" in stats and wide:
+            totals[f"{s}__over"] = F.sum(over[s]).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    rows = _segments(rows.withColumns(totals) if totals else rows, sensors, [w for w in wide if {"mean", "std"} & {*stats} or w == windows[longest]],
+                     by, "std" in stats)
+    back = sorted({f"{s}__over" for s in sensors if totals} | {c for c in rows.columns if c.startswith("_tail_")})
+    rows = rows.withColumns({f"{c}_{w}": F.lag(c, w if c in totals else w - 1).over(order) for c in back for w in wide
+                             if c in totals or c.startswith(f"_tail_{w}_")}) if back else rows
     out = []
     for s in sensors:
-        over = F.when(F.col(f"{s}__bl_p90").isNotNull(),
-                      F.when(F.col(s) > F.col(f"{s}__bl_p90"), 1.0).otherwise(0.0))
         for win, w in windows.items():
             frame = order.rowsBetween(-(w - 1), 0)
             ready = F.col("row_no") >= min_rows(w)
-            made = {"mean": F.when(ready, F.avg(s).over(frame)),
-                    "std": F.coalesce(F.when(ready, F.stddev_samp(s).over(frame)), F.lit(0.0)),
-                    "p95": F.when(ready, F.percentile(s, 0.95).over(frame)),
-                    "exceed": F.when(ready, F.avg(over).over(frame))}
-            out += [value.alias(f"{s}__{stat}_{win}") for stat, value in made.items() if stat in stats]
-        mean = F.when(F.col("row_no") >= min_rows(windows[longest]),
-                      F.avg(s).over(order.rowsBetween(-(windows[longest] - 1), 0)))
+            if w in wide:
+                made = {"mean": lambda s=s, w=w: _joined(s, w)[0], "std": lambda s=s, w=w: _joined(s, w)[1],
+                        "exceed": lambda s=s, w=w: (F.col(f"{s}__over") - F.coalesce(f"{s}__over_{w}", F.lit(0.0))) / F.least("_pos", F.lit(w))}
+            else:
+                made = {"mean": lambda s=s, f=frame: F.avg(s).over(f), "std": lambda s=s, f=frame: F.stddev_samp(s).over(f),
+                        "exceed": lambda s=s, f=frame: F.avg(over[s]).over(f)}
+            made["p95"] = lambda s=s, f=frame: F.percentile(s, 0.95).over(f)
+            for stat in (x for x in STATS if x in stats):
+                value = F.when(ready, made[stat]())
+                out.append((F.coalesce(value, F.lit(0.0)) if stat == "std" else value).alias(f"{s}__{stat}_{win}"))
+        w = windows[longest]
+        mean = F.when(F.col("row_no") >= min_rows(w), _joined(s, w)[0] if w in wide else F.avg(s).over(order.rowsBetween(-(w - 1), 0)))
         out.append((mean / _divisor(F.col(f"{s}__bl_mean"))).alias(f"{s}__baseline_ratio"))
-    return (pieces.select(*by, time, "row_no", "own", *out).where("own").drop("own", "row_no"))
+    return (rows.select(*by, time, "row_no", "own", *out).where("own").drop("own", "row_no"))
+
+
+def _segments(rows, sensors, frames, by, spread):
+    """Running aggregates of every sensor from both ends of each segment of ``w`` rows, for every long frame ``w``.
+
+    A frame of ``w`` rows is the tail of one segment (``_tail_w_s`` at its first row) and the head of the next
+    (``_head_w_s`` at its last), so a row costs the same for any ``w``, and nothing outside the frame enters its value.
+    """
+    for w in frames:
+        part = Window.partitionBy(*by, "chunk", "_segment")
+        rows = rows.withColumn("_segment", F.floor((F.col("_pos") - 1) / w))
+        for name, order in (("head", part.orderBy("_pos")), ("tail", part.orderBy(F.desc("_pos")))):
+            frame = order.rowsBetween(Window.unboundedPreceding, 0)
+            rows = rows.withColumns({f"_{name}_{w}_{s}": F.struct(
+                F.count(s).over(frame).cast("double").alias("n"), F.avg(s).over(frame).alias("mean"),
+                *([F.var_pop(s).over(frame).alias("var")] if spread else [])) for s in sensors})
+    return rows.drop("_segment")
+
+
+def _joined(s, w):
+    """Mean and sample deviation of the last ``w`` rows, from the head and the tail (see ``_segments``)."""
+    head, tail = f"_head_{w}_{s}", f"_tail_{w}_{s}_{w}"
+    # the first rows have no tail, and at the end of a segment the head is the frame
+    two = F.col(tail).isNotNull() & (F.col("_pos") % w != 0) & (F.col(f"{tail}.n") > 0)
+    a, b = F.col(f"{tail}.n"), F.col(f"{head}.n")
+    n, apart = a + b, F.col(f"{head}.mean") - F.col(f"{tail}.mean")
+    mean = F.when(two, F.when(b > 0, F.col(f"{tail}.mean") * (a / n) + F.col(f"{head}.mean") * (b / n)).otherwise(F.col(f"{tail}.mean"))
+                  ).otherwise(F.col(f"{head}.mean"))
+    squares = F.when(two, F.when(b > 0, F.col(f"{tail}.var") * a + F.col(f"{head}.var") * b + apart * apart * (a * b / n))
+                     .otherwise(F.col(f"{tail}.var") * a)).otherwise(F.col(f"{head}.var") * b)
+    rows = F.when(two, n).otherwise(b)
+    return mean, F.when(rows > 1, F.sqrt(squares / (rows - 1)))
 
 
 def _halo(pieces, limits, sensors, windows, by, time, stats):
