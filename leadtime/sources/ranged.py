@@ -24,6 +24,8 @@ from leadtime.sources.versions import commit_merged, current_version, data_path
 
 #: Rows of a file when it is written.
 FILE_ROWS = 1_000_000
+#: Rows that are worth a task; it writes as many files as they make.
+TASK_ROWS = 250_000
 OWNER = "_owner"
 
 
@@ -39,11 +41,16 @@ def _manifest_of(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
 
 
 def _write(rows: DataFrame, path: str, keys: Sequence[str], file_rows: int) -> None:
-    """Files of about ``file_rows`` rows, each inside one owner's range and covering a range of its own."""
+    """Files of at most ``file_rows`` rows, each inside one owner's range and covering a range of its own.
+
+    A task has a range of the key in order and ends a file when it is full, so small files don't mean small tasks.
+    """
     counted = materialize(rows, "merged")
-    parts = max(1, -(-counted.count() // file_rows))
+    n = max(1, counted.count())
+    files = -(-n // file_rows)
+    parts = -(-n // max(file_rows, TASK_ROWS))
     (counted.repartitionByRange(parts, OWNER, *keys).sortWithinPartitions(OWNER, *keys)
-     .write.partitionBy(OWNER).parquet(path))
+     .write.option("maxRecordsPerFile", -(-n // files)).partitionBy(OWNER).parquet(path))
 
 
 def owners(lows: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -109,9 +116,12 @@ def read(spark: SparkSession, root: str, low: Sequence | None = None, high: Sequ
 
 
 def merge(new: DataFrame, root: str, keys: Sequence[str], keep: str = "last", order: Sequence[str] = (),
-          file_rows: int = FILE_ROWS) -> str:
-    """``sinks.upsert`` of a batch into the store; returns the new manifest's path."""
-    spark, batch = new.sparkSession, materialize(new, "batch")
+          file_rows: int = FILE_ROWS, written: bool = False) -> str:
+    """``sinks.upsert`` of a batch into the store; returns the new manifest's path.
+
+    The batch is written first, as it is read several times, unless it is ``written`` already.
+    """
+    spark, batch = new.sparkSession, new if written else materialize(new, "batch")
 
     def step(before: str | None) -> str:
         if before is None:
@@ -119,16 +129,20 @@ def merge(new: DataFrame, root: str, keys: Sequence[str], keep: str = "last", or
         listed = spark.read.parquet(before)
         place = Window.orderBy("low")  # a row per file
         lows = materialize(listed.withColumn("position", F.row_number().over(place) - 1), "lows")
-        placed = materialize(owners(lows, batch, keys), "owners")
-        touched = materialize(lows.join(placed.select(F.col(OWNER).alias("position")).distinct(), "position"), "touched")
+        placed = materialize(owners(lows, batch.select(*keys).distinct(), keys), "owners")  # the keys alone
+        hit = lows.join(placed.select(F.col(OWNER).alias("position")).distinct(), "position")
+        # neighbours that are all read are one range, so that merging doesn't cut the files smaller each time
+        island = F.col("position") - F.row_number().over(Window.orderBy("position"))  # a row per file
+        touched = materialize(hit.withColumn(OWNER, F.min("position").over(Window.partitionBy(island))), "touched")
         names = [r.file for r in touched.select("file").collect()]  # a row per file that is read
         path = data_path(root)
         if not names:  # an empty batch changes nothing
             return before
-        marks = touched.select(F.col("file").alias("_file"), F.col("position").alias(OWNER))
+        marks = touched.select(F.col("file").alias("_file"), OWNER)
+        placed = placed.withColumnRenamed(OWNER, "position").join(touched.select("position", OWNER), "position").drop("position")
         rows = _read_files(spark, names, keys).select("*", F.col("_metadata.file_path").alias("_file")).join(marks, "_file").drop("_file")
         data = data_path(root)
-        _write(upsert(rows, placed, [*keys, OWNER], keep, order), data, keys, file_rows)
+        _write(upsert(rows, join_null_safe(batch, placed, keys), [*keys, OWNER], keep, order), data, keys, file_rows)
         kept = listed.join(touched.select("file"), "file", "left_anti")
         kept.unionByName(_manifest_of(spark, data, keys)).coalesce(1).write.parquet(path)
         return path

@@ -185,7 +185,7 @@ class FeatureStore:
         if current_version(spark, root) is None:
             ranged.create(added, root, keys, self.file_rows)
         else:
-            ranged.merge(added, root, keys, file_rows=self.file_rows)
+            ranged.merge(added, root, keys, file_rows=self.file_rows, written=True)
 
     def _fold(self, spark: SparkSession, schema: T.StructType, increment: int) -> None:
         """Index rows of earlier increments in one table; this one's stay apart, as it may run again."""

@@ -101,6 +101,22 @@ def test_merges_equal_upserts(spark, seed):
     assert ranged.merge(new.limit(0), root, ["s", "i"]) == same
 
 
+def test_merges_of_the_whole_range_keep_the_number_of_files(spark):
+    """Files that are all read make one range; a task writes many small files, and a batch is not written again."""
+    from leadtime.plans.lineage import materialize
+    root = fresh_path(spark, "ranged")
+    ranged.create(spark.createDataFrame(_rows(range(0, 2000, 2)), SCHEMA), root, ["k"], file_rows=50)
+    for i in range(3):
+        new = materialize(spark.createDataFrame([(k, f"m{i}", 0.5) for k in range(1, 2000, 20)], SCHEMA), "new")
+        ranged.merge(new, root, ["k"], file_rows=50, written=True)
+    files = ranged.manifest(spark, root).orderBy("low").collect()
+    assert 1100 / 50 <= len(files) <= 1100 / 50 + 2 and sum(f.n_rows for f in files) == 1100
+    assert all(a.high.k < b.low.k for a, b in zip(files, files[1:])) and max(f.n_rows for f in files) <= 50
+    assert len({f.file.rsplit("-c", 1)[0] for f in files}) == 1
+    got = {r.k: r.name for r in ranged.read(spark, root).collect()}
+    assert got[1] == "m2" and got[2] == "n2" and len(got) == 1100
+
+
 def _history(spark, seed=1, days=1.0):
     rng = random.Random(seed)
     rows = [(e, at(h / 6 + (e or 0) * 0.01), rng.random()) for e in (1, 2, None) for h in sorted(rng.sample(range(0, 1500), 300 if e == 1 else 80))]
