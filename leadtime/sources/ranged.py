@@ -40,16 +40,18 @@ def _manifest_of(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
         F.min(_key(keys)).alias("low"), F.max(_key(keys)).alias("high"), F.count(F.lit(1)).alias("n_rows"))
 
 
-def _write(rows: DataFrame, path: str, keys: Sequence[str], file_rows: int) -> None:
+def _ranges(rows: DataFrame, keys: Sequence[str], n: int, file_rows: int) -> DataFrame:
+    """About ``n`` rows dealt into tasks by ranges of the key: one shuffle, which grouping by the key needs as well."""
+    return rows.repartitionByRange(-(-n // max(file_rows, TASK_ROWS)), OWNER, *keys)
+
+
+def _write(dealt: DataFrame, path: str, keys: Sequence[str], n: int, file_rows: int) -> None:
     """Files of at most ``file_rows`` rows, each inside one owner's range and covering a range of its own.
 
     A task has a range of the key in order and ends a file when it is full, so small files don't mean small tasks.
     """
-    counted = materialize(rows, "merged")
-    n = max(1, counted.count())
     files = -(-n // file_rows)
-    parts = -(-n // max(file_rows, TASK_ROWS))
-    (counted.repartitionByRange(parts, OWNER, *keys).sortWithinPartitions(OWNER, *keys)
+    (dealt.sortWithinPartitions(OWNER, *keys)
      .write.option("maxRecordsPerFile", -(-n // files)).partitionBy(OWNER).parquet(path))
 
 
@@ -70,15 +72,17 @@ def owners(lows: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     return found.where("_real = 1").select(*batch.columns, OWNER)
 
 
-def create(df: DataFrame, root: str, keys: Sequence[str], file_rows: int = FILE_ROWS) -> str:
-    """The first version; ``df`` has one row per key. Returns the manifest's path."""
+def create(df: DataFrame, root: str, keys: Sequence[str], file_rows: int = FILE_ROWS, written: bool = False) -> str:
+    """The first version; ``df`` has one row per key, and is written first unless it is already. Returns the manifest's path."""
     spark = df.sparkSession
 
     def first(before: str | None) -> str:
         if before is not None:
             raise ValueError(f"{root} exists")
         data, manifest = data_path(root), data_path(root)
-        _write(df.withColumn(OWNER, F.lit(0)), data, keys, file_rows)
+        rows = (df if written else materialize(df, "merged")).withColumn(OWNER, F.lit(0))
+        n = max(1, rows.count())
+        _write(_ranges(rows, keys, n, file_rows), data, keys, n, file_rows)
         _manifest_of(spark, data, keys).coalesce(1).write.parquet(manifest)
         return manifest
 
@@ -142,7 +146,9 @@ def merge(new: DataFrame, root: str, keys: Sequence[str], keep: str = "last", or
         placed = placed.withColumnRenamed(OWNER, "position").join(touched.select("position", OWNER), "position").drop("position")
         rows = _read_files(spark, names, keys).select("*", F.col("_metadata.file_path").alias("_file")).join(marks, "_file").drop("_file")
         data = data_path(root)
-        _write(upsert(rows, join_null_safe(batch, placed, keys), [*keys, OWNER], keep, order), data, keys, file_rows)
+        n = batch.count() + touched.agg(F.sum("n_rows")).first()[0]  # no fewer than are left
+        merged = upsert(rows, join_null_safe(batch, placed, keys), [*keys, OWNER], keep, order, lambda both: _ranges(both, keys, n, file_rows))
+        _write(merged, data, keys, n, file_rows)
         kept = listed.join(touched.select("file"), "file", "left_anti")
         kept.unionByName(_manifest_of(spark, data, keys)).coalesce(1).write.parquet(path)
         return path

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,13 +28,14 @@ def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], keep: str = "last",
-           order: Sequence[str] = ()) -> DataFrame:
+           order: Sequence[str] = (), deal: Callable[[DataFrame], DataFrame] = lambda both: both) -> DataFrame:
     """Union of both with one row per key: the newest (``last``) or the stored one (``first``).
 
     Returns the merged rows and writes nothing, which is also the dry run. ``order`` breaks ties
     between rows of one batch; without it the largest (or, for ``first``, smallest) row stays, so
     the choice never depends on the order of arrival. Copies are reduced before the shuffle, so a key with many copies
-    sends one row per task and not its whole group.
+    sends one row per task and not its whole group. ``deal`` may partition the union by the keys beforehand, where the
+    result is wanted so: the rows are then shuffled once, copies included.
     """
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
@@ -44,7 +45,7 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], keep: str =
     sortable = [c for c in columns if c not in order and not isinstance(both.schema[c].dataType, T.MapType)]
     rank = F.struct("_batch", *order, *sortable)
     pick = F.max_by if keep == "last" else F.min_by
-    picked = both.groupBy(*keys).agg(pick(F.struct(F.lit(0).alias("_"), *columns), rank).alias("_row"))
+    picked = deal(both).groupBy(*keys).agg(pick(F.struct(F.lit(0).alias("_"), *columns), rank).alias("_row"))
     return picked.select(*[k if k in keys else F.col(f"_row.{k}").alias(k)
                            for k in both.columns if k != "_batch"])
 

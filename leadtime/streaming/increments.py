@@ -183,7 +183,7 @@ class FeatureStore:
         if added.isEmpty():
             return
         if current_version(spark, root) is None:
-            ranged.create(added, root, keys, self.file_rows)
+            ranged.create(added, root, keys, self.file_rows, written=True)
         else:
             ranged.merge(added, root, keys, file_rows=self.file_rows, written=True)
 
