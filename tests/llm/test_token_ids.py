@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -109,3 +110,45 @@ def test_ids_of_another_tokenizer_file(file, pieced):
     library = Tokenizer.from_file(public_tokenizers.path(file))
     assert encoder.pieced == pieced
     assert ids.tolist() == [x for t in texts for x in [*library.encode(t, add_special_tokens=False).ids, 1]]
+
+
+def test_ascii_words_go_to_the_model_in_one_lookup_a_step(spark, monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(1, 12))) for _ in range(3000)]
+    text = " ".join([*words, "Été", "DON'T", "x1", *words[:500], "<|endoftext|>s"])
+    encoder = op.PieceEncoder(FILE)
+    asked = []
+    monkeypatch.setattr(encoder, "_encode_ascii", lambda w, f=encoder._encode_ascii: asked.extend(w) or f(w))
+    raw = text.replace("<|endoftext|>", "").encode()
+    for _ in range(2):
+        ids = encoder.encode(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]
+        assert ids.tolist() == _library(raw.decode())
+    assert len(asked) == len(set(asked)) and set(words) <= {w.decode() for w in asked}
+    encoder.direct = False  # as for a file with a word among its added tokens
+    encoder._forget()
+    assert encoder.encode(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0].tolist() == ids.tolist()
+
+
+@pytest.mark.parametrize("top", [1000, 1 << 31])
+def test_frequent_pairs_against_counting(top):
+    rng = np.random.default_rng(3)
+    left, right = (rng.choice([0, 1, 5, top - 2, top - 1], 400).astype(np.uint32) for _ in range(2))
+    places = {}
+    for i, pair in enumerate(zip(left.tolist(), right.tolist())):
+        places.setdefault(pair, []).append(i)
+    wanted = sorted(p for p, at in places.items() if len(at) >= op.LEAST)
+    pairs, counts, which = op._frequent(left, right, top)
+    assert [tuple(p) for p in pairs.tolist()] == wanted and counts.tolist() == [len(places[p]) for p in wanted]
+    assert which.tolist() == [wanted.index(p) if p in wanted else -1 for p in zip(left.tolist(), right.tolist())]
+    assert [x.size for x in op._frequent(left[:0], right[:0], top)] == [0, 0, 0]
+
+
+def test_shards_are_cut_inside_a_step(spark, monkeypatch):
+    from leadtime.plans.lineage import fresh_path
+    monkeypatch.setattr(op, "SHARD_IDS", 10)
+    assert list(op._shards(np.array([4, 6, 1, 25, 2]), 0)) == [(0, 2, True), (2, 4, True), (4, 5, False)]
+    assert list(op._shards(np.array([4, 6]), 9)) == [(0, 1, True), (1, 2, False)] and not list(op._shards(np.array([], np.int64), 9))
+    rows = [(i, "a b c d", None, None, 0, *["x"] * 16) for i in range(9)]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]})]
+    made = list(op._write(FILE, fresh_path(spark, "cut"))(iter(batches)))
+    assert [b.num_rows for b in made] == [2, 2, 2, 2, 1]
