@@ -90,6 +90,17 @@ def test_partitions_follow_the_rows(spark, monkeypatch):
     assert boosting.sized(df).rdd.getNumPartitions() == 4
 
 
+def test_no_more_tasks_than_cores_unless_they_get_too_long(spark, monkeypatch):
+    df = materialize(spark.range(2000).repartition(50), "rows")
+    df = df.union(df).union(df)
+    cores = spark.sparkContext.defaultParallelism
+    assert df.rdd.getNumPartitions() > 2 * cores
+    monkeypatch.setattr(boosting, "TASK_ROWS", 100)
+    assert boosting.sized(df).rdd.getNumPartitions() == cores and boosting.sized(df).count() == 6000
+    monkeypatch.setattr(boosting, "MOST_ROWS", 6000 // (cores + 4))
+    assert boosting.sized(df).rdd.getNumPartitions() in (cores + 4, cores + 5)
+
+
 def test_jobs_run_at_the_same_time_and_errors_surface(spark):
     import threading
     barrier = threading.Barrier(3, timeout=60)
