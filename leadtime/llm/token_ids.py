@@ -36,15 +36,15 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from leadtime.llm.common import IS_SPACE, byte_table, segment_rows, slices
+from leadtime.llm.common import IS_SPACE, byte_table, slices
 from leadtime.plans.lineage import fresh_path, materialize
 
 MAGIC = b"RPID1\0\0\0"
 END_ID = 1
 #: Ids in a shard, least count of a pair that becomes a rule: a rule costs 12 bytes and saves 4 at each place.
 SHARD_IDS, LEAST = 1 << 20, 4
-#: Distinct pieces that a worker remembers, and plain words that it encodes in one call.
-REMEMBERED, JOINED = 400_000, 500
+#: Distinct pieces that a worker remembers (some 200 bytes each), and plain words that it encodes in one call.
+REMEMBERED, JOINED = 800_000, 500
 #: Bytes of text that are encoded together, and at once for the shards: a piece is looked up once for each such step.
 ENCODE_BYTES, STEP_BYTES = 1 << 21, 1 << 23
 MANIFEST = "shard string, doc_id long, place long, n_tokens long"
@@ -52,10 +52,11 @@ MANIFEST = "shard string, doc_id long, place long, n_tokens long"
 
 # --- text to ids -----------------------------------------------------------------------------------------------------
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_LETTER = byte_table(bytes(range(97, 123)))
-_MARK = byte_table(bytes(x for x in range(33, 127) if not chr(x).isalnum() and chr(x) != "'"))
+_LOWER = bytes(range(256)).lower()
+_SPACE, _LETTER, _MARK = 1, 2, 4
+#: Kind of each lower-cased byte: white space, a-z, a punctuation mark other than an apostrophe.
+_KIND = (IS_SPACE * _SPACE + byte_table(bytes(range(97, 123))) * _LETTER + byte_table(bytes(
+    x for x in range(33, 127) if not chr(x).isalnum() and chr(x) != "'")) * _MARK).astype(np.uint8).tobytes()
 #: Normaliser and pre-tokeniser of the files for which the pieces hold: lower-casing, white space dropped, words apart.
 PIECED = (
     {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
@@ -65,6 +66,8 @@ PIECED = (
 )
 #: Lower-case words of a-z and U+00E0..U+00FF, which are one token run for tokenizers with word ends.
 _PLAIN = re.compile(rb"(?:[a-z]|\xC3[\xA0-\xB6\xB8-\xBF])+").fullmatch
+#: Characters that stand for the bytes of such words behind a ByteLevel pre-tokeniser: Latin-1 but for two bytes.
+_STANDS_FOR = (("\xA0", "\u0142"), ("\xAD", "\u0143"))
 
 
 @lru_cache(maxsize=2)
@@ -92,7 +95,7 @@ class PieceEncoder:
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         parts = (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)
         self.pieced = all(part is not None and json.loads(part.__getstate__()) == known for part, known in zip(parts, PIECED))
-        # nothing before the model changes an ASCII word, unless the file has such a word as a token of its own
+        # before the model a plain word's bytes get their characters and nothing else, unless the file has such a word as a token of its own
         self.direct = self.pieced and not any(x.strip().isalnum() for x in self.special)
         self._forget()
 
@@ -108,9 +111,12 @@ class PieceEncoder:
         return np.fromiter(chain.from_iterable(found), np.int64, int(lengths.sum())), lengths
 
     def _encode_ascii(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for words of a-z, which the library's model takes as they are."""
+        """The same for plain words: their bytes go to the library's model as the characters that its pre-tokeniser makes of them."""
         model = self.tokenizer.model
-        found = [[token.id for token in model.tokenize(w)] for w in map(bytes.decode, words)]
+        texts = b" ".join(words).decode("latin-1")
+        for byte, char in _STANDS_FOR:
+            texts = texts.replace(byte, char)
+        found = [[token.id for token in model.tokenize(t)] for t in texts.split(" ")] if words else []
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.int64, int(lengths.sum())), lengths
 
@@ -125,11 +131,11 @@ class PieceEncoder:
         return ids, np.diff(np.r_[0, ends])
 
     def _learn(self, pieces: list[bytes]) -> None:
-        ascii_, plain, other = [], [], []
+        plain, other = [], []
         for p in pieces:  # all in lower case
-            (ascii_ if self.direct and p.isalpha() else plain if _PLAIN(p) else other).append(p)
-        pieces = ascii_ + plain + other
-        parts = [self._encode_ascii(ascii_), self._encode_words(plain), self._encode_pieces(other)]
+            (plain if p.isalpha() or _PLAIN(p) else other).append(p)
+        pieces = plain + other
+        parts = [self._encode_ascii(plain) if self.direct else self._encode_words(plain), self._encode_pieces(other)]
         ids, lengths = (np.concatenate([x[i] for x in parts]) for i in range(2))
         total, n = len(ids), len(self.known)
         while self.size + total > len(self.flat):
@@ -149,7 +155,7 @@ class PieceEncoder:
             whole = list(range(n))
         else:
             whole = [i for i in range(n) if any(s.encode() in raw[offsets[i]:offsets[i + 1]] for s in self.special)] if any(s.encode() in raw for s in self.special) else []
-        owner, which = self._pieces(data, offsets, whole)
+        owner, which = self._pieces(raw, offsets, whole)
         lengths = self.starts[which + 1] - self.starts[which]
         per_row = np.bincount(owner, lengths, n).astype(np.int64) if len(owner) else np.zeros(n, np.int64)
         spoken = {i: np.asarray(self.tokenizer.encode(raw[offsets[i]:offsets[i + 1]].decode(), add_special_tokens=False).ids, np.uint32) for i in whole}
@@ -160,23 +166,25 @@ class PieceEncoder:
         out = np.empty(int(ends[-1]) if n else 0, np.uint32)
         out[ends - 1] = END_ID
         if len(which):
-            seg, inner = segment_rows(lengths)
-            first = np.cumsum(lengths) - lengths  # place among the ids of pieces
-            row_first = np.zeros(n, np.int64)
-            heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            row_first[owner[heads]] = first[heads]
-            base = (ends - counts)[owner] + first - row_first[owner]
-            out[base[seg] + inner] = self.flat[self.starts[which][seg] + inner]
+            before = np.cumsum(lengths) - lengths  # place among the ids of pieces
+            source = np.repeat(self.starts[which] - before, lengths)
+            source += np.arange(len(source))
+            pieced = np.ones(len(out), bool)
+            pieced[ends - 1] = False
+            for i in whole:
+                pieced[ends[i] - counts[i]:ends[i]] = False
+            out[pieced] = self.flat[source]
         for i, ids in spoken.items():
             out[ends[i] - counts[i]:ends[i] - 1] = ids
         return out, counts
 
-    def _pieces(self, data, offsets, whole) -> tuple[np.ndarray, np.ndarray]:
-        low = _LOWER[data]
-        keep = ~IS_SPACE[low]
+    def _pieces(self, raw, offsets, whole) -> tuple[np.ndarray, np.ndarray]:
+        lower = bytearray(raw).translate(_LOWER)
+        kind = np.frombuffer(lower.translate(_KIND), np.uint8)
+        low, letter, mark = np.frombuffer(lower, np.uint8), (kind & _LETTER) != 0, (kind & _MARK) != 0
+        keep = (kind & _SPACE) == 0
         for i in whole:
             keep[offsets[i]:offsets[i + 1]] = False
-        letter, mark = _LETTER[low], _MARK[low]
         # two-byte letters U+00C0..U+00FF, without the signs U+00D7 and U+00F7
         ended = letter.copy()
         if len(low) > 1:
@@ -191,8 +199,7 @@ class PieceEncoder:
         if not len(starts):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         packed = low[keep]
-        place = np.cumsum(keep, dtype=np.int32) - keep
-        cuts = np.append(place[starts], len(packed)).astype(np.int32)
+        cuts = np.append(np.cumsum(keep, dtype=np.int32)[starts] - 1, len(packed)).astype(np.int32)
         words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(packed)])
         coded = words.dictionary_encode()
         distinct = _values(coded.dictionary)
@@ -205,7 +212,13 @@ class PieceEncoder:
             self._learn(new)
             found = map(self.known.__getitem__, distinct)
         ids = np.fromiter(found, np.int64, len(distinct))
-        return np.searchsorted(offsets, starts, "right") - 1, ids[coded.indices.to_numpy()]
+        return np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets))), ids[coded.indices.to_numpy()]
+
+
+@lru_cache(maxsize=1)
+def _encoder(file: str, folder: str) -> PieceEncoder:
+    """The encoder of a worker for one folder of shards: what a task has learned serves the worker's later tasks, not another run."""
+    return PieceEncoder(file)
 
 
 # --- Re-Pair ---------------------------------------------------------------------------------------------------------
@@ -216,19 +229,23 @@ def _frequent(left: np.ndarray, right: np.ndarray, top: int) -> tuple[np.ndarray
     Symbols lie below ``top``. A pair and its place sort as one number where 64 bits hold them.
     """
     n, wide, low = len(left), top.bit_length(), len(left).bit_length()
-    left = left.astype(np.uint64)
+    key = left.astype(np.uint64)
     if 2 * wide + low <= 64:
-        both = np.sort((((left << np.uint64(wide)) | right) << np.uint64(low)) | np.arange(n, dtype=np.uint64))
-        place, key = (both & np.uint64((1 << low) - 1)).astype(np.int64), both >> np.uint64(low)
+        for bits, part in ((wide, right), (low, np.arange(n, dtype=np.uint64))):  # in place, as fresh memory costs more than the steps
+            key <<= np.uint64(bits)
+            key |= part
+        key.sort()
+        place = (key & np.uint64((1 << low) - 1)).view(np.int64)
+        key >>= np.uint64(low)
     else:
-        key, wide = (left << np.uint64(32)) | right, 32
+        key, wide = (key << np.uint64(32)) | right, 32
         place = np.argsort(key, kind="stable")
         key = key[place]
     heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])[:n]
     counts = np.diff(np.r_[heads, n])
     often = counts >= LEAST
-    which = np.full(n, -1, np.int64)
-    which[place[np.repeat(often, counts)]] = np.repeat(np.arange(int(often.sum())), counts[often])
+    which = np.empty(n, np.int64)
+    which[place] = np.repeat(np.where(often, np.cumsum(often) - 1, -1), counts)
     key = key[heads[often]]
     return np.stack([key >> np.uint64(wide), key & np.uint64((1 << wide) - 1)], axis=1).astype(np.uint32), counts[often], which
 
@@ -247,27 +264,31 @@ def repair(ids: np.ndarray, bounds: np.ndarray, first: int) -> tuple[np.ndarray,
     open_ = ~last
     while True:
         n, at = len(symbols), np.flatnonzero(open_)
-        twins = np.flatnonzero(symbols[at] == symbols[at + 1])
+        left, right = symbols[at], symbols[at + 1]
+        twins = np.flatnonzero(left == right)
         run = np.flatnonzero(np.r_[True, np.diff(at[twins]) != 1])[:len(twins)]
         turn = np.arange(len(twins)) - np.repeat(run, np.diff(np.r_[run, len(twins)]))  # place in a run of one symbol
-        at = np.delete(at, twins[turn % 2 == 1])
-        pairs, counts, which = _frequent(symbols[at], symbols[at + 1], first + len(rules))
-        often = which >= 0
-        open_[at[~often]] = False
-        at, which = at[often], which[often]
-        if not len(at):
+        second = twins[turn % 2 == 1]
+        if len(second):
+            at, left, right = (np.delete(x, second) for x in (at, left, right))
+        pairs, counts, which = _frequent(left, right, first + len(rules))
+        if not len(pairs):
             return symbols, bounds, rules, lengths
-        order = np.empty(len(pairs), np.int32)
-        order[np.argsort(counts, kind="stable")] = np.arange(1, len(pairs) + 1)
-        weight = np.zeros(n + 1, np.int32)  # the last one stands before the first symbol
-        weight[at] = order[which]
-        wins = (weight[at] > weight[at - 1]) & (weight[at] > weight[at + 1])
-        at, which = at[wins], which[wins]
+        by_count = np.argsort(counts, kind="stable")
+        order = np.zeros(len(pairs) + 1, np.int32)  # the last one is that of rare pairs
+        order[by_count] = np.arange(1, len(pairs) + 1)
+        order = order[which]
+        open_[at] = order > 0
+        weight = np.zeros(n + 2, np.int32)  # with a place before the first symbol and one behind the last
+        weight[at + 1] = order
+        at = np.flatnonzero((weight[1:-1] > weight[:-2]) & (weight[1:-1] > weight[2:]))
+        which = by_count[weight[at + 1] - 1]
         best = np.flatnonzero(np.bincount(which, minlength=len(pairs)) >= LEAST)
         number = np.full(len(pairs), -1, np.int64)
         number[best] = np.arange(len(best))
         chosen = number[which]
-        at, chosen = at[chosen >= 0], chosen[chosen >= 0]
+        kept = np.flatnonzero(chosen >= 0)
+        at, chosen = at[kept], chosen[kept]
         base = first + len(rules)
         new = pairs[best]
         known = np.concatenate([np.ones(first, np.uint32), lengths])
@@ -278,11 +299,10 @@ def repair(ids: np.ndarray, bounds: np.ndarray, first: int) -> tuple[np.ndarray,
         open_[at] = True
         open_[at[at > 0] - 1] = True
         open_ &= ~last
-        gone = np.zeros(n + 1, np.int64)
         stay = np.ones(n, bool)
         stay[at + 1] = False
-        np.cumsum(~stay, out=gone[1:])
-        symbols, last, open_, bounds = symbols[stay], last[stay], open_[stay], bounds - gone[bounds]
+        stay = np.flatnonzero(stay)
+        symbols, last, open_, bounds = symbols[stay], last[stay], open_[stay], bounds - np.searchsorted(at + 1, bounds)
 
 
 class Expansions:
@@ -361,7 +381,7 @@ def _shards(counts: np.ndarray, held: int):
 
 def _write(file: str, folder: str):
     def work(batches):
-        encoder = PieceEncoder(file)  # for this task alone: workers that wait keep no memory
+        encoder = _encoder(file, folder)
         first = encoder.tokenizer.get_vocab_size(with_added_tokens=True)
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base)
