@@ -80,10 +80,10 @@ def update_features(new: DataFrame, context: DataFrame, sensors: Sequence[str],
     placed = materialize(
         filled.join(stored, by, "left")
         .withColumn("row_no", F.col("row_no") + F.coalesce("_skip", F.lit(0)))
-        .select(*by, time, "row_no", *sensors), "placed")
-    features = rolling_over(placed, sensors, base, windows=windows, engine=engine, by=by, time=time,
-                            chunk_rows=chunk_rows)
-    added = features.join(stored, by, "left").where(is_new).select(*features.columns)
+        .select(*by, time, "row_no", *sensors, is_new.alias("_new")), "placed")
+    added = rolling_over(placed, sensors, base, windows=windows, engine=engine, by=by, time=time,
+                         chunk_rows=chunk_rows, wanted="_new")
+    placed = placed.drop("_new")
     ends = placed.groupBy(*by).agg(F.max("row_no").alias("_end"))
     kept = join_sized(placed, ends, by).where(F.col("row_no") > F.col("_end") - reach).drop("_end")
     return added, kept

@@ -173,10 +173,10 @@ class FeatureStore:
         seeds = index.select(*self.by, BLOCK, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_skip"),
                              *[F.last(F.col(s)["value"], ignorenulls=True).over(earlier).alias(s) for s in self.sensors])
         seeds = join_null_safe(seeds, bounds, self.by).where(self._read()).select(*self.by, F.col(BLOCK).alias("_block"), "_skip", *self.sensors)
-        filled = materialize(fill_forward(rows, self.by, self.time, self.sensors, days=self.days, number="row_no", seeds=seeds), "filled")
-        made = rolling_over(filled, self.sensors, self.base, windows=self.windows, engine=self.engine, by=self.by,
-                            time=self.time, chunk_rows=self.chunk_rows)
-        return materialize(join_null_safe(made, bounds, self.by).where(self._dirty()).select(*made.columns), "added")
+        filled = fill_forward(rows, self.by, self.time, self.sensors, days=self.days, number="row_no", seeds=seeds)
+        filled = materialize(join_null_safe(filled, bounds, self.by).select(*filled.columns, self._dirty().alias("_dirty")), "filled")
+        return materialize(rolling_over(filled, self.sensors, self.base, windows=self.windows, engine=self.engine, by=self.by,
+                                        time=self.time, chunk_rows=self.chunk_rows, wanted="_dirty"), "added")
 
     def _store(self, spark: SparkSession, added: DataFrame, keys: Sequence[str]) -> None:
         root = f"{self.root}/features"

@@ -2,8 +2,12 @@
 
 import random
 
-from leadtime.operators.rolling import rolling_features
-from tests.helpers import same, telemetry
+from pyspark.sql import functions as F
+
+from leadtime.operators import nightly
+from leadtime.operators.rolling import rolling_features, rolling_over
+from leadtime.plans.series import fill_forward
+from tests.helpers import quantile, same, telemetry
 
 WINDOWS = {"a": 5, "b": 60, "c": 100}
 BASE = [(1, "v", 2.0, 5.0), (1, "u", None, None), (2, "v", 2.0, 1e9)]
@@ -41,3 +45,37 @@ def test_no_long_frame_is_added_up_row_by_row(spark):
     plan = _features(spark, "native")._jdf.queryExecution().executedPlan().toString()
     assert "RowFrame, -4, currentrow" in plan
     assert "RowFrame, -59, currentrow" not in plan and "RowFrame, -99, currentrow" not in plan
+
+
+def test_rows_that_are_not_wanted_only_fill_the_frames(spark):
+    """Wanted rows at the end, in the middle and in no place of a chunk: the values are those of a full run."""
+    rng = random.Random(3)
+    rows = [(e, i / 6, rng.choice([None, rng.uniform(0, 10), 4.0]), rng.uniform(-1, 1)) for e, n in ((1, 333), (2, 90), (None, 40)) for i in range(n)]
+    base = spark.createDataFrame(BASE, "entity_id int, sensor string, mean double, p90 double")
+    filled = fill_forward(telemetry(spark, rows, "v double, u double"), ["entity_id"], "ts", ["v", "u"], number="row_no")
+    windows = {"a": 1, "b": 6, "c": 40, "d": 100}
+    whole = {(r.entity_id, r.ts): r for r in rolling_over(filled, ["v", "u"], base, windows=windows, chunk_rows=100).collect()}
+    for r in whole.values():  # frames that are sorted for the percentile, and those looked up
+        own = sorted((k[1], x) for k, x in whole.items() if k[0] == r.entity_id)
+        place = [t for t, _ in own].index(r.ts)
+        for name, w in windows.items():
+            if place + 1 >= max(1, w // 3):
+                frame = [x.v__mean_a for _, x in own[max(0, place - w + 1):place + 1]]
+                assert same(r[f"v__p95_{name}"], quantile(frame, 0.95), 1e-9)
+    flag = F.when(F.col("entity_id") == 2, None).otherwise((F.col("row_no") % 150).between(20, 60) | (F.col("row_no") == 90))
+    some = rolling_over(filled.withColumn("_some", flag), ["v", "u"], base, windows=windows, chunk_rows=100, wanted="_some").collect()
+    assert {r.entity_id for r in some} == {1, None} and len(some) == 41 * 2 + 14 + 1 + 21
+    for r in some:
+        assert all(same(x, y, 1e-8) for x, y in zip(r, whole[(r.entity_id, r.ts)]))
+
+
+def test_an_increment_computes_no_features_of_its_context(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(nightly, "rolling_over", lambda *a, f=rolling_over, **k: asked.append(f(*a, **k)) or asked[-1])
+    base = spark.createDataFrame(BASE, "entity_id int, sensor string, mean double, p90 double")
+    context = spark.createDataFrame([], nightly.context_schema(["v"]))
+    rows = [(1, float(h), float(h % 5)) for h in range(30)]
+    for part in (rows[:20], rows[20:]):
+        added, context = nightly.update_features(telemetry(spark, part), context, ["v"], base, windows={"a": 10})
+        context = spark.createDataFrame(context.collect(), context.schema)
+    assert asked[-1].count() == added.count() == 10 and context.count() == 9
