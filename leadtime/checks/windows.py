@@ -9,6 +9,7 @@ from leadtime.checks import fixtures as fx, joins, scalars
 from leadtime.checks.fixtures import sql
 from leadtime.checks.joins import fx_baseline
 from leadtime.checks.registry import query, r
+from leadtime.functions.scalars import rounded
 from leadtime.operators import domain, evaluate as ev, faults as flt, nightly
 from leadtime.operators.baseline import baseline
 from leadtime.operators.history import History
@@ -239,4 +240,4 @@ def _(spark, sf):
     df = materialize(domain.add_domain_features(fx.scada(spark, sf), chunk_rows=fx.CHUNK), "domain")
     wanted = _domain_sensors(df.columns)
     out = rolling_features(df, wanted, baseline(df, wanted, days=fx.BASELINE_DAYS), chunk_rows=fx.CHUNK)
-    return out.select("entity_id", "ts", *[r(F.col(c) + 1e-8, 4).alias(c) for c in feature_names(wanted)])
+    return out.select("entity_id", "ts", *[rounded(F.col(c) + 1e-8, 4).alias(c) for c in feature_names(wanted)])
